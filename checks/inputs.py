@@ -193,9 +193,12 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self.frames: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self.frames:
+            self.frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.frames[name]
 
     def sql(self, text: str) -> DataFrame:
         used = {t: self.table(t) for t in DRIVER_TABLES if f"{{{t}}}" in text}

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,21 +25,28 @@ def or_unknown(key: Column | str) -> Column:
     return F.coalesce(_col(key), F.lit(UNKNOWN_KEY))
 
 
-def as_text(c: Column) -> Column:
+def surrogate_key_sql(*parts: str) -> str:
+    """``surrogate_key`` over SQL expressions."""
+    texts = ", ".join(f"CAST({p} AS STRING)" for p in parts)
+    return f"sha2(concat_ws('{KEY_SEPARATOR}', {texts}), 256)"
+
+
+def as_text(column: str) -> str:
     """Text form used when versions are compared: NULL and '' count as equal."""
-    return F.coalesce(c.cast("string"), F.lit(""))
+    return f"coalesce(CAST({column} AS STRING), '')"
 
 
 def change_hash(columns: list[str]) -> Column:
     """One hash over the tracked columns, for stores that keep it beside the row."""
-    return F.sha2(F.concat_ws(KEY_SEPARATOR, *[as_text(F.col(c)) for c in columns]), 256)
+    texts = ", ".join(as_text(f"`{c}`") for c in columns)
+    return F.expr(f"sha2(concat_ws('{KEY_SEPARATOR}', {texts}), 256)")
 
 
-def any_changed(old: str, new: str, columns: list[str], nulls_equal_blank: bool = True) -> Column:
-    """True where one of ``columns`` differs between the structs ``old`` and ``new``."""
+def any_changed(old: str, new: str, columns: list[str], nulls_equal_blank: bool = True) -> str:
+    """SQL test: does one of ``columns`` differ between the structs ``old`` and ``new``?"""
 
-    def differs(name: str) -> Column:
-        a, b = F.col(f"{old}.{name}"), F.col(f"{new}.{name}")
-        return as_text(a) != as_text(b) if nulls_equal_blank else ~a.eqNullSafe(b)
+    def differs(name: str) -> str:
+        a, b = f"{old}.`{name}`", f"{new}.`{name}`"
+        return f"{as_text(a)} != {as_text(b)}" if nulls_equal_blank else f"NOT ({a} <=> {b})"
 
-    return reduce(lambda x, y: x | y, [differs(c) for c in columns])
+    return " OR ".join(differs(c) for c in columns)

@@ -113,13 +113,13 @@ def fill_missing(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
 
     The column keeps its type, so a money column stays decimal.
     """
-    types = {f.name: f.dataType for f in df.schema.fields}
-    filled = {
-        c: F.coalesce(F.col(c), F.lit(value).cast(types[c]))
-        for c, value in defaults.items()
-        if c in types
-    }
-    return df.withColumns(filled) if filled else df
+    wanted = {c: value for c, value in defaults.items() if c in df.columns}
+    return df.select(
+        *[
+            F.coalesce(F.col(c), F.lit(wanted[c]).cast(kind)).alias(c) if c in wanted else c
+            for c, kind in df.dtypes
+        ]
+    )
 
 
 def capitalize(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: open-ended versions last until here.
@@ -15,13 +15,13 @@ def lookup(df: DataFrame, dim: DataFrame, on: dict[str, str], take: list[str]) -
     No broadcast hint: Spark broadcasts a dimension whose size is under its threshold and
     sort-merges a larger one, splitting hot keys at run time.
     """
-    side = dim.select(
-        *[F.col(right).alias(f"_on_{left}") for left, right in on.items()],
-        *[F.col(c).alias(f"_take_{c}") for c in take],
+    side = dim.selectExpr(
+        *[f"`{right}` AS `_on_{left}`" for left, right in on.items()],
+        *[f"`{c}` AS `_take_{c}`" for c in take],
     )
-    condition = [F.col(left) == F.col(f"_on_{left}") for left in on]
-    return df.join(side, condition, "left").select(
-        *df.columns, *[F.col(f"_take_{c}").alias(c) for c in take]
+    condition = F.expr(" AND ".join(f"`{left}` = `_on_{left}`" for left in on))
+    return df.join(side, condition, "left").selectExpr(
+        *[f"`{c}`" for c in df.columns], *[f"`_take_{c}` AS `{c}`" for c in take]
     )
 
 
@@ -29,9 +29,9 @@ def current_rows(dim: DataFrame) -> DataFrame:
     return dim.filter("is_current")
 
 
-def valid_on(day: Column, start: Column, end: Column) -> Column:
-    """Half-open validity: from ``start`` up to but not on ``end``; NULL end is open."""
-    return (day >= start) & (day < F.coalesce(end, F.lit(FOREVER).cast("date")))
+def valid_on(day: str, start: str, end: str) -> str:
+    """SQL test of half-open validity: from ``start`` up to but not on ``end``; NULL is open."""
+    return f"{day} >= {start} AND {day} < coalesce({end}, DATE '{FOREVER}')"
 
 
 def temporal_lookup(
@@ -44,15 +44,15 @@ def temporal_lookup(
     one match as long as versions of one id do not overlap (see ``overlapping_versions``).
     """
     left, right = on
-    side = versions.select(
-        F.col(right).alias("_id"),
-        F.col("effective_date").alias("_from"),
-        F.col("expiry_date").alias("_until"),
-        *[F.col(c).alias(f"_take_{c}") for c in take],
+    side = versions.selectExpr(
+        f"`{right}` AS _id",
+        "effective_date AS _from",
+        "expiry_date AS _until",
+        *[f"`{c}` AS `_take_{c}`" for c in take],
     )
-    hit = (F.col(left) == F.col("_id")) & valid_on(F.col(day), F.col("_from"), F.col("_until"))
-    return df.join(side, hit, "left").select(
-        *df.columns, *[F.col(f"_take_{c}").alias(c) for c in take]
+    hit = F.expr(f"`{left}` = _id AND {valid_on(f'`{day}`', '_from', '_until')}")
+    return df.join(side, hit, "left").selectExpr(
+        *[f"`{c}`" for c in df.columns], *[f"`_take_{c}` AS `{c}`" for c in take]
     )
 
 

@@ -3,20 +3,14 @@
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.functions.keys import any_changed, surrogate_key
+from martwright.functions.keys import any_changed, surrogate_key_sql
 
 SCD2_COLUMNS = ["effective_date", "expiry_date", "is_current", "version"]
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k] == right[k] for k in keys])
-
-
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their counts."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
@@ -30,11 +24,11 @@ def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     """
     rest = [c for c in df.columns if c not in keys]
     grouped = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(F.struct(*rest)).alias("_row"))
-    message = F.concat(F.lit("key occurs twice in one batch: "), F.to_json(F.struct(*keys)))
-    checked = grouped.withColumn(
-        "_row", F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(message))
+    key_text = f"to_json(struct({', '.join(f'`{k}`' for k in keys)}))"
+    only = f"CASE WHEN _n = 1 THEN _row ELSE raise_error('key occurs twice in one batch: ' || {key_text}) END"
+    return grouped.selectExpr(*[f"`{k}`" for k in keys], f"{only} AS _row").selectExpr(
+        *[f"`{c}`" if c in keys else f"_row.`{c}` AS `{c}`" for c in df.columns]
     )
-    return checked.select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str], check: bool = True) -> DataFrame:
@@ -46,19 +40,18 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], check: bool =
     if check:
         updates = require_unique(updates, keys)
     given = set(updates.columns)
-    old = target.withColumn("_old", F.lit(True)).alias("o")
-    new = updates.withColumn("_new", F.lit(True)).alias("n")
-    hit = reduce(lambda a, b: a & b, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys])
+    old = target.selectExpr("*", "true AS _old").alias("o")
+    new = updates.selectExpr("*", "true AS _new").alias("n")
+    hit = F.expr(" AND ".join(f"o.`{k}` = n.`{k}`" for k in keys))
 
-    def merged(c: str) -> Column:
+    def merged(c: str, kind: str) -> str:
         if c in keys:
-            return F.coalesce(f"n.{c}", f"o.{c}").alias(c)
+            return f"coalesce(n.`{c}`, o.`{c}`) AS `{c}`"
         if c not in given:
-            return F.col(f"o.{c}").alias(c)
-        kind = target.schema[c].dataType
-        return F.when(F.col("n._new"), F.col(f"n.{c}").cast(kind)).otherwise(F.col(f"o.{c}")).alias(c)
+            return f"o.`{c}` AS `{c}`"
+        return f"CASE WHEN n._new THEN CAST(n.`{c}` AS {kind}) ELSE o.`{c}` END AS `{c}`"
 
-    return old.join(new, hit, "full_outer").select(*[merged(c) for c in target.columns])
+    return old.join(new, hit, "full_outer").selectExpr(*[merged(c, kind) for c, kind in target.dtypes])
 
 
 def insert_absent(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -77,19 +70,22 @@ def full_refresh(
 
 def start_history(snapshot: DataFrame, key: str, surrogate: str, first_day: date) -> DataFrame:
     """Version 1 of every row of a snapshot, valid from ``first_day``."""
-    day = F.lit(first_day).cast("date")
     attributes = [c for c in snapshot.columns if c not in {key, surrogate, *SCD2_COLUMNS}]
-    return snapshot.select(
-        surrogate_key(key, day).alias(surrogate),
-        key,
-        *attributes,
-        day.alias("effective_date"),
-        F.lit(None).cast("date").alias("expiry_date"),
-        F.lit(True).alias("is_current"),
-        F.lit(1).cast("smallint").alias("version"),
+    return require_unique(snapshot.select(key, *attributes), [key]).selectExpr(
+        f"{surrogate_key_sql(f'`{key}`', _day(first_day))} AS `{surrogate}`",
+        f"`{key}`",
+        *[f"`{c}`" for c in attributes],
+        f"{_day(first_day)} AS effective_date",
+        "CAST(NULL AS DATE) AS expiry_date",
+        "true AS is_current",
+        "CAST(1 AS SMALLINT) AS version",
     )
 
 
+def _day(day: date) -> str:
+    return f"DATE '{day.isoformat()}'"
+
+
 def scd2_merge(
     history: DataFrame,
     snapshot: DataFrame,
@@ -114,62 +110,50 @@ def scd2_merge(
     pair yields one or two rows. Closed versions take no part in the join, and with a
     table partitioned by ``is_current`` the two reads of the history do not overlap.
     """
-    columns = history.columns
+    types = dict(history.dtypes)
+    columns = list(types)
     attributes = [c for c in columns if c not in {key, surrogate, *SCD2_COLUMNS}]
-    plain = [c for c in attributes if c not in tracked]
-    today = F.lit(run_date).cast("date")
-    start = F.lit(first_day or run_date).cast("date")
-    types = {f.name: f.dataType for f in history.schema.fields}
-
-    incoming = require_unique(snapshot.select(key, *attributes), [key]).select(
-        F.col(key).alias("_new_key"),
-        F.struct(*[F.col(c).cast(types[c]).alias(c) for c in [key, *attributes]]).alias("new"),
-    )
-    current = history.filter("is_current").select(
-        F.col(key).alias("_old_key"), F.struct(*columns).alias("old")
+    today, start = _day(run_date), _day(first_day or run_date)
+
+    cast = ", ".join(f"CAST(`{c}` AS {types[c]}) AS `{c}`" for c in [key, *attributes])
+    incoming = require_unique(snapshot.select(key, *attributes), [key]).selectExpr(
+        f"`{key}` AS _new_key", f"struct({cast}) AS new"
     )
-    pair = current.join(incoming, F.col("_old_key") == F.col("_new_key"), "full_outer")
+    current = history.filter("is_current").selectExpr(f"`{key}` AS _old_key", "struct(*) AS old")
+    pair = current.join(incoming, F.expr("_old_key = _new_key"), "full_outer")
 
-    def row(**parts: Column) -> Column:
-        return F.struct(*[parts[c].cast(types[c]).alias(c) for c in columns])
+    kept = {c: f"old.`{c}`" for c in columns}
+    fresh = {c: f"new.`{c}`" for c in attributes}
 
-    def version(source_key: str, effective: Column, number: Column, sk: Column) -> Column:
-        fresh = {c: F.col(f"new.{c}") for c in attributes}
+    def row(parts: dict[str, str]) -> str:
+        return "struct(" + ", ".join(f"CAST({parts[c]} AS {types[c]}) AS `{c}`" for c in columns) + ")"
+
+    def version(effective: str, number: str, surrogate_value: str) -> str:
         return row(
-            **{
-                key: F.col(source_key),
-                surrogate: sk,
+            {
+                key: "_new_key",
+                surrogate: surrogate_value,
                 **fresh,
                 "effective_date": effective,
-                "expiry_date": F.lit(None),
-                "is_current": F.lit(True),
+                "expiry_date": "NULL",
+                "is_current": "true",
                 "version": number,
             }
         )
 
-    kept = {c: F.col(f"old.{c}") for c in columns}
-    first = version("_new_key", start, F.lit(1), surrogate_key("_new_key", start))
-    following = version(
-        "_new_key", today, F.col("old.version") + 1, surrogate_key("_new_key", today)
-    )
-    same_day = version("_new_key", kept["effective_date"], kept["version"], kept[surrogate])
-    expired = row(**{**kept, "expiry_date": today, "is_current": F.lit(False)})
-    untouched = row(**kept)
-    if overwrite_untracked:
-        untouched = F.when(F.col("_new_key").isNull(), untouched).otherwise(
-            row(**{**kept, **{c: F.col(f"new.{c}") for c in plain}})
-        )
-
+    first = version(start, "1", surrogate_key_sql("_new_key", start))
+    following = version(today, "old.version + 1", surrogate_key_sql("_new_key", today))
+    same_day = version("old.effective_date", "old.version", kept[surrogate])
+    expired = row({**kept, "expiry_date": today, "is_current": "false"})
+    refreshed = row({**kept, **{c: fresh[c] for c in attributes if c not in tracked}})
+    matched = refreshed if overwrite_untracked else row(kept)
     changed = any_changed("old", "new", tracked, nulls_equal_blank)
-    out_of_order = F.raise_error(
-        F.concat(F.lit("current version starts after the run date, key "), F.col("_new_key").cast("string"))
-    )
-    rows = (
-        F.when(F.col("_old_key").isNull(), F.array(first))
-        .when(F.col("_new_key").isNull() | ~changed, F.array(untouched))
-        .when(kept["effective_date"] == today, F.array(same_day))
-        .when(kept["effective_date"] < today, F.array(expired, following))
-        .otherwise(out_of_order)
-    )
-    merged = pair.select(F.inline(rows))
-    return history.filter("NOT is_current").unionByName(merged)
+    rows = f"""CASE
+        WHEN _old_key IS NULL THEN array({first})
+        WHEN _new_key IS NULL THEN array({row(kept)})
+        WHEN NOT ({changed}) THEN array({matched})
+        WHEN old.effective_date = {today} THEN array({same_day})
+        WHEN old.effective_date < {today} THEN array({expired}, {following})
+        ELSE raise_error('current version starts after the run date, key ' || CAST(_new_key AS STRING))
+    END"""
+    return history.filter("NOT is_current").unionByName(pair.selectExpr(f"inline({rows})"))

@@ -16,12 +16,10 @@ from martwright.operators.merge import insert_absent, scd2_merge, start_history,
 from martwright.operators.ordering import position_key
 from martwright.schemas import (
     DEFAULTS,
-    HISTORY_START,
     KEYS,
     TABLES,
     TRACKED,
     conform,
-    empty_table,
     unknown_member,
 )
 
@@ -72,15 +70,14 @@ SNAPSHOTS = {
 }
 
 
-def with_unknown_member(dim: DataFrame, table: str) -> DataFrame:
-    """Add the unknown member unless the table already holds it."""
-    return insert_absent(dim, unknown_member(dim.sparkSession, table), [KEYS[table][1]])
+def seeded(dim: DataFrame, table: str) -> DataFrame:
+    """The first state of a dimension: its rows and the unknown member. Later merges keep both."""
+    return dim.unionByName(unknown_member(dim.sparkSession, table))
 
 
-def first_versions(silver: DataFrame, table: str, first_day: date = HISTORY_START) -> DataFrame:
-    """First load of a versioned dimension, without a merge."""
-    key, surrogate = KEYS[table]
-    return conform(start_history(SNAPSHOTS[table](silver), key, surrogate, first_day), table)
+def seed_stored(dim: DataFrame, table: str) -> DataFrame:
+    """Add the unknown member to a stored dimension unless it is there already."""
+    return insert_absent(dim, unknown_member(dim.sparkSession, table), [KEYS[table][1]])
 
 
 def load_versions(
@@ -89,23 +86,25 @@ def load_versions(
     table: str,
     run_date: date,
     *,
-    first_day: date | None = None,
     tracked: list[str] | None = None,
     overwrite_untracked: bool = False,
 ) -> DataFrame:
-    """Merge a snapshot into a versioned dimension; ``history`` None is the first load."""
-    if history is None:
-        history = empty_table(silver.sparkSession, table)
-        first_day = first_day or HISTORY_START
+    """Merge a snapshot into a versioned dimension.
+
+    Without a ``history`` this is the first load: ``run_date`` is the day from which its
+    versions are valid, so pass ``HISTORY_START`` to let orders from before the load find them.
+    """
     key, surrogate = KEYS[table]
+    snapshot = SNAPSHOTS[table](silver)
+    if history is None:
+        return seeded(conform(start_history(snapshot, key, surrogate, run_date), table), table)
     return scd2_merge(
         history,
-        SNAPSHOTS[table](silver),
+        snapshot,
         key,
         surrogate,
         tracked or TRACKED[table],
         run_date,
-        first_day=first_day,
         overwrite_untracked=overwrite_untracked,
     )
 
@@ -144,9 +143,15 @@ def with_position_key(dim: DataFrame, table: str) -> DataFrame:
     return numbered.select(*TABLES[table])
 
 
-def load_geography(target: DataFrame, geography: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    return upsert(target, dim_geography(geography, loaded_at), ["geography_key"])
+def load_geography(
+    target: DataFrame | None, geography: DataFrame, loaded_at: Column | None = None
+) -> DataFrame:
+    """Upsert addresses; without a target, the first load."""
+    fresh = dim_geography(geography, loaded_at)
+    return seeded(fresh, "dim_geography") if target is None else upsert(target, fresh, ["geography_key"])
 
 
-def load_vendor(target: DataFrame, vendor: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    return upsert(target, dim_vendor(vendor, loaded_at), ["vendor_key"])
+def load_vendor(target: DataFrame | None, vendor: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+    """Upsert vendors; without a target, the first load."""
+    fresh = dim_vendor(vendor, loaded_at)
+    return seeded(fresh, "dim_vendor") if target is None else upsert(target, fresh, ["vendor_key"])

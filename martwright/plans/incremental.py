@@ -69,13 +69,21 @@ def touched_days(orders: DataFrame) -> DataFrame:
     return orders.select("order_date").distinct()
 
 
+def touched_months(orders: DataFrame) -> DataFrame:
+    """All days of the months that a batch touches, for facts stored in month partitions."""
+    months = orders.select(F.trunc("order_date", "month").alias("month")).distinct()
+    days = F.explode(F.sequence("month", F.last_day("month"))).alias("order_date")
+    return months.select(days)
+
+
 def rebuild_days(
     header: DataFrame,
     detail: DataFrame,
     days: DataFrame,
     build: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> DataFrame:
-    """The fact rows of the touched days only. The day list is bounded by the calendar."""
+    """The fact rows of the given days only. The day list is bounded by the calendar, which
+    is why it may be broadcast; orders of other days drop out before any shuffle."""
     return build(header.join(F.broadcast(days), "order_date", "left_semi"), detail)
 
 

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from martwright.plans.dimensions import (
     dim_date_between,
-    dim_geography,
-    dim_vendor,
+    load_geography,
+    load_vendor,
     load_versions,
-    with_unknown_member,
 )
 from martwright.plans.facts import (
     fact_customer_behavior,
@@ -23,7 +22,7 @@ from martwright.plans.facts import (
     fact_product_daily,
     fact_seller_daily,
 )
-from martwright.operators.merge import upsert
+from martwright.schemas import HISTORY_START
 
 # The calendar a full build covers.
 CALENDAR = (date(2010, 1, 1), date(2030, 12, 31))
@@ -40,19 +39,14 @@ def build_dimensions(
     stored = stored or {}
 
     def versions(table: str, source: str) -> DataFrame:
-        merged = load_versions(stored.get(table), silver[source], table, run_date)
-        return with_unknown_member(merged, table)
+        old = stored.get(table)
+        return load_versions(old, silver[source], table, HISTORY_START if old is None else run_date)
 
-    def current(table: str, key: str, fresh: DataFrame) -> DataFrame:
-        merged = upsert(stored[table], fresh, [key]) if table in stored else fresh
-        return with_unknown_member(merged, table)
-
-    spark = silver["product"].sparkSession
     return {
-        "dim_date": dim_date_between(spark, *calendar),
+        "dim_date": dim_date_between(silver["product"].sparkSession, *calendar),
         "dim_product": versions("dim_product", "product"),
-        "dim_geography": current("dim_geography", "geography_key", dim_geography(silver["geography"], loaded_at)),
-        "dim_vendor": current("dim_vendor", "vendor_key", dim_vendor(silver["vendor"], loaded_at)),
+        "dim_geography": load_geography(stored.get("dim_geography"), silver["geography"], loaded_at),
+        "dim_vendor": load_vendor(stored.get("dim_vendor"), silver["vendor"], loaded_at),
         "dim_customer": versions("dim_customer", "customer"),
         "dim_seller": versions("dim_seller", "seller"),
     }

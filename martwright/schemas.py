@@ -5,8 +5,7 @@ from __future__ import annotations
 from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from martwright.functions.keys import UNKNOWN_ID, UNKNOWN_KEY
 
@@ -304,33 +303,25 @@ def empty_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame([], ddl(table))
 
 
-def conform(df: DataFrame, table: str, defaults: dict[str, Column] | None = None) -> DataFrame:
+def conform(df: DataFrame, table: str, defaults: dict[str, str] | None = None) -> DataFrame:
     """The table's columns in order and type. A column that ``df`` lacks is added, filled with
-    its default or NULL, so files written before the column existed stay readable."""
-    defaults = defaults or {}
+    its default (SQL) or NULL, so files written before the column existed stay readable."""
+    present, defaults = set(df.columns), defaults or {}
 
-    def column(name: str, kind: str) -> Column:
-        value = F.col(name) if name in df.columns else defaults.get(name, F.lit(None))
-        return value.cast(kind).alias(name)
+    def column(name: str, kind: str) -> str:
+        value = f"`{name}`" if name in present else defaults.get(name, "NULL")
+        return f"CAST({value} AS {kind}) AS `{name}`"
 
-    return df.select(*[column(name, kind) for name, kind in TABLES[table].items()])
+    return df.selectExpr(*[column(name, kind) for name, kind in TABLES[table].items()])
 
 
 def add_versioning(df: DataFrame, table: str, first_day: date) -> DataFrame:
     """Upgrade a dimension stored without history columns: each row becomes version 1."""
-    return conform(
-        df,
-        table,
-        {
-            "effective_date": F.lit(first_day),
-            "is_current": F.lit(True),
-            "version": F.lit(1),
-        },
-    )
+    start = f"DATE '{first_day.isoformat()}'"
+    return conform(df, table, {"effective_date": start, "is_current": "true", "version": "1"})
 
 
 def unknown_member(spark: SparkSession, table: str) -> DataFrame:
+    """The row that an empty dimension starts with."""
     member = UNKNOWN_MEMBERS[table]
-    return spark.range(1).select(
-        *[F.lit(member[name]).cast(kind).alias(name) for name, kind in TABLES[table].items()]
-    )
+    return spark.createDataFrame([tuple(member[name] for name in TABLES[table])], ddl(table))

@@ -2,7 +2,7 @@
 
 A table is either one folder (raw and conformed tables, replaced as a whole), a folder of
 numbered versions (dimensions: the new state is computed from the old, which therefore must
-stay readable), or a folder partitioned by day (facts: touched days are replaced).
+stay readable), or a folder partitioned by month (facts: touched months are replaced).
 """
 
 from __future__ import annotations
@@ -68,19 +68,21 @@ def write_version(df: DataFrame, root: str, table: str, partition_by: list[str]
     return number
 
 
-def replace_days(df: DataFrame, root: str, table: str, day: str = "date_key") -> str:
-    """Overwrite only the day partitions that ``df`` holds rows for.
+def replace_months(df: DataFrame, root: str, table: str) -> str:
+    """Overwrite only the month partitions that ``df`` holds rows for; it must hold these
+    months in full. The month comes from ``date_key``.
 
-    The rebalance hint gathers a day into few files, yet lets AQE split a day too big for
-    one task.
+    The rebalance hint gathers a month into few files, yet lets AQE split a month too big
+    for one task.
     """
     path = f"{root}/{folder_name(table)}"
     (
-        df.hint("rebalance", F.col(day))
+        df.withColumn("month_key", F.expr("date_key div 100"))
+        .hint("rebalance", "month_key")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", CODEC)
-        .partitionBy(day)
+        .partitionBy("month_key")
         .parquet(path)
     )
     return path

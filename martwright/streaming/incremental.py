@@ -1,15 +1,16 @@
-"""Order files as a stream: each micro-batch refreshes the days it touches."""
+"""Order files as a stream: each micro-batch refreshes the months it touches."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from martwright.plans.incremental import rebuild_days, touched_days
-from martwright.sources.parquet import read_table, replace_days
+from martwright.plans.incremental import rebuild_days, touched_months
+from martwright.sources.parquet import read_table, replace_months
 
 
 def order_files(
@@ -30,16 +31,17 @@ def load_batch(
     fact: str,
     build: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> None:
-    """Store the headers of one batch and rebuild the day partitions they touch.
+    """Store the headers of one batch and rebuild the month partitions they touch.
 
-    Both writes replace: the headers their own batch folder, the fact its days. A batch that
-    Spark replays after a failure therefore leaves the same state as one that ran once.
+    Both writes replace: the headers their own batch folder, the fact its months. A batch
+    that Spark replays after a failure therefore leaves the same state as one that ran once.
+    An order is expected to arrive once.
     """
     spark = batch.sparkSession
     batch.write.mode("overwrite").parquet(f"{root}/orders/batch={batch_id}")
     header = read_table(spark, root, "orders")
-    days = touched_days(spark.read.parquet(f"{root}/orders/batch={batch_id}"))
-    replace_days(rebuild_days(header.drop("batch"), detail, days, build), root, fact)
+    days = touched_months(header.filter(F.col("batch") == batch_id))
+    replace_months(rebuild_days(header.drop("batch"), detail, days, build), root, fact)
 
 
 def start_load(
