@@ -25,8 +25,12 @@ def line_revenue() -> Column:
 
 
 def mean(total: Column, n: Column) -> Column:
-    """total / n as money, rounded half up; NULL for an empty group."""
-    return (total / F.when(n != 0, n)).cast(MONEY)
+    """total / n as money, rounded half up; NULL for an empty group.
+
+    The cast leaves 16 decimals to the quotient; from a full-width total Spark would keep 6,
+    and rounding those again to 4 is not the same as rounding once.
+    """
+    return (total.cast("decimal(28,6)") / F.when(n != 0, n)).cast(MONEY)
 
 
 def share(part: Column, whole: Column) -> Column:
