@@ -35,12 +35,16 @@ SALES = {
     "order_header": """
 SELECT o_orderkey AS order_id, o_custkey AS customer_id,
        CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH') THEN NULL ELSE CAST(o_orderkey % 100 AS BIGINT) END AS sales_person_id,
-       CAST(c_nationkey AS BIGINT) AS address_id, CAST(o_orderdate AS DATE) AS order_date, o_orderstatus AS status,
+       CAST(o_orderdate AS DATE) AS order_date, o_orderstatus AS status,
        CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH') THEN 'Online' ELSE 'Offline' END AS sales_channel,
        CAST(o_totalprice AS DECIMAL(18,4)) AS sub_total,
        CAST(CAST(o_totalprice AS DECIMAL(14,2)) * CAST(0.08 AS DECIMAL(2,2)) AS DECIMAL(18,4)) AS tax_amt,
        CAST(CAST(o_totalprice AS DECIMAL(14,2)) * CAST(0.02 AS DECIMAL(2,2)) AS DECIMAL(18,4)) AS freight_amt,
        CAST(CAST(o_totalprice AS DECIMAL(14,2)) * CAST(1.10 AS DECIMAL(3,2)) AS DECIMAL(18,4)) AS total_due
+FROM {orders}""",
+    # where each order goes: the customer's nation, which the order table itself does not hold
+    "order_address": """
+SELECT o_orderkey AS order_id, CAST(c_nationkey AS BIGINT) AS address_id
 FROM {orders} LEFT JOIN {customer} ON o_custkey = c_custkey""",
     # a line is identified by its order, line number, product, supplier and amount
     "order_detail": """
@@ -207,9 +211,12 @@ class Inputs:
     def raw(self, name: str) -> DataFrame:
         return self.sql(RAW[name])
 
+    def input(self, name: str) -> DataFrame:
+        return self.sql(SALES[name])
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in SALES:
-            return self.sql(SALES[name])
+            return self.input(name)
         if name in DRIVER_TABLES:
             return self.table(name)
         raise AttributeError(name)

@@ -185,7 +185,7 @@ PARTS |= {
  FROM order_header h JOIN order_detail d ON h.order_id = d.order_id
  LEFT JOIN (SELECT * FROM dim_customer WHERE is_current) c ON h.customer_id = c.customer_id
  LEFT JOIN (SELECT * FROM dim_seller WHERE is_current) s ON h.sales_person_id = s.seller_id
- LEFT JOIN dim_geography g ON h.address_id = g.address_id
+ JOIN order_address a ON h.order_id = a.order_id LEFT JOIN dim_geography g ON a.address_id = g.address_id
  LEFT JOIN dim_product p ON d.product_id = p.product_id AND h.order_date >= p.effective_date
       AND (p.expiry_date IS NULL OR h.order_date < p.expiry_date)""",
     "inventory_now": """SELECT sha256(CAST(i.product_id AS VARCHAR) || '||' || CAST(location_id AS VARCHAR)) AS fact_inventory_key,

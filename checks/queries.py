@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +19,7 @@ from martwright.plans import silver as s
 from martwright.plans.clusters import customer_clusters
 from martwright.plans.refresh import build_dimensions, build_facts, summary
 from martwright.schemas import add_versioning, conform, empty_table
-from martwright.session import configure, shared_folder
+from martwright.session import configure, materialize, shared_folder
 from martwright.sources.ingest import ingest
 from martwright.sources.parquet import (
     append_table,
@@ -36,68 +35,67 @@ BEST_SELLER = "Supplier#000000001"
 CUT = date(2000, 1, 1)
 
 
+# (application, folder, table) -> stored table; each is built once per Spark application
+STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Warehouse(Inputs):
-    """The gold tables over the driver's data, each a lazy plan."""
-
-    @cached_property
-    def dim_product(self) -> DataFrame:
-        first = d.load_versions(None, self.product_v1, "dim_product", FIRST_DAY)
-        return d.load_versions(first, self.product_v2, "dim_product", REPRICED_ON)
-
-    @cached_property
-    def dim_customer(self) -> DataFrame:
-        first = d.load_versions(None, self.customer_v1, "dim_customer", FIRST_DAY)
-        return d.load_versions(first, self.customer_v2, "dim_customer", REPRICED_ON)
-
-    @cached_property
-    def dim_seller(self) -> DataFrame:
-        return d.load_versions(None, self.seller, "dim_seller", FIRST_DAY)
-
-    @cached_property
-    def dim_geography(self) -> DataFrame:
-        return d.load_geography(None, self.geography, F.lit(AS_OF))
-
-    @cached_property
-    def dim_vendor(self) -> DataFrame:
-        return d.load_vendor(None, self.vendor, F.lit(AS_OF))
-
-    @cached_property
-    def dim_date(self) -> DataFrame:
-        bounds = self.order_header.agg(
-            F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day")
-        )
-        return d.dim_date(bounds)
-
-    @cached_property
-    def fact_order(self) -> DataFrame:
-        return f.fact_order(
-            self.order_header,
-            self.order_detail,
-            self.dim_customer,
-            self.dim_product,
-            self.dim_geography,
-            self.dim_seller,
-        )
-
-    @cached_property
-    def fact_product_daily(self) -> DataFrame:
-        return f.fact_product_daily(self.order_header, self.order_detail, self.dim_product)
-
-    @cached_property
-    def fact_seller_daily(self) -> DataFrame:
-        return f.fact_seller_daily(self.order_header, self.order_detail, self.dim_seller)
-
-    @cached_property
-    def fact_order_daily(self) -> DataFrame:
-        return f.fact_order_daily(self.order_header, self.order_detail)
-
-    @cached_property
-    def fact_inventory(self) -> DataFrame:
-        return f.fact_inventory(self.inventory, self.dim_product)
-
-    @cached_property
-    def fact_customer_behavior(self) -> DataFrame:
-        return f.fact_customer_behavior(self.order_header, self.order_detail, self.dim_customer, AS_OF)
+    """The warehouse over one driver folder.
+
+    As in production each layer reads the stored tables of the layer below: conformed orders
+    and lines (unique per key, spread over files by that deduplication), then dimensions,
+    whose file sizes tell Spark which of them to broadcast, then facts for the reports.
+    ``build`` makes a table anew as a lazy plan; ``w.<table>`` is the stored one.
+    """
+
+    BUILDERS: dict[str, Callable[["Warehouse"], DataFrame]] = {
+        "order_header": lambda w: c.one_row_per_key(w.input("order_header"), ["order_id"]),
+        "order_detail": lambda w: c.one_row_per_key(w.input("order_detail"), ["order_detail_id"]),
+        "dim_product": lambda w: d.load_versions(
+            d.load_versions(None, w.product_v1, "dim_product", FIRST_DAY),
+            w.product_v2,
+            "dim_product",
+            REPRICED_ON,
+        ),
+        "dim_customer": lambda w: d.load_versions(
+            d.load_versions(None, w.customer_v1, "dim_customer", FIRST_DAY),
+            w.customer_v2,
+            "dim_customer",
+            REPRICED_ON,
+        ),
+        "dim_seller": lambda w: d.load_versions(None, w.seller, "dim_seller", FIRST_DAY),
+        "dim_geography": lambda w: d.load_geography(None, w.geography, F.lit(AS_OF)),
+        "dim_vendor": lambda w: d.load_vendor(None, w.vendor, F.lit(AS_OF)),
+        "dim_date": lambda w: d.dim_date(
+            w.order_header.agg(F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day"))
+        ),
+        "fact_order": lambda w: f.fact_order(
+            w.order_header.join(w.order_address, "order_id"),
+            w.order_detail,
+            w.dim_customer,
+            w.dim_product,
+            w.dim_geography,
+            w.dim_seller,
+        ),
+        "fact_product_daily": lambda w: f.fact_product_daily(w.order_header, w.order_detail, w.dim_product),
+        "fact_seller_daily": lambda w: f.fact_seller_daily(w.order_header, w.order_detail, w.dim_seller),
+        "fact_order_daily": lambda w: f.fact_order_daily(w.order_header, w.order_detail),
+        "fact_inventory": lambda w: f.fact_inventory(w.inventory, w.dim_product),
+        "fact_customer_behavior": lambda w: f.fact_customer_behavior(
+            w.order_header, w.order_detail, w.dim_customer, AS_OF
+        ),
+    }
+
+    def build(self, name: str) -> DataFrame:
+        return self.BUILDERS[name](self)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in self.BUILDERS:
+            return super().__getattr__(name)
+        place = (self.spark.sparkContext.applicationId, self.folder, name)
+        if place not in STORED:
+            STORED[place] = materialize(self.build(name), name)
+        return STORED[place]
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,7 +117,7 @@ def query(build: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], Data
 
 @query
 def scan_parquet_lineitem(w):
-    return w.order_detail
+    return w.input("order_detail")
 
 
 @query
@@ -306,7 +304,7 @@ QUERIES |= {
 
 @query
 def dim_date(w):
-    return w.dim_date
+    return w.build("dim_date")
 
 
 @query
@@ -321,17 +319,17 @@ def dim_customer(w):
 
 @query
 def dim_seller(w):
-    return w.dim_seller
+    return w.build("dim_seller")
 
 
 @query
 def dim_geography(w):
-    return w.dim_geography.drop("created_at")
+    return w.build("dim_geography").drop("created_at")
 
 
 @query
 def dim_vendor(w):
-    return w.dim_vendor.drop("created_at")
+    return w.build("dim_vendor").drop("created_at")
 
 
 @query
@@ -394,7 +392,7 @@ def scd2_same_day(w):
 
 @query
 def scd2_customer_history(w):
-    return w.dim_customer
+    return w.build("dim_customer")
 
 
 @query
@@ -430,32 +428,32 @@ def scd2_address_change(w):
 
 @query
 def fact_order(w):
-    return w.fact_order
+    return w.build("fact_order")
 
 
 @query
 def fact_product_daily(w):
-    return w.fact_product_daily
+    return w.build("fact_product_daily")
 
 
 @query
 def fact_seller_daily(w):
-    return w.fact_seller_daily
+    return w.build("fact_seller_daily")
 
 
 @query
 def fact_order_daily(w):
-    return w.fact_order_daily
+    return w.build("fact_order_daily")
 
 
 @query
 def fact_inventory(w):
-    return w.fact_inventory
+    return w.build("fact_inventory")
 
 
 @query
 def fact_customer_behavior(w):
-    return w.fact_customer_behavior
+    return w.build("fact_customer_behavior")
 
 
 @query

@@ -18,10 +18,15 @@ RUNTIME_CONF = {
 }
 
 
+# Settings that only a new session can take. Python call sites in error messages cost several
+# driver round trips per column expression.
+START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def get_session(app_name: str = "martwright", conf: dict[str, str] | None = None) -> SparkSession:
     """One session helper for every job; credentials and endpoints stay in spark-defaults."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**RUNTIME_CONF, **(conf or {})}.items():
+    for key, value in {**START_CONF, **RUNTIME_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
