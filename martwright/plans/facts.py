@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from martwright.functions.calendar import date_key
 from martwright.functions.keys import UNKNOWN_KEY, or_unknown, surrogate_key
 from martwright.functions.labels import rfm_segment
-from martwright.functions.money import MONEY_SUM, line_revenue, mean
+from martwright.functions.money import MONEY_SUM, line_revenue, mean, zero
 from martwright.operators.lookup import current_rows, lookup, temporal_lookup
 from martwright.schemas import conform
 
@@ -79,54 +79,32 @@ def fact_order(
 def fact_product_daily(header: DataFrame, detail: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Product version and day: quantity, revenue, profit before discount, orders, price snapshot.
 
-    Lines first collapse to (order, product), which needs no shuffle after the join on the
-    order; cost and price are constant per version, so profit and the averages over lines
-    follow from the sums. All versions of a product take part, not only the current one.
+    All versions of a product take part; the one valid on the order date gives key and cost.
+    Lines collapse per order first, which counts each order once. Grouping by the order reuses
+    the partitioning of the order join, unless the product join had to shuffle again. Within
+    one version cost and list price are constant, so their average over lines is their value;
+    lines of unknown products have none.
     """
     sales = header.select("order_id", "order_date").join(detail, "order_id")
-    sales = sales.groupBy("order_id", "order_date", "product_id").agg(
-        F.sum("order_qty").alias("quantity"),
-        F.sum("line_total").alias("amount"),
-        F.sum(F.col("unit_price") * F.col("order_qty")).alias("gross"),
-        F.sum(F.when(F.col("unit_price").isNotNull(), F.col("order_qty"))).alias("priced_quantity"),
-        F.count("*").alias("lines"),
-    )
+    prices = ["standard_cost", "list_price"]
     priced = temporal_lookup(
-        sales,
-        dim_product,
-        ("product_id", "product_id"),
-        "order_date",
-        ["product_key", "standard_cost", "list_price"],
+        sales, dim_product, ("product_id", "product_id"), "order_date", ["product_key", *prices]
     )
-
-    def times(price: str, n: str) -> Column:
-        return (F.col(price) * F.col(n)).cast(MONEY_SUM)
-
-    cost = F.coalesce(times("standard_cost", "priced_quantity"), F.lit(0).cast(MONEY_SUM))
+    profit = (F.col("unit_price") - F.coalesce("standard_cost", zero())) * F.col("order_qty")
     per_order = priced.groupBy(
         "order_id", date_key("order_date").alias("date_key"), or_unknown("product_key").alias("product_key")
     ).agg(
-        F.sum("quantity").alias("quantity"),
-        F.sum("amount").alias("amount"),
-        F.sum(F.col("gross") - cost).alias("profit"),
-        *[
-            agg
-            for price in ["standard_cost", "list_price"]
-            for agg in (
-                F.sum(times(price, "lines")).alias(f"{price}_sum"),
-                F.sum(F.when(F.col(price).isNotNull(), F.col("lines"))).alias(f"{price}_n"),
-            )
-        ],
+        F.sum("order_qty").alias("quantity"),
+        F.sum("line_total").alias("amount"),
+        F.sum(profit).cast(MONEY_SUM).alias("profit"),
+        *[F.max(price).alias(price) for price in prices],
     )
     daily = per_order.groupBy("date_key", "product_key").agg(
         _total("quantity", "bigint").alias("quantity_sold"),
         _total("amount", MONEY_SUM).alias("revenue"),
         _total("profit", MONEY_SUM).alias("gross_profit"),
         F.count("*").alias("order_count"),
-        *[
-            mean(F.sum(f"{price}_sum"), F.sum(f"{price}_n")).alias(f"avg_{price}")
-            for price in ["standard_cost", "list_price"]
-        ],
+        *[F.max(price).alias(f"avg_{price}") for price in prices],
     )
     return conform(
         daily.withColumn("fact_product_daily_key", surrogate_key("date_key", "product_key")),
