@@ -139,11 +139,22 @@ def standard_clean(
     lower_case: bool = False,
     audit: bool = True,
 ) -> DataFrame:
-    """The cleaning every source table gets, with the text rules fused into one projection."""
-    df = df.transform(trim_strings).transform(blank_to_null)
-    df = df.transform(lower_emails).transform(digits_only_phones)
-    if lower_case:
-        df = lower_strings(df)
+    """The cleaning every source table gets: text rules, then keys, then audit columns.
+
+    Text is trimmed, blanks become NULL, e-mails are lower-cased and phones reduced to digits,
+    all in one projection.
+    """
+
+    def text(c: str) -> Column:
+        value = F.nullif(F.trim(F.col(f"`{c}`")), F.lit(""))
+        if lower_case or EMAIL_MARK in c.lower():
+            value = F.lower(value)
+        if PHONE_MARK in c.lower():
+            value = F.regexp_replace(value, NOT_A_DIGIT, "")
+        return value.alias(c)
+
+    strings = set(_strings(df))
+    df = df.select(*[text(c) if c in strings else F.col(f"`{c}`") for c in df.columns])
     if keys:
         df = df.transform(drop_null_keys, keys).transform(one_row_per_key, keys)
     return add_audit(df) if audit else df
