@@ -348,7 +348,9 @@ BODIES: dict[str, str] = {
     "load_state": f"""SELECT 'fact_order' AS table_name, CAST(max(order_date) AS TIMESTAMP) AS last_loaded, count(*) AS row_count FROM order_header
  UNION ALL SELECT 'fact_seller_daily', CAST(max(order_date) AS TIMESTAMP), count(*) FROM order_header WHERE sales_channel = 'Online'
  UNION ALL SELECT 'fact_order_daily', TIMESTAMP '2000-01-01 00:00:00', NULL""",
+    "fact_product_daily_of_lines": "SELECT * FROM product_daily",
     "incremental_order_daily": "SELECT * FROM order_daily",
+    "incremental_stored_runs": "SELECT * FROM order_daily",
     "incremental_product_daily": "SELECT * FROM product_daily",
     "incremental_seller_daily": "SELECT * FROM seller_daily",
     "late_orders_order_daily": "SELECT * FROM order_daily",

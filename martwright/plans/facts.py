@@ -30,7 +30,11 @@ def _total(column: str, kind: str) -> Column:
 
 
 def order_totals(detail: DataFrame) -> DataFrame:
-    """Per order: quantity, line amounts and net revenue, with their line counts."""
+    """Per order: quantity, line amounts and net revenue, with their line counts.
+
+    The seller, order and customer facts all start from these; a load that builds several of
+    them stores the totals once and passes them on, so the lines are read and shuffled once.
+    """
     return detail.groupBy("order_id").agg(
         F.sum("order_qty").alias("quantity"),
         F.sum("line_total").alias("amount"),
@@ -40,8 +44,12 @@ def order_totals(detail: DataFrame) -> DataFrame:
     )
 
 
-def _orders_with_totals(header: DataFrame, detail: DataFrame, columns: list[str]) -> DataFrame:
-    return header.select("order_id", *columns).join(order_totals(detail), "order_id")
+def _orders_with_totals(
+    header: DataFrame, detail: DataFrame, columns: list[str], totals: DataFrame | None
+) -> DataFrame:
+    return header.select("order_id", *columns).join(
+        order_totals(detail) if totals is None else totals, "order_id"
+    )
 
 
 def fact_order(
@@ -76,35 +84,28 @@ def fact_order(
     return conform(keyed, "fact_order")
 
 
-def fact_product_daily(header: DataFrame, detail: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Product version and day: quantity, revenue, profit before discount, orders, price snapshot.
+def _product_days(priced: DataFrame) -> DataFrame:
+    """Aggregate lines that already carry ``date_key``, ``product_key`` and the version's prices.
 
-    All versions of a product take part; the one valid on the order date gives key and cost.
-    Lines collapse per order first, which counts each order once. Grouping by the order reuses
-    the partitioning of the order join, unless the product join had to shuffle again. Within
-    one version cost and list price are constant, so their average over lines is their value;
-    lines of unknown products have none.
+    Lines collapse per order first, which counts each order once. Within one version cost and
+    list price are constant, so their average over lines is their value; lines of unknown
+    products have none.
     """
-    sales = header.select("order_id", "order_date").join(detail, "order_id")
-    prices = ["standard_cost", "list_price"]
-    priced = temporal_lookup(
-        sales, dim_product, ("product_id", "product_id"), "order_date", ["product_key", *prices]
-    )
-    profit = (F.col("unit_price") - F.coalesce("standard_cost", zero())) * F.col("order_qty")
-    per_order = priced.groupBy(
-        "order_id", date_key("order_date").alias("date_key"), or_unknown("product_key").alias("product_key")
-    ).agg(
+    cost = F.coalesce("standard_cost", zero())
+    per_order = priced.groupBy("order_id", "date_key", "product_key").agg(
         F.sum("order_qty").alias("quantity"),
         F.sum("line_total").alias("amount"),
-        F.sum(profit).cast(MONEY_SUM).alias("profit"),
-        *[F.max(price).alias(price) for price in prices],
+        F.sum((F.col("unit_price") - cost) * F.col("order_qty")).cast(MONEY_SUM).alias("profit"),
+        F.max("standard_cost").alias("standard_cost"),
+        F.max("list_price").alias("list_price"),
     )
     daily = per_order.groupBy("date_key", "product_key").agg(
         _total("quantity", "bigint").alias("quantity_sold"),
         _total("amount", MONEY_SUM).alias("revenue"),
         _total("profit", MONEY_SUM).alias("gross_profit"),
         F.count("*").alias("order_count"),
-        *[F.max(price).alias(f"avg_{price}") for price in prices],
+        F.max("standard_cost").alias("avg_standard_cost"),
+        F.max("list_price").alias("avg_list_price"),
     )
     return conform(
         daily.withColumn("fact_product_daily_key", surrogate_key("date_key", "product_key")),
@@ -112,9 +113,39 @@ def fact_product_daily(header: DataFrame, detail: DataFrame, dim_product: DataFr
     )
 
 
-def fact_seller_daily(header: DataFrame, detail: DataFrame, dim_seller: DataFrame) -> DataFrame:
+def fact_product_daily(header: DataFrame, detail: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """Product version and day: quantity, revenue, profit before discount, orders, price snapshot.
+
+    All versions of a product take part; the one valid on the order date gives key and cost.
+    Grouping by the order reuses the partitioning of the order join, unless the product join
+    had to shuffle again.
+    """
+    sales = header.select("order_id", "order_date").join(detail, "order_id")
+    priced = temporal_lookup(
+        sales,
+        dim_product,
+        ("product_id", "product_id"),
+        "order_date",
+        ["product_key", "standard_cost", "list_price"],
+    )
+    return _product_days(
+        priced.withColumns({"date_key": date_key("order_date"), "product_key": or_unknown("product_key")})
+    )
+
+
+def product_daily_of(fact_order: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """``fact_product_daily`` from stored order lines, which know their day and version already:
+    neither the order join nor the date-range join is repeated."""
+    sold = dim_product.filter(F.col("product_key") != UNKNOWN_KEY)
+    prices = ["standard_cost", "list_price"]
+    return _product_days(lookup(fact_order, sold, {"product_key": "product_key"}, prices))
+
+
+def fact_seller_daily(
+    header: DataFrame, detail: DataFrame, dim_seller: DataFrame, totals: DataFrame | None = None
+) -> DataFrame:
     """Seller and day: orders, customers, quantity, net revenue and commission earned."""
-    orders = _orders_with_totals(header, detail, ["order_date", "customer_id", "sales_person_id"])
+    orders = _orders_with_totals(header, detail, ["order_date", "customer_id", "sales_person_id"], totals)
     orders = lookup(
         orders,
         current_rows(dim_seller),
@@ -144,9 +175,9 @@ def fact_seller_daily(header: DataFrame, detail: DataFrame, dim_seller: DataFram
     )
 
 
-def fact_order_daily(header: DataFrame, detail: DataFrame) -> DataFrame:
+def fact_order_daily(header: DataFrame, detail: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Day: orders, customers, quantity, net revenue; average per line and per order."""
-    orders = _orders_with_totals(header, detail, ["order_date", "customer_id"])
+    orders = _orders_with_totals(header, detail, ["order_date", "customer_id"], totals)
     per_customer = orders.groupBy(date_key("order_date").alias("date_key"), "customer_id").agg(
         F.count("*").alias("orders"),
         F.sum("quantity").alias("quantity"),
@@ -185,14 +216,18 @@ def with_customer_key(header: DataFrame, dim_customer: DataFrame) -> DataFrame:
 
 
 def fact_customer_behavior(
-    header: DataFrame, detail: DataFrame, dim_customer: DataFrame, as_of: date
+    header: DataFrame,
+    detail: DataFrame,
+    dim_customer: DataFrame,
+    as_of: date,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Lifetime totals and segment per customer as of a day; all unknown customers are one row.
 
     The row key hashes the customer id, so a new version of the customer updates the row
     instead of adding a second one.
     """
-    orders = _orders_with_totals(header, detail, ["order_date", "customer_id"])
+    orders = _orders_with_totals(header, detail, ["order_date", "customer_id"], totals)
     sums = {"orders": "bigint", "quantity": "bigint", "amount": MONEY_SUM, "lines": "bigint"}
     per_customer = orders.groupBy("customer_id").agg(
         F.count("*").alias("orders"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,20 +13,23 @@ from martwright.operators.merge import upsert
 from martwright.plans.facts import fact_customer_behavior, with_customer_key
 from martwright.schemas import conform
 
-# Fixed value: the mark of a table that was never loaded, meaning "load everything".
-NEVER = datetime(2000, 1, 1)
+# Fixed value: what the mark of a table that was never loaded reads as.
+NEVER = date(2000, 1, 1)
 
 
-def load_mark(state: DataFrame, table: str) -> DataFrame:
+def load_mark(state: DataFrame, table: str, never: date = NEVER) -> DataFrame:
     """One row: when ``table`` was last loaded, as ``last_loaded`` and ``last_day``."""
     mark = state.filter(F.col("table_name") == table).agg(F.max("last_loaded").alias("m"))
-    loaded = F.coalesce("m", F.lit(NEVER).cast("timestamp"))
+    loaded = F.coalesce("m", F.lit(never).cast("timestamp"))
     return mark.select(loaded.alias("last_loaded"), loaded.cast("date").alias("last_day"))
 
 
-def read_mark(state: DataFrame, table: str) -> date:
-    """The stored day on the driver, so that it can prune partitions as a literal."""
-    return load_mark(state, table).first()["last_day"]
+def read_mark(state: DataFrame, table: str, never: date = NEVER) -> date:
+    """The stored day on the driver, so that it can prune partitions as a literal.
+
+    Sources with orders from before ``NEVER`` pass an earlier day.
+    """
+    return load_mark(state, table, never).first()["last_day"]
 
 
 def advance_mark(state: DataFrame, marks: DataFrame, updated_at: Column | None = None) -> DataFrame:

@@ -38,6 +38,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def fit_shuffles(*inputs: DataFrame, bytes_per_partition: int = 256 * 1024**2) -> int:
+    """Start shuffles wide enough for the given scans; AQE then merges what turns out small.
+
+    AQE never widens a shuffle, so at 100 TB the default of 200 partitions would put 500 GB
+    into each. The file sizes are known from the listing; nothing is read.
+    """
+    spark = inputs[0].sparkSession
+    size = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
+    width = max(size // bytes_per_partition + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
+    return width
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which every executor can reach.
 
