@@ -192,17 +192,21 @@ def duckdb_text(text: str) -> str:
     return text
 
 
+# (application, folder, table) -> scan; listing and footers are read once per application
+SCANS: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Inputs:
     """Lazy frames over one driver folder: ``inputs.order_header``, ``inputs.lineitem`` …"""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
-        self.frames: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        if name not in self.frames:
-            self.frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return self.frames[name]
+        place = (self.spark.sparkContext.applicationId, self.folder, name)
+        if place not in SCANS:
+            SCANS[place] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return SCANS[place]
 
     def sql(self, text: str) -> DataFrame:
         used = {t: self.table(t) for t in DRIVER_TABLES if f"{{{t}}}" in text}

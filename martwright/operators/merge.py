@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwright.functions.keys import any_changed, surrogate_key_sql
+from martwright.session import fits_broadcast
 
 SCD2_COLUMNS = ["effective_date", "expiry_date", "is_current", "version"]
 
@@ -35,12 +36,13 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], check: bool =
     """Insert new keys, overwrite the given columns of known keys, leave other rows alone.
 
     ``updates`` may lack columns of ``target``: those keep their value, or are NULL for a
-    new key. Both sides are read once, in one join.
+    new key. A batch small enough to broadcast is matched without shuffling the target; a
+    larger one meets it in a single full outer join, which reads both sides once.
     """
     if check:
         updates = require_unique(updates, keys)
     given = set(updates.columns)
-    old = target.selectExpr("*", "true AS _old").alias("o")
+    old = target.alias("o")
     new = updates.selectExpr("*", "true AS _new").alias("n")
     hit = F.expr(" AND ".join(f"o.`{k}` = n.`{k}`" for k in keys))
 
@@ -51,12 +53,28 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], check: bool =
             return f"o.`{c}` AS `{c}`"
         return f"CASE WHEN n._new THEN CAST(n.`{c}` AS {kind}) ELSE o.`{c}` END AS `{c}`"
 
-    return old.join(new, hit, "full_outer").selectExpr(*[merged(c, kind) for c, kind in target.dtypes])
+    columns = [merged(c, kind) for c, kind in target.dtypes]
+    if not fits_broadcast(updates):
+        return old.join(new, hit, "full_outer").selectExpr(*columns)
+    added = absent(target, updates, keys).selectExpr(
+        *[f"CAST({f'`{c}`' if c in given else 'NULL'} AS {kind}) AS `{c}`" for c, kind in target.dtypes]
+    )
+    return old.join(new, hit, "left").selectExpr(*columns).unionByName(added)
+
+
+def absent(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The ``rows`` whose key the target lacks.
+
+    The target is first cut down to the keys in question, so few ``rows`` against a large
+    target cost one scan of its key columns and no shuffle of it.
+    """
+    known = target.select(*keys).join(rows.select(*keys), keys, "left_semi")
+    return rows.join(known, keys, "left_anti")
 
 
 def insert_absent(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """Add the rows whose key the target lacks; keep everything already there."""
-    return target.unionByName(rows.join(target.select(*keys), keys, "left_anti"))
+    return target.unionByName(absent(target, rows, keys))
 
 
 def full_refresh(

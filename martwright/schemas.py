@@ -6,6 +6,7 @@ from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martwright.functions.keys import UNKNOWN_ID, UNKNOWN_KEY
 
@@ -324,4 +325,7 @@ def add_versioning(df: DataFrame, table: str, first_day: date) -> DataFrame:
 def unknown_member(spark: SparkSession, table: str) -> DataFrame:
     """The row that an empty dimension starts with."""
     member = UNKNOWN_MEMBERS[table]
-    return spark.createDataFrame([tuple(member[name] for name in TABLES[table])], ddl(table))
+    # a plan rather than local data: Spark knows it is one row and broadcasts it
+    return spark.range(1).select(
+        *[F.lit(member[name]).cast(kind).alias(name) for name, kind in TABLES[table].items()]
+    )

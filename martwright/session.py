@@ -38,6 +38,17 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate; for a stored table it comes from the file sizes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Would Spark itself broadcast this side of a join?"""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return estimated_bytes(df) <= limit
+
+
 def fit_shuffles(*inputs: DataFrame, bytes_per_partition: int = 256 * 1024**2) -> int:
     """Start shuffles wide enough for the given scans; AQE then merges what turns out small.
 
@@ -45,7 +56,7 @@ def fit_shuffles(*inputs: DataFrame, bytes_per_partition: int = 256 * 1024**2) -
     into each. The file sizes are known from the listing; nothing is read.
     """
     spark = inputs[0].sparkSession
-    size = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
+    size = sum(estimated_bytes(df) for df in inputs)
     width = max(size // bytes_per_partition + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
     return width
