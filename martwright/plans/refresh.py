@@ -37,7 +37,7 @@ from martwright.plans.incremental import (
     rebuild_days,
     touched_months,
 )
-from martwright.schemas import HISTORY_START, conform, empty_table
+from martwright.schemas import HISTORY_START, conform, ddl, empty_table
 from martwright.session import materialize
 from martwright.sources.parquet import read_table, read_version, replace_months, write_version
 
@@ -103,7 +103,7 @@ def load_facts(
 
     def by_month(df: DataFrame, table: str) -> DataFrame:
         replace_months(df, root, table)
-        return conform(read_table(spark, root, table), table)
+        return conform(read_table(spark, root, table, f"{ddl(table)}, month_key int"), table)
 
     lines = fact_order(
         header,
@@ -151,11 +151,15 @@ def load_increment(
     spark = header.sparkSession
     stored_state = _stored(spark, root, "load_state")
     state = empty_table(spark, "load_state") if stored_state is None else stored_state
-    new = orders_since(header, read_mark(state, table, HISTORY_START), lateness_days)
+    day = read_mark(state, table, HISTORY_START)
+    new = orders_since(header, day, lateness_days)
     if new.isEmpty():
         return False
     replace_months(rebuild_days(header, detail, touched_months(new), build), root, table)
-    write_version(advance_mark(state, orders_mark(new, table)), root, "load_state")
+    # looking back for late orders must not move the mark back
+    latest = F.greatest("last_loaded", F.lit(day).cast("timestamp"))
+    mark = orders_mark(new, table).withColumn("last_loaded", latest)
+    write_version(advance_mark(state, mark), root, "load_state")
     return True
 
 

@@ -18,8 +18,10 @@ def folder_name(table: str) -> str:
     return table.replace(".", "_").lower()
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{folder_name(table)}")
+def read_table(spark: SparkSession, root: str, table: str, schema: str | None = None) -> DataFrame:
+    """A table folder. With a schema (DDL) no footer is read, and a table without files is empty."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{root}/{folder_name(table)}")
 
 
 def write_table(df: DataFrame, root: str, table: str, partition_by: list[str] | None = None) -> str:

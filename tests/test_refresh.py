@@ -61,6 +61,30 @@ def test_increment_skips_when_nothing_is_new(spark, silver):
     assert [(r["table_name"], r["last_loaded"].date()) for r in state] == [("fact_order_daily", date(2001, 8, 1))]
 
 
+def test_looking_back_never_moves_the_mark_back(spark, silver):
+    root = shared_folder(spark, "gold")
+    header, detail = silver["sales_order_header"], silver["sales_order_detail"]
+    build = fact_order_daily
+    assert load_increment(header, detail, root, "fact_order_daily", build)
+    older = header.filter(F.col("order_date") < F.lit(date(2001, 7, 25)))
+    assert load_increment(older, detail, root, "fact_order_daily", build, lateness_days=30)
+    mark = read_version(spark, root, "load_state").first()["last_loaded"]
+    assert mark.date() == date(2001, 8, 1)
+
+
+def test_facts_without_orders_are_skipped(spark, silver):
+    nothing = silver | {"sales_order_header": silver["sales_order_header"].filter("order_id < 0")}
+    rows = load_warehouse(nothing, shared_folder(spark, "gold"), date(2001, 9, 1), AS_OF, CALENDAR).collect()
+    skipped = {r["table_name"] for r in rows if r["status"] == "skipped"}
+    assert skipped == {
+        "fact_order",
+        "fact_product_daily",
+        "fact_seller_daily",
+        "fact_order_daily",
+        "fact_customer_behavior",
+    }
+
+
 def test_shuffle_width_follows_the_input(spark, folder):
     lines = Inputs(spark, folder).lineitem
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
