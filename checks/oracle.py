@@ -329,6 +329,10 @@ BODIES: dict[str, str] = {
     "scd2_second_load": "SELECT * FROM dim_product",
     "scd2_noop": merged("dim_product", "snap_product_2", day=LATER, **PRODUCT_MERGE),
     "scd2_same_day": merged("dim_product", "snap_product_1", day=REPRICED, **PRODUCT_MERGE),
+    "scd2_change_hash": """SELECT customer_id, sha256(coalesce(customer_name, '') || '||' || coalesce(customer_type, '')) AS change_hash
+ FROM customer_v2""",
+    "duplicate_line_keys": "SELECT order_id, line, count(*) AS n FROM dirty_lines GROUP BY ALL HAVING count(*) > 1",
+    "overlapping_price_versions": f"SELECT product_id, {FIRST} AS effective_date, {REPRICED} AS next_effective_date FROM product_v2",
     "scd2_customer_history": "SELECT * FROM dim_customer",
     "scd2_overwrite_untracked": f"""SELECT d.customer_key, d.customer_id, d.customer_name, d.customer_type,
        coalesce(CASE WHEN d.is_current THEN n.account_number END, d.account_number) AS account_number, {VERSION}

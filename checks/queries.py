@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.inputs import AS_OF, FIRST_DAY, REPRICED_ON, Inputs
+from martwright.functions.keys import change_hash
 from martwright.operators import cleaning as c
-from martwright.operators.merge import full_refresh, scd2_merge, start_history, upsert
+from martwright.operators.lookup import overlapping_versions
+from martwright.operators.merge import duplicate_keys, full_refresh, scd2_merge, start_history, upsert
 from martwright.plans import analytics as a
 from martwright.plans import dimensions as d
 from martwright.plans import facts as f
@@ -394,6 +396,27 @@ def scd2_same_day(w):
     return d.load_versions(second, w.product_v1, "dim_product", REPRICED_ON)
 
 
+@query
+def scd2_change_hash(w):
+    """The stored form of the change test: one hash over the tracked columns."""
+    return w.customer_v2.select("customer_id", change_hash(["customer_name", "customer_type"]).alias("change_hash"))
+
+
+@query
+def duplicate_line_keys(w):
+    """Keys an upsert would refuse: order and line number repeat in the line table."""
+    return duplicate_keys(w.sql(DIRTY_LINES), ["order_id", "line"])
+
+
+@query
+def overlapping_price_versions(w):
+    """Both price lists as open-ended versions of the same products overlap; merged ones do not."""
+    first = d.load_versions(None, w.product_v1, "dim_product", FIRST_DAY)
+    second = d.load_versions(None, w.product_v2, "dim_product", REPRICED_ON).filter("product_id >= 0")
+    both = first.unionByName(second).unionByName(w.build("dim_product").withColumn("product_id", -F.col("product_id") - 10))
+    return overlapping_versions(both, "product_id").select("product_id", "effective_date", "next_effective_date")
+
+
 @query
 def scd2_customer_history(w):
     return w.build("dim_customer")
