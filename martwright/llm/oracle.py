@@ -31,6 +31,17 @@ bits AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed_bits & 3 <> 0 AS base_failed,
        failed_bits = 0 AS kept, failed_bits
 FROM bits""",
+    "op5_warc_salvage": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS h,
+             min(page_id) OVER (PARTITION BY payload) AS first FROM p),
+g AS (SELECT *, list_transform([0, 1, 2, 3], lambda i: ('0x' || substr(h, 1 + 10 * i, 10))::BIGINT) AS parts FROM d)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(parts, lambda v: array_to_string(list_transform([35, 30, 25, 20, 15, 10, 5, 0],
+         lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> s) & 31)::INT + 1, 1)), '')), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM g""",
     "op6_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),

@@ -5,13 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import lines, mixing, quality
+from martwright.llm import decontam, lines, mixing, quality, tokens, toxicity, warc
+from martwright.llm.text import in_bucket
+from martwright.session import materialize, shared_folder
+
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, folder: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Tokens of every document, and after masking and removal of repeated lines, re-encoding only what changed."""
+    known = tokens.ranks(spark, vocabulary)
+    state = tokens.with_trees(table(spark, folder, "documents"), known)
+    after = tokens.apply_edits(state, known, find=tokens.redactions)
+    # node 1 of a tree is its root
+    return after.select(
+        "doc_id",
+        F.col("tokens_before").alias("n_tokens"),
+        "n_edits",
+        F.get("tree_tokens", F.lit(1)).alias("n_tokens_after"),
+        F.get("tree_chars", F.lit(1)).alias("n_chars_after"),
+        "chars_encoded",
+    )
+
+
 def op4_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     ledger = quality.apply_policy(quality.ledger(table(spark, folder, "documents")), "v1")
     return ledger.select(
@@ -23,19 +43,45 @@ def op4_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
+    archives = shared_folder(spark, "warc")
+    warc.write(warc.with_records(table(spark, folder, "pages")), archives)
+    fields = warc.read(spark, archives).drop("payload")
+    return warc.resolved(materialize(fields, "records"))
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     done = lines.drop_lines(docs, lines.keep_bitmaps(docs, min_documents=10, min_chars=1))
     return done.select("doc.doc_id", "n_lines", "n_dropped", F.sha2(F.col("doc.text"), 256).alias("kept_sha256"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = toxicity.score(docs, toxicity.train(docs, toxicity.learnable(labels)))
+    return scored.select(
+        "doc_id",
+        in_bucket(F.col("doc_id"), 3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     mix = mixing.Mix(table(spark, folder, "documents"))
     return mix.documents().select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op4_quality_ledger": op4_quality_ledger,
+    "op5_warc_salvage": op5_warc_salvage,
     "op6_line_dedup": op6_line_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_source_mix": op8_source_mix,
+    "op9_decontamination": op9_decontamination,
 }

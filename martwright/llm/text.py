@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,7 +101,7 @@ def as_long(x: np.ndarray) -> pa.Array:
 def runs_of(batches: Iterator[pa.RecordBatch], limit: int, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut batches so that none carries many more than ``limit`` bytes of text; one row may be longer."""
     for batch in batches:
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
         start, total = 0, 0
         for i, n in enumerate(sizes.tolist()):
             if total and total + n > limit:
