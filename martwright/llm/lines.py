@@ -141,15 +141,16 @@ def dropped_lines(docs: DataFrame, min_documents: int | None, min_chars: int = 1
     if min_documents is None:
         place = F.struct("doc_id", "row", "pos")
         firsts = undecided.groupBy("h1", "h2").agg(F.min(place).alias("first"))
-        late = undecided.join(firsts, ["h1", "h2"]).filter(place != F.col("first"))
+        late = undecided.join(F.broadcast(firsts), ["h1", "h2"]).filter(place != F.col("first"))
     else:
-        # the sum over ranges counts a document on a border twice; where it reaches the limit, count exactly
+        # Open runs touch a border of a range, so their digests number at most two per range: safe to broadcast.
+        # The sum over ranges counts a document on a border twice; where it reaches the limit, count exactly
         likely = undecided.groupBy("h1", "h2").agg(F.sum("documents").alias("most")).filter(F.col("most") >= min_documents)
-        documents = undecided.join(likely, ["h1", "h2"]).select(
+        documents = undecided.join(F.broadcast(likely), ["h1", "h2"]).select(
             "h1", "h2", F.coalesce("doc_id", F.lit(0).cast("long")).alias("d"), F.col("doc_id").isNull().alias("none")
         )
         common = documents.distinct().groupBy("h1", "h2").agg(F.count("*").alias("n")).filter(F.col("n") >= min_documents)
-        late = undecided.join(common, ["h1", "h2"], "left_semi")
+        late = undecided.join(F.broadcast(common), ["h1", "h2"], "left_semi")
     columns = ["doc_id", "row", "pos"]
     return found.filter("drop").select(*columns).unionByName(late.select(*columns)).distinct()
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import decontam, lines, mixing, quality, tokens, toxicity, warc
+from martwright.llm import dartminhash, decontam, lines, mixing, quality, tokens, toxicity, warc
 from martwright.llm.text import in_bucket
 from martwright.session import materialize, shared_folder
 
@@ -32,6 +32,11 @@ def op1_token_counts(spark: SparkSession, folder: str, vocabulary: str = VOCABUL
     )
 
 
+def op3_dartminhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = dartminhash.classes(table(spark, folder, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "stays")
+
+
 def op4_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     ledger = quality.apply_policy(quality.ledger(table(spark, folder, "documents")), "v1")
     return ledger.select(
@@ -78,6 +83,7 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_dartminhash": op3_dartminhash,
     "op4_quality_ledger": op4_quality_ledger,
     "op5_warc_salvage": op5_warc_salvage,
     "op6_line_dedup": op6_line_dedup,
