@@ -54,4 +54,20 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(common.key)::BIGINT AS n_dropp
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE common.key IS NULL), '')) AS kept_sha256
 FROM lines LEFT JOIN common ON lines.key = common.key
 GROUP BY doc_id""",
+    "op10_substring_dedup": rf"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}'), lambda w: w <> '') AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i : i + 19], ' ') AS win
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM d)),
+late AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS n FROM windows) WHERE n > 1),
+gone AS (
+  SELECT DISTINCT doc_id, i + k AS i FROM late, (SELECT unnest(range(0, 20)) AS k)),
+w AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d)
+SELECT d.doc_id, len(any_value(d.words))::BIGINT AS n_words, count(gone.i)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(w.word, ' ' ORDER BY w.i) FILTER (WHERE gone.i IS NULL), '')) AS kept_sha256
+FROM d LEFT JOIN w ON w.doc_id = d.doc_id LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.i = w.i
+GROUP BY d.doc_id""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import dartminhash, decontam, lines, mixing, quality, tokens, toxicity, warc
+from martwright.llm import dartminhash, decontam, lines, mixing, quality, repeats, tokens, toxicity, warc
 from martwright.llm.text import in_bucket
 from martwright.session import materialize, shared_folder
 
@@ -81,6 +81,11 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = repeats.without_repeats(table(spark, folder, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op3_dartminhash": op3_dartminhash,
@@ -90,4 +95,5 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_source_mix": op8_source_mix,
     "op9_decontamination": op9_decontamination,
+    "op10_substring_dedup": op10_substring_dedup,
 }

@@ -42,7 +42,7 @@ class WordDigests:
     The memory is emptied when it holds ``limit`` words, so that it stays bounded over any input.
     """
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 200_000):
         self.limit = limit
         self.known: dict[bytes, int] = {}
         self.low: list[int] = []
@@ -82,15 +82,24 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def windows64(words: np.ndarray, n: int) -> np.ndarray:
-    """One uint64 for each ``n`` consecutive words, from the words' digests."""
-    m = len(words) - n + 1
-    if m <= 0:
+    """One uint64 for each ``n`` consecutive words, from the words' digests, by doubling the length."""
+    if len(words) < n:
         return np.empty(0, dtype=np.uint64)
-    out = np.zeros(m, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(n):
-            out = out * np.uint64(0x9E3779B97F4A7C15) + words[k : k + m]
-        return mix64(out)
+        power, span, out, done = words, 1, None, 0
+        while True:
+            if n & span:
+                if out is None:
+                    out = power
+                else:
+                    m = len(words) - done - span + 1
+                    out = mix64(out[:m] * np.uint64(0x9E3779B97F4A7C15) + power[done : done + m])
+                done += span
+            if done == n:
+                return out if n > 1 else mix64(out)
+            m = len(words) - 2 * span + 1
+            power = mix64(power[:m] * np.uint64(0xC2B2AE3D27D4EB4F) + power[span : span + m])
+            span *= 2
 
 
 def as_long(x: np.ndarray) -> pa.Array:
@@ -115,3 +124,13 @@ def runs_of(batches: Iterator[pa.RecordBatch], limit: int, column: str = "text")
 def total_chars(docs: DataFrame) -> int:
     """Characters of all texts; one number reaches the driver."""
     return docs.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0)).alias("n")).first()["n"]
+
+
+def blocked(docs: DataFrame, block_chars: int) -> DataFrame:
+    """``doc_id``, ``text`` and ``block``: documents dealt by hash into blocks of about ``block_chars`` characters.
+
+    A block is what one Python call holds, so its size is fixed and the number of blocks grows with the data.
+    """
+    n = max(1, -(-total_chars(docs) // block_chars))
+    block = F.pmod(F.xxhash64(F.lit("block"), "doc_id"), F.lit(n)).cast("int")
+    return docs.select("doc_id", "text").withColumn("block", block)
