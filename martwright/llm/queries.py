@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import dartminhash, decontam, lines, mixing, quality, repeats, tokens, toxicity, warc
+from martwright.llm import ctw, dartminhash, decontam, lines, mixing, quality, repeats, tokens, toxicity, warc
 from martwright.llm.text import in_bucket
 from martwright.session import materialize, shared_folder
 
@@ -32,6 +32,10 @@ def op1_token_counts(spark: SparkSession, folder: str, vocabulary: str = VOCABUL
     )
 
 
+def op2_context_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return ctw.scored(table(spark, folder, "documents"))
+
+
 def op3_dartminhash(spark: SparkSession, folder: str) -> DataFrame:
     found = dartminhash.classes(table(spark, folder, "documents"))
     return found.select("doc_id", "class_id", "class_size", "stays")
@@ -88,6 +92,7 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_context_tree_scores": op2_context_tree_scores,
     "op3_dartminhash": op3_dartminhash,
     "op4_quality_ledger": op4_quality_ledger,
     "op5_warc_salvage": op5_warc_salvage,
