@@ -22,7 +22,6 @@ an empty result; without training text every decision has probability one half.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.text import blocked, in_bucket, runs_of, utf8
+from martwright.llm.text import blocked, groups_of, in_bucket, runs_of, utf8, word_digests
 from martwright.session import materialize
 
 DEPTH = 4
@@ -211,24 +210,33 @@ def model(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     return by_context.applyInArrow(_predict(depth, shared), "code long, log10 double")
 
 
-def _words(table: pa.Table) -> tuple[list[list[bytes]], np.ndarray]:
-    """Tokens of each text, the end written as the empty word, and which texts are for training."""
-    tokens = [[*t.split(), b""] for t in utf8(table.column("text"))]
-    return tokens, np.asarray(table.column("train").to_pylist(), dtype=bool)
+class Tokens:
+    """The words and ends of a block's texts, each by the number of its distinct token.
+
+    Tokens are told apart by 96 bits of their digest; the end has digest 0.
+    """
+
+    def __init__(self, texts: list[bytes], train: np.ndarray):
+        low, high, counts = word_digests(texts)
+        ends = np.cumsum(counts)
+        low, high = np.insert(low, ends, np.uint64(0)), np.insert(high >> np.uint64(32), ends, np.uint64(0))
+        self.sizes = counts + 1
+        order, first = groups_of(low, high)
+        self.number = np.empty(len(order), dtype=np.int64)
+        self.number[order] = np.cumsum(first) - 1
+        self.h1, self.h2 = low[order[first]], high[order[first]]
+        learnt = np.repeat(train, self.sizes)
+        self.n = np.bincount(self.number, weights=learnt, minlength=len(self.h1)).astype(np.int64)
+
+    @classmethod
+    def of(cls, table: pa.Table) -> Tokens:
+        return cls(utf8(table.column("text")), np.asarray(table.column("train").to_pylist(), dtype=bool))
 
 
 def _block_words(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    tokens, train = _words(table)
-    seen: Counter = Counter()
-    for words, learn in zip(tokens, train.tolist(), strict=True):
-        if learn:
-            seen.update(words)
-    for words, learn in zip(tokens, train.tolist(), strict=True):
-        if not learn:
-            for w in words:
-                seen.setdefault(w, 0)
-    block = np.full(len(seen), key[0].as_py(), dtype=np.int32)
-    return pa.table({"word": pa.array(list(seen), pa.binary()), "n": pa.array(list(seen.values()), pa.int64()), "block": block})
+    tokens = Tokens.of(table)
+    block = np.full(len(tokens.n), key[0].as_py(), dtype=np.int32)
+    return pa.table({"h1": tokens.h1.view(np.int64), "h2": tokens.h2.astype(np.uint32).view(np.int32), "n": tokens.n, "block": block})
 
 
 def _pieces(texts: list[bytes]) -> Iterator[list[int]]:
@@ -257,28 +265,43 @@ def _block_strings(depth: int):
 def _score(depth: int):
     def run(table: pa.Table, known: pa.Table) -> pa.Table:
         is_word = np.asarray(known.column("is_word").to_pylist(), dtype=bool)
-        words = known.filter(pa.array(is_word))
-        elsewhere = dict(zip(words.column("word").to_pylist(), np.asarray(words.column("value")).tolist(), strict=True))
-        strings = known.filter(pa.array(~is_word))
-        codes, logs = np.asarray(strings.column("code")).view(np.uint64), np.asarray(strings.column("value"))
+        words, strings = known.filter(pa.array(is_word)), known.filter(pa.array(~is_word))
+        codes, logs = np.asarray(strings.column("h1")).view(np.uint64), np.asarray(strings.column("value"))
         order = np.argsort(codes)
         codes, logs = codes[order], logs[order]
+        # counts of words that other blocks count too; the block itself knows those of the rest
+        tokens = Tokens.of(table)
+        c = tokens.n.copy()
+        h1, h2 = np.asarray(words.column("h1")).view(np.uint64), np.asarray(words.column("h2")).view(np.uint32)
+        at = np.searchsorted(tokens.h1, h1)
+        while len(at) and (wrong := tokens.h2[at] != h2).any():  # tokens that share half a digest are neighbours
+            at[wrong] += 1
+        c[at] = np.asarray(words.column("value")).astype(np.int64)
+        shared = np.zeros(len(c), dtype=bool)
+        shared[at] = True
+        distinct_here = int((~shared & (c > 0)).sum()) + int(pc.sum(words.column("home")).as_py() or 0)
         texts = utf8(table.column("text"))
-        n = len(texts)
-        counts, hits, base, score = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+        starts = np.cumsum(tokens.sizes) - tokens.sizes
+        hits = np.add.reduceat((c > 0).astype(np.int64)[tokens.number], starts)
+        base = np.add.reduceat(np.log10(c + 0.5)[tokens.number], starts)
+        score = np.zeros(len(texts))
         for part in _pieces(texts):
-            mine = [texts[i] for i in part]
-            found, sizes = strings_of(mine, depth)
+            found, sizes = strings_of([texts[i] for i in part], depth)
             place, distinct = pd.factorize(found)
-            starts = np.cumsum(sizes) - sizes
-            score[part] = np.add.reduceat(logs[np.searchsorted(codes, distinct)][place], starts)
-            tokens = [[*t.split(), b""] for t in mine]
-            sizes = np.array([len(x) for x in tokens])
-            starts = np.cumsum(sizes) - sizes
-            c = np.array([elsewhere[w] for ws in tokens for w in ws])
-            counts[part], hits[part] = sizes, np.add.reduceat((c > 0).astype(np.int64), starts)
-            base[part] = np.add.reduceat(np.log10(c + 0.5), starts)
-        return pa.table({"doc_id": table.column("doc_id"), "held_out": pc.invert(table.column("train")), "n_tokens": counts, "n_known": hits, "base": base, "score": score})
+            score[part] = np.add.reduceat(logs[np.searchsorted(codes, distinct)][place], np.cumsum(sizes) - sizes)
+        first = np.zeros(len(texts), dtype=np.int64)
+        first[0] = distinct_here
+        return pa.table(
+            {
+                "doc_id": table.column("doc_id"),
+                "train": table.column("train"),
+                "n_tokens": tokens.sizes,
+                "n_known": hits,
+                "distinct_tokens": first,
+                "base": base,
+                "score": score,
+            }
+        )
 
     return run
 
@@ -293,25 +316,30 @@ def scored(docs: DataFrame, buckets: int = 5, held_out: int = 1, depth: int = DE
     counts = materialize(string_counts(docs, train, depth), "strings")
     logs = model(counts, depth)
     by_block = blocked(docs, block_chars).withColumn("train", train).groupBy("block")
-    words = by_block.applyInArrow(_block_words, "word binary, n long, block int").repartition("word")
-    totals = words.groupBy("word").agg(F.sum("n").alias("c"))
-    strings = by_block.applyInArrow(_block_strings(depth), "code long, block int")
-    nothing = F.lit(None)
-    known = (
-        words.select("word", "block").join(totals, "word")
-        .select("block", F.lit(True).alias("is_word"), "word", nothing.cast("long").alias("code"), F.col("c").cast("double").alias("value"))
-        .unionByName(
-            strings.join(logs, "code").select(
-                "block", F.lit(False).alias("is_word"), nothing.cast("binary").alias("word"), "code", F.col("log10").alias("value")
-            )
+    # Both sides of the join of words need all columns of their exchange, so it is made once. A word whose training
+    # tokens all lie in one block is known there; of the others, the first such block is the home.
+    words = by_block.applyInArrow(_block_words, "h1 long, h2 int, n long, block int").repartition("h1", "h2")
+    totals = words.groupBy("h1", "h2").agg(F.sum("n").alias("c"), F.min(F.when(F.col("n") > 0, F.col("block"))).alias("first"))
+    shared = words.join(totals, ["h1", "h2"]).filter("c > n")
+    strings = by_block.applyInArrow(_block_strings(depth), "code long, block int").join(logs, "code")
+    known = shared.select(
+        "block", F.lit(True).alias("is_word"), "h1", "h2", F.col("c").cast("double").alias("value"), (F.col("block") == F.col("first")).alias("home")
+    ).unionByName(
+        strings.select(
+            "block", F.lit(False).alias("is_word"), F.col("code").alias("h1"), F.lit(0).alias("h2"), F.col("log10").alias("value"), F.lit(False).alias("home")
         )
     )
-    shape = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
-    rows = by_block.cogroup(known.groupBy("block")).applyInArrow(_score(depth), shape)
+    shape = "doc_id long, train boolean, n_tokens long, n_known long, distinct_tokens long, base double, score double"
+    rows = materialize(by_block.cogroup(known.groupBy("block")).applyInArrow(_score(depth), shape), "scores")
     # two numbers of the whole corpus: training tokens, and distinct ones
-    whole = totals.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("N"), F.count(F.when(F.col("c") > 0, 1)).alias("V"))
-    rows = rows.withColumn("train_tokens", whole.select("N").scalar()).withColumn("distinct", whole.select("V").scalar())
-    size = F.log10(F.col("train_tokens") + 0.5 * (F.col("distinct") + 1))
+    whole = rows.agg(F.sum(F.when(F.col("train"), F.col("n_tokens"))).alias("N"), F.sum("distinct_tokens").alias("V")).first()
+    n, v = whole["N"] or 0, whole["V"] or 0
     return rows.select(
-        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", (F.col("base") - F.col("n_tokens") * size).alias("base_score"), "score"
+        "doc_id",
+        (~F.col("train")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(n).cast("long").alias("train_tokens"),
+        (F.col("base") - F.col("n_tokens") * F.lit(math.log10(n + 0.5 * (v + 1)))).alias("base_score"),
+        "score",
     )

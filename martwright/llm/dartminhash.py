@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from martwright.llm.lines import row_of
 from martwright.llm.links import components
-from martwright.llm.text import WordDigests, mix64, runs_of, utf8, windows64
+from martwright.llm.text import mix64, runs_of, utf8, windows64, word_digests
 from martwright.session import materialize
 
 SHINGLE = 5
@@ -153,21 +153,19 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
-def split_words(texts: list[bytes], digests: WordDigests) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def split_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Digests of all words, the number of the text of each, and a 128-bit key of each text's words."""
-    lists = [t.split() for t in texts]
-    low, _ = digests([w for ws in lists for w in ws])
-    owner = np.repeat(np.arange(len(texts)), [len(x) for x in lists])
-    keys = [hashlib.blake2b(b" ".join(ws), digest_size=16).digest() for ws in lists]
+    low, _, counts = word_digests(texts)
+    owner = np.repeat(np.arange(len(texts)), counts)
+    keys = [hashlib.blake2b(b" ".join(t.split()), digest_size=16).digest() for t in texts]
     return low, owner, keys
 
 
 def _sketch(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digests = WordDigests()
         for batch in runs_of(batches, 2_000_000):
             texts = utf8(batch.column("text"))
-            words, owner, keys = split_words(texts, digests)
+            words, owner, keys = split_words(texts)
             cell, of = cells(words, owner)
             found = band_keys(signatures(cell, of, len(texts), bands * rows), bands, rows)
             empty = np.bincount(of, minlength=len(texts)) == 0
@@ -187,10 +185,9 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
 
 
 def _cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    digests = WordDigests()
     for batch in runs_of(batches, 2_000_000):
         texts = utf8(batch.column("text"))
-        words, owner, keys = split_words(texts, digests)
+        words, owner, keys = split_words(texts)
         cell, of = cells(words, owner)
         order = np.lexsort((cell, of))
         ends = np.cumsum(np.bincount(of, minlength=len(texts))).tolist()

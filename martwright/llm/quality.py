@@ -35,7 +35,7 @@ RULES = [
     Rule("too_few_words", 0, lambda m: m("n_words") < 50),
     Rule("repeated_windows", 1, lambda m: 100 * m("n_repeat_words") > 50 * m("n_words")),
     Rule("symbols", 2, lambda m: 10 * m("n_symbols") > m("n_words")),
-    Rule("duplicate_lines", 3, lambda m: 10 * m("n_dup_lines") > 3 * m("n_lines")),
+    Rule("duplicate_lines", 3, lambda m: 2 * m("n_dup_lines") > m("n_lines")),
     Rule("short_words", 4, lambda m: m("word_chars") < 3 * m("n_words")),
     Rule("long_words", 5, lambda m: m("word_chars") > 12 * m("n_words")),
 ]

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwright.llm.lines import row_of
-from martwright.llm.text import WordDigests, blocked, utf8, windows64
+from martwright.llm.text import blocked, groups_of, utf8, windows64, word_digests
 
 LENGTH = 20
 ANCHOR = 8
@@ -33,7 +33,7 @@ BLOCK_CHARS = 8_000_000
 class Block:
     """The documents of one block in their order, as one run of words; windows never cross documents."""
 
-    def __init__(self, table: pa.Table, digests: WordDigests):
+    def __init__(self, table: pa.Table):
         # copies of a row are one document: their text is taken once, ``copy_of`` tells whose it is
         table = table.sort_by([("doc_id", "ascending"), ("row", "ascending")]).combine_chunks()  # NULL ids sort last
         self.table = table
@@ -43,11 +43,11 @@ class Block:
         first = [i for i, x in enumerate(same) if not x]
         self.ids, self.rows = [ids[i] for i in first], [rows[i] for i in first]
         texts = utf8(table.column("text"))
-        self.words = [texts[i].split() for i in first]
-        sizes = np.array([len(x) for x in self.words], dtype=np.int64)
+        self.texts = [texts[i] for i in first]
+        self.low, self.high, sizes = word_digests(self.texts)
         self.starts = np.cumsum(sizes) - sizes
+        self.sizes = sizes
         self.owner = np.repeat(np.arange(len(first)), sizes)
-        self.low, self.high = digests([w for ws in self.words for w in ws])
 
     def inside(self, length: int) -> np.ndarray:
         """Starts of windows that lie in one document."""
@@ -71,19 +71,9 @@ class Block:
         return windows64(self.low, length)[at], windows64(self.high, length)[at]
 
 
-def groups_of(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order that brings equal digests together, earliest first, and whether each is the first of its group."""
-    order = np.lexsort((h2, h1))  # stable, so places stay in order inside a group
-    a, b = h1[order], h2[order]
-    first = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])) if len(order) else np.empty(0, dtype=bool)
-    return order, first
-
-
 def _anchors(length: int, anchor: int):
-    digests = WordDigests()
-
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        block = Block(table, digests)
+        block = Block(table)
         found = np.unique(block.seeds(block.inside(length), length, anchor))
         return pa.table({"anchor": found.view(np.int64), "block": np.full(len(found), key[0].as_py(), dtype=np.int32)})
 
@@ -91,10 +81,8 @@ def _anchors(length: int, anchor: int):
 
 
 def _extend(length: int, anchor: int):
-    digests = WordDigests()
-
     def run(key: tuple[pa.Scalar, ...], table: pa.Table, anchors: pa.Table) -> pa.Table:
-        block = Block(table, digests)
+        block = Block(table)
         at = block.inside(length)
         shared = np.asarray(anchors.column("anchor")).view(np.uint64)
         at = at[np.isin(block.seeds(at, length, anchor), shared)] if len(shared) else at[:0]
@@ -117,10 +105,8 @@ def _extend(length: int, anchor: int):
 
 
 def _remove(length: int):
-    digests = WordDigests()
-
     def run(key: tuple[pa.Scalar, ...], table: pa.Table, late: pa.Table) -> pa.Table:
-        block = Block(table, digests)
+        block = Block(table)
         at = block.inside(length)
         h1, h2 = block.digests(at, length)
         order, first = groups_of(h1, h2)
@@ -138,12 +124,15 @@ def _remove(length: int):
         np.add.at(edge, at[removed] + length, -1)
         covered = np.cumsum(edge[:-1]) > 0
         counts, spans, kept = [], [], []
-        for words, start in zip(block.words, block.starts.tolist(), strict=True):
-            mark = covered[start : start + len(words)]
-            step = np.flatnonzero(np.diff(np.concatenate([[0], mark.view(np.int8), [0]])))
-            counts.append((len(words), int(mark.sum())))
-            spans.append([{"start": a, "end": b} for a, b in step.reshape(-1, 2).tolist()])
-            kept.append(b" ".join(words if not len(step) else [w for w, m in zip(words, mark.tolist(), strict=True) if not m]))
+        for text, start, size in zip(block.texts, block.starts.tolist(), block.sizes.tolist(), strict=True):
+            mark = covered[start : start + size]
+            step = np.flatnonzero(np.diff(mark.view(np.int8), prepend=0, append=0)).reshape(-1, 2).tolist()
+            counts.append((size, int(mark.sum())))
+            spans.append([{"start": a, "end": b} for a, b in step])
+            words = text.split()
+            for a, b in reversed(step):
+                del words[a:b]
+            kept.append(b" ".join(words))
         of = block.copy_of.tolist()
         return pa.table(
             {
@@ -167,13 +156,15 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     """
     by_block = blocked(docs, block_chars).withColumn("row", row_of(F.col("text"))).groupBy("block")
     anchors = by_block.applyInArrow(_anchors(length, anchor), "anchor long, block int").repartition("anchor")
-    common = anchors.groupBy("anchor").agg(F.count("*").alias("blocks")).filter("blocks > 1").select("anchor")
+    # both sides of each join below need all columns of one exchange, so it is made and filled once
+    spread = [F.min("block").alias("low"), F.max("block").alias("high")]
+    common = anchors.groupBy("anchor").agg(*spread).filter("low < high").select("anchor")
     seeds = anchors.join(common, "anchor").select("block", "anchor")
     windows = by_block.cogroup(seeds.groupBy("block")).applyInArrow(
         _extend(length, anchor), "h1 long, h2 long, block int, doc_id long, row long, start long"
     ).repartition("h1", "h2")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "row", "start")
-    firsts = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("blocks")).filter("blocks > 1")
+    firsts = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), *spread).filter("low < high")
     late = windows.join(firsts, ["h1", "h2"]).filter(~place.eqNullSafe(F.col("first"))).select("block", "h1", "h2")
     return by_block.cogroup(late.groupBy("block")).applyInArrow(
         _remove(length),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,43 +35,6 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
-class WordDigests:
-    """128-bit digests of words as two uint64 arrays, remembered for the words seen last.
-
-    The memory is emptied when it holds ``limit`` words, so that it stays bounded over any input.
-    """
-
-    def __init__(self, limit: int = 200_000):
-        self.limit = limit
-        self.known: dict[bytes, int] = {}
-        self.low: list[int] = []
-        self.high: list[int] = []
-
-    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > self.limit:
-            self.known.clear()
-            self.low.clear()
-            self.high.clear()
-        known = self.known
-        get = known.get
-        ids = [get(w, -1) for w in words]
-        if -1 in ids:
-            for k, w in enumerate(words):
-                if ids[k] < 0:
-                    i = known.get(w)
-                    if i is None:
-                        d = hashlib.blake2b(w, digest_size=16).digest()
-                        i = known[w] = len(self.low)
-                        self.low.append(int.from_bytes(d[:8], "little"))
-                        self.high.append(int.from_bytes(d[8:], "little"))
-                    ids[k] = i
-        at = np.array(ids, dtype=np.int64)
-        used, where = np.unique(at, return_inverse=True)
-        low = np.array([self.low[i] for i in used], dtype=np.uint64)
-        high = np.array([self.high[i] for i in used], dtype=np.uint64)
-        return low[where], high[where]
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """A well-mixed uint64 for each uint64 (the finalizer of SplitMix64)."""
     with np.errstate(over="ignore"):
@@ -81,6 +43,68 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_RANDOM = np.random.default_rng(20_240_229)
+# Two hash families: a random number per byte value, and an odd base with its inverse modulo 2^64.
+_FAMILIES = []
+for _ in range(2):
+    _base = (int(_RANDOM.integers(0, 2**61)) << 3) | 3
+    _FAMILIES.append((_RANDOM.integers(0, 2**64, 256, dtype=np.uint64), _base, pow(_base, -1, 2**64)))
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base^0 … base^(n-1) modulo 2^64; the longest asked for is kept."""
+    known = _POWERS.get(base)
+    if known is None or len(known) < n:
+        factors = np.full(max(n, 1 << 20), base, dtype=np.uint64)
+        factors[0] = 1
+        with np.errstate(over="ignore"):
+            known = _POWERS[base] = np.cumprod(factors)
+    return known[:n]
+
+
+def word_digests(texts: list[bytes], piece: int = 1 << 19) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """128-bit digests of all words of the texts, in order, as two uint64 arrays, and the number of words per text.
+
+    The digest of a word is a polynomial in its bytes; sums over all bytes before a place give those of all
+    words by subtraction, so there is no loop over words. Works through about ``piece`` bytes at a time.
+    """
+    lows, highs, counts = [], [], []
+    held: list[bytes] = []
+    size = 0
+
+    def flush() -> None:
+        joined = np.frombuffer(b" ".join(held) + b" ", dtype=np.uint8)
+        space = _SPACE[joined]
+        after_space = np.append(True, space[:-1])
+        starts, ends = np.flatnonzero(~space & after_space), np.flatnonzero(space & ~after_space)
+        borders = np.cumsum([len(t) + 1 for t in held])
+        counts.append(np.diff(np.searchsorted(starts, borders), prepend=0))
+        with np.errstate(over="ignore"):
+            for out, (table, base, inverse) in zip((lows, highs), _FAMILIES, strict=True):
+                values = table[joined] * _powers(base, len(joined))
+                before = np.cumsum(values) - values
+                own = (before[ends] - before[starts]) * _powers(inverse, len(joined))[starts]
+                out.append(mix64(own + (ends - starts).astype(np.uint64)))
+
+    for text in texts:
+        if held and size + len(text) > piece:
+            flush()
+            held, size = [], 0
+        held.append(text)
+        size += len(text) + 1
+    if held:
+        flush()
+    none = np.empty(0, dtype=np.uint64)
+    return (
+        np.concatenate([none, *lows]),
+        np.concatenate([none, *highs]),
+        np.concatenate([np.empty(0, dtype=np.int64), *counts]),
+    )
+
+
 def windows64(words: np.ndarray, n: int) -> np.ndarray:
     """One uint64 for each ``n`` consecutive words, from the words' digests, by doubling the length."""
     if len(words) < n:
@@ -102,9 +126,16 @@ def windows64(words: np.ndarray, n: int) -> np.ndarray:
             span *= 2
 
 
-def as_long(x: np.ndarray) -> pa.Array:
-    """uint64 as Spark's signed long, bit by bit."""
-    return pa.array(x.astype(np.uint64, copy=False).view(np.int64))
+def groups_of(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal digests together, earliest first, and whether each is the first of its group."""
+    order = np.argsort(h1, kind="stable")
+    a, b = h1[order], h2[order]
+    same, other = a[1:] == a[:-1], b[1:] != b[:-1]
+    if (same & other).any():  # two digests that share a half: sort by both
+        order = np.lexsort((h2, h1))
+        a, b = h1[order], h2[order]
+        same, other = a[1:] == a[:-1], b[1:] != b[:-1]
+    return order, np.append(True, ~same | other) if len(order) else np.empty(0, dtype=bool)
 
 
 def runs_of(batches: Iterator[pa.RecordBatch], limit: int, column: str = "text") -> Iterator[pa.RecordBatch]:
