@@ -206,9 +206,11 @@ PARTS |= {
     "due": "SELECT DISTINCT order_id, customer_key, seller_key, geography_key, total_due FROM order_lines",
     "stock_sales": """SELECT p.product_id, p.product_name, CAST(coalesce(i.stock, 0) AS BIGINT) AS stock, CAST(coalesce(s.sold, 0) AS BIGINT) AS sold
  FROM dim_product p
- LEFT JOIN (SELECT product_key, sum(quantity) AS stock FROM inventory_now GROUP BY 1) i ON p.product_key = i.product_key
- LEFT JOIN (SELECT product_key, sum(quantity_sold) AS sold FROM product_daily GROUP BY 1) s ON p.product_key = s.product_key
- WHERE p.is_current""",
+ LEFT JOIN (SELECT product_id, sum(quantity) AS stock FROM inventory_now f JOIN dim_product v ON f.product_key = v.product_key GROUP BY 1) i
+   ON p.product_id = i.product_id
+ LEFT JOIN (SELECT product_id, sum(quantity_sold) AS sold FROM product_daily f JOIN dim_product v ON f.product_key = v.product_key GROUP BY 1) s
+   ON p.product_id = s.product_id
+ WHERE p.is_current AND p.product_id <> -1""",
 }
 PARTS |= daily_facts("", "order_header")
 PARTS |= {
@@ -349,9 +351,10 @@ BODIES: dict[str, str] = {
     "fact_order_daily": "SELECT * FROM order_daily",
     "fact_inventory": "SELECT * FROM inventory_now",
     "fact_customer_behavior": "SELECT * FROM behavior",
+    "fact_order_header": "SELECT DISTINCT order_id, date_key, customer_key, seller_key, geography_key, sales_channel, total_due FROM order_lines",
     "load_state": f"""SELECT 'fact_order' AS table_name, CAST(max(order_date) AS TIMESTAMP) AS last_loaded, count(*) AS row_count FROM order_header
  UNION ALL SELECT 'fact_seller_daily', CAST(max(order_date) AS TIMESTAMP), count(*) FROM order_header WHERE sales_channel = 'Online'
- UNION ALL SELECT 'fact_order_daily', TIMESTAMP '2000-01-01 00:00:00', NULL""",
+ UNION ALL SELECT 'fact_order_daily', NULL, NULL""",
     "fact_product_daily_of_lines": "SELECT * FROM product_daily",
     "incremental_order_daily": "SELECT * FROM order_daily",
     "incremental_stored_runs": "SELECT * FROM order_daily",
@@ -386,8 +389,8 @@ BODIES: dict[str, str] = {
     "q_low_stock": "SELECT * FROM (SELECT * FROM stock_sales ORDER BY stock, product_id LIMIT 20) s WHERE stock < 50",
     "q_low_stock_all": "SELECT * FROM stock_sales WHERE stock < 50",
     "q_segment_summary": f"SELECT customer_segment, count(customer_key) AS num_customers, {money('total_amount')} AS total_revenue FROM behavior GROUP BY 1",
-    "q_top_regions": f"""SELECT country_name, state_name, {money('total_due')} AS total_revenue, count(DISTINCT customer_key) AS num_customers
- FROM due o JOIN dim_geography g ON o.geography_key = g.geography_key GROUP BY ALL
+    "q_top_regions": f"""SELECT country_name, state_name, {money('total_due')} AS total_revenue, count(DISTINCT customer_id) AS num_customers
+ FROM due o JOIN dim_geography g ON o.geography_key = g.geography_key JOIN dim_customer c ON o.customer_key = c.customer_key GROUP BY ALL
  ORDER BY total_revenue DESC, country_name, state_name LIMIT 15""",
     "q_rfm_scatter": """SELECT fact_customer_behavior_key, customer_segment, recency_days, total_orders, total_amount FROM behavior
  WHERE total_amount > 0 AND CAST(total_amount AS DOUBLE) < (SELECT quantile_cont(CAST(total_amount AS DOUBLE), 0.99) FROM behavior WHERE total_amount > 0)""",
@@ -397,8 +400,9 @@ BODIES: dict[str, str] = {
     "q_seller_territories": f"""SELECT country_name AS territory, {money('total_due')} AS revenue
  FROM due o JOIN dim_seller s ON o.seller_key = s.seller_key JOIN dim_geography g ON o.geography_key = g.geography_key
  WHERE seller_name = '{BEST_SELLER}' GROUP BY country_name ORDER BY revenue DESC, territory LIMIT 5""",
-    "q_seller_segments": f"""SELECT customer_segment, count(DISTINCT o.customer_key) AS num_customers, {money('total_due')} AS revenue
- FROM due o JOIN dim_seller s ON o.seller_key = s.seller_key JOIN behavior b ON o.customer_key = b.customer_key
+    "q_seller_segments": f"""SELECT customer_segment, count(DISTINCT c.customer_id) AS num_customers, {money('total_due')} AS revenue
+ FROM due o JOIN dim_seller s ON o.seller_key = s.seller_key JOIN dim_customer c ON o.customer_key = c.customer_key
+ JOIN (SELECT customer_id, customer_segment FROM behavior f JOIN dim_customer v ON f.customer_key = v.customer_key) b ON c.customer_id = b.customer_id
  WHERE seller_name = '{BEST_SELLER}' GROUP BY customer_segment""",
     "q_category_by_country": f"""SELECT country_name, category_name, {money('line_total')} AS total_revenue
  FROM order_lines f JOIN dim_product p ON f.product_key = p.product_key JOIN dim_geography g ON f.geography_key = g.geography_key GROUP BY ALL""",
@@ -413,6 +417,24 @@ BODIES: dict[str, str] = {
     "x_stream_incremental": "SELECT * FROM order_daily",
 }
 
+# a load in two runs equals the load in one; reports by business id do not depend on versions
+BODIES |= {
+    f"increments_{fact}": BODIES[fact]
+    for fact in ["fact_order", "fact_order_header", "fact_product_daily", "fact_seller_daily", "fact_order_daily", "fact_customer_behavior"]
+}
+BODIES |= {
+    "versions_top_regions": BODIES["q_top_regions"],
+    "versions_seller_segments": BODIES["q_seller_segments"],
+    "versions_stock_vs_sales": BODIES["q_stock_vs_sales"],
+    "versions_customer_behavior": BODIES["fact_customer_behavior"],
+    "late_orders_by_arrival": "SELECT * FROM order_daily",
+    "month_emptied": "SELECT * FROM order_daily WHERE date_key NOT BETWEEN 19960201 AND 19960229",
+    "x_stream_late_lines": "SELECT * FROM order_daily",
+    "x_stream_resent_orders": "SELECT * FROM order_daily",
+    "x_kmeans_check": """SELECT count(*) AS customers, count(DISTINCT fact_customer_behavior_key) AS distinct_customers,
+       CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS not_nearest FROM behavior""",
+}
+
 # build_summary runs the whole chain from raw tables; its SQL counts each table's grain.
 BODIES["build_summary"] = f"""SELECT table_name, CAST(row_count AS BIGINT) AS row_count, 'loaded' AS status FROM (
  SELECT 'dim_date' AS table_name, date_diff('day', min(CAST(OrderDate AS DATE)), max(CAST(OrderDate AS DATE))) + 1 AS row_count FROM silver_header
@@ -422,6 +444,7 @@ BODIES["build_summary"] = f"""SELECT table_name, CAST(row_count AS BIGINT) AS ro
  UNION ALL SELECT 'dim_customer', count(*) + 1 FROM sales_customer
  UNION ALL SELECT 'dim_seller', count(*) + 1 FROM sales_salesperson
  UNION ALL SELECT 'fact_order', count(*) FROM silver_lines
+ UNION ALL SELECT 'fact_order_header', count(*) FROM (SELECT DISTINCT SalesOrderID FROM silver_lines) o
  UNION ALL SELECT 'fact_product_daily', count(*) FROM (SELECT DISTINCT OrderDate, product FROM silver_lines) a
  UNION ALL SELECT 'fact_seller_daily', count(*) FROM (SELECT DISTINCT OrderDate, seller FROM silver_lines) b
  UNION ALL SELECT 'fact_order_daily', count(*) FROM (SELECT DISTINCT OrderDate FROM silver_lines) c
@@ -430,7 +453,7 @@ BODIES["build_summary"] = f"""SELECT table_name, CAST(row_count AS BIGINT) AS ro
 PARTS |= {
     "silver_header": "SELECT * FROM sales_salesorderheader WHERE TaxAmt >= 0",
     "silver_products": "SELECT ProductID FROM production_product WHERE CAST(StandardCost AS DECIMAL(18,4)) >= 0",
-    "silver_lines": """SELECT h.OrderDate, h.CustomerID, coalesce(CAST(p.ProductID AS VARCHAR), 'UNKNOWN') AS product,
+    "silver_lines": """SELECT h.SalesOrderID, h.OrderDate, h.CustomerID, coalesce(CAST(p.ProductID AS VARCHAR), 'UNKNOWN') AS product,
        coalesce(CAST(s.BusinessEntityID AS VARCHAR), 'UNKNOWN') AS seller
  FROM silver_header h JOIN (
    SELECT *, row_number() OVER (PARTITION BY SalesOrderDetailID ORDER BY SalesOrderID, ProductID, OrderQty, UnitPrice, UnitPriceDiscount, LineTotal) AS n

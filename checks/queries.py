@@ -18,10 +18,10 @@ from martwright.plans import dimensions as d
 from martwright.plans import facts as f
 from martwright.plans import incremental as inc
 from martwright.plans import silver as s
-from martwright.plans.clusters import customer_clusters
-from martwright.plans.refresh import load_increment, load_warehouse
+from martwright.plans.clusters import cluster_check, clustered, customer_clusters
+from martwright.plans.refresh import add_facts, load_facts, load_increment, load_warehouse
 from martwright.schemas import add_versioning, conform, empty_table
-from martwright.session import configure, fit_shuffles, materialize, shared_folder
+from martwright.session import configure, materialize, shared_folder
 from martwright.sources.ingest import ingest
 from martwright.sources.parquet import (
     append_table,
@@ -31,7 +31,7 @@ from martwright.sources.parquet import (
     write_table,
     write_version,
 )
-from martwright.streaming.incremental import order_files, start_load
+from martwright.streaming.incremental import load_late_lines, order_files, start_load
 
 BEST_SELLER = "Supplier#000000001"
 CUT = date(2000, 1, 1)
@@ -39,6 +39,7 @@ CUT = date(2000, 1, 1)
 
 # (application, folder, table) -> stored table; each is built once per Spark application
 STORED: dict[tuple[str, str, str], DataFrame] = {}
+FOLDERS: dict[tuple[str, str, str], str] = {}
 
 
 class Warehouse(Inputs):
@@ -79,6 +80,7 @@ class Warehouse(Inputs):
             w.dim_geography,
             w.dim_seller,
         ),
+        "fact_order_header": lambda w: f.fact_order_header(w.fact_order),
         "fact_product_daily": lambda w: f.fact_product_daily(w.order_header, w.order_detail, w.dim_product),
         "fact_seller_daily": lambda w: f.fact_seller_daily(w.order_header, w.order_detail, w.dim_seller),
         "fact_order_daily": lambda w: f.fact_order_daily(w.order_header, w.order_detail),
@@ -90,7 +92,6 @@ class Warehouse(Inputs):
 
     def __init__(self, spark: SparkSession, folder: str):
         super().__init__(spark, folder)
-        fit_shuffles(self.table("lineitem"))
 
     def build(self, name: str) -> DataFrame:
         return self.BUILDERS[name](self)
@@ -458,6 +459,11 @@ def fact_order(w):
     return w.build("fact_order")
 
 
+@query
+def fact_order_header(w):
+    return w.build("fact_order_header")
+
+
 @query
 def fact_product_daily(w):
     return w.build("fact_product_daily")
@@ -615,7 +621,110 @@ def late_orders_months(w):
     """Back-dated orders against a fact in month partitions: all days of their months."""
     header, detail = w.order_header, w.order_detail
     batch = header.filter((F.col("order_date") >= F.lit(CUT)) | (F.col("order_date") < F.lit(date(1996, 1, 15))))
-    return inc.rebuild_days(header, detail, inc.touched_months(batch), f.fact_order_daily)
+    return inc.rebuild_months(header, detail, inc.months_of(batch), f.fact_order_daily)
+
+
+@query
+def late_orders_by_arrival(w):
+    """Back-dated orders that arrive after the first load: the second finds them by arrival, whatever their date."""
+    header, detail, root = w.order_header, w.order_detail, shared_folder(w.spark, "gold")
+    late = (F.col("status") == "P") & (F.col("order_date") < F.lit(CUT))
+    arrived = F.when(late, F.lit(datetime(2001, 8, 2))).otherwise(F.lit(datetime(2001, 8, 1)))
+    stamped = header.withColumn("ingested_at", arrived.cast("timestamp"))
+    for known in [stamped.filter(~late), stamped]:
+        load_increment(known, detail, root, "fact_order_daily", f.fact_order_daily)
+    return conform(read_table(w.spark, root, "fact_order_daily"), "fact_order_daily")
+
+
+@query
+def month_emptied(w):
+    """A month that loses all its orders to other days leaves the fact, in an increment and in a full build."""
+    header, detail, root = w.order_header, w.order_detail, shared_folder(w.spark, "gold")
+    emptied = F.col("order_date").between(F.lit(date(1996, 2, 1)), F.lit(date(1996, 2, 29)))
+    replace_months(f.fact_order_daily(header, detail), root, "fact_order_daily")
+    left = header.filter(~emptied)
+    fresh = inc.rebuild_months(left, detail, [199602, 199603], f.fact_order_daily)
+    replace_months(fresh, root, "fact_order_daily", [199602, 199603])
+    return conform(read_table(w.spark, root, "fact_order_daily"), "fact_order_daily")
+
+
+def _in_increments(w: Warehouse) -> str:
+    """All facts loaded twice: the early orders, then all; where they are stored."""
+    place = (w.spark.sparkContext.applicationId, w.folder, "in increments")
+    if place not in FOLDERS:
+        root = shared_folder(w.spark, "gold")
+        header = inc.with_month(w.order_header.join(w.order_address, "order_id"))
+        silver = {
+            "sales_order_header": header,
+            "sales_order_detail": inc.lines_with_month(header, w.order_detail),
+            "product_inventory": w.inventory,
+        }
+        dims = {name: getattr(w, name) for name in ("dim_product", "dim_customer", "dim_seller", "dim_geography")}
+        early = silver | {"sales_order_header": header.filter(F.col("order_date") < F.lit(CUT))}
+        load_facts(early, dims, root, AS_OF)
+        add_facts(silver, dims, root, AS_OF)
+        FOLDERS[place] = root
+    return FOLDERS[place]
+
+
+def _increments(table: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        w = Warehouse(configure(spark), folder)
+        root = _in_increments(w)
+        stored = read_version(w.spark, root, table) if table == "fact_customer_behavior" else read_table(w.spark, root, table)
+        return conform(stored, table)
+
+    return run
+
+
+INCREMENT_FACTS = [
+    "fact_order", "fact_order_header", "fact_product_daily", "fact_seller_daily", "fact_order_daily", "fact_customer_behavior",
+]
+QUERIES |= {f"increments_{table}": _increments(table) for table in INCREMENT_FACTS}
+
+
+def _two_versions(w: Warehouse) -> dict[str, DataFrame]:
+    """Facts loaded in two runs with a Type-2 change of customers and products between them.
+
+    The first run knows the first versions only; its facts and its stock keep their keys.
+    """
+    header, detail = w.order_header.join(w.order_address, "order_id"), w.order_detail
+    early, late = header.filter(F.col("order_date") < F.lit(CUT)), inc.orders_since(header, CUT)
+    old_customers = d.load_versions(None, w.customer_v1, "dim_customer", FIRST_DAY)
+    old_products = d.load_versions(None, w.product_v1, "dim_product", FIRST_DAY)
+    first = f.fact_order(early, detail, old_customers, old_products, w.dim_geography, w.dim_seller)
+    second = f.fact_order(late, detail, w.dim_customer, w.dim_product, w.dim_geography, w.dim_seller)
+    sold = f.fact_product_daily(early, detail, old_products).unionByName(f.fact_product_daily(late, detail, w.dim_product))
+    stored = f.fact_customer_behavior(early, detail, old_customers, AS_OF)
+    return {
+        "orders": f.fact_order_header(first).unionByName(f.fact_order_header(second)),
+        "sold": sold,
+        "stock": f.fact_inventory(w.inventory, old_products),
+        "behavior": inc.refresh_customers(stored, late, header, detail, w.dim_customer, AS_OF),
+    }
+
+
+@query
+def versions_top_regions(w):
+    return a.top_regions(_two_versions(w)["orders"], w.dim_geography, w.dim_customer)
+
+
+@query
+def versions_seller_segments(w):
+    facts = _two_versions(w)
+    return a.seller_segments(facts["orders"], w.dim_seller, w.dim_customer, facts["behavior"], BEST_SELLER)
+
+
+@query
+def versions_stock_vs_sales(w):
+    facts = _two_versions(w)
+    return a.lowest_stocks(a.stock_and_sales(w.dim_product, facts["stock"], facts["sold"]))
+
+
+@query
+def versions_customer_behavior(w):
+    """Lifetime rows carry the current version's key after a change of the customer."""
+    return _two_versions(w)["behavior"]
 
 
 # ---------------------------------------------------------------- reports
@@ -623,7 +732,7 @@ def late_orders_months(w):
 
 @query
 def q_sales_kpis(w):
-    return a.sales_kpis(w.fact_product_daily, w.fact_order)
+    return a.sales_kpis(w.fact_product_daily, w.fact_order_daily)
 
 
 @query
@@ -633,7 +742,7 @@ def q_daily_trend(w):
 
 @query
 def q_aov_by_type(w):
-    return a.order_value_by_type(w.fact_order, w.dim_customer)
+    return a.order_value_by_type(w.fact_order_header, w.dim_customer)
 
 
 @query
@@ -643,12 +752,12 @@ def q_top_products(w):
 
 @query
 def q_revenue_by_country(w):
-    return a.revenue_by_country(w.fact_order, w.dim_geography)
+    return a.revenue_by_country(w.fact_order_header, w.dim_geography)
 
 
 @query
 def q_revenue_by_type(w):
-    return a.revenue_by_type(w.fact_order, w.dim_customer)
+    return a.revenue_by_type(w.fact_order_header, w.dim_customer)
 
 
 @query
@@ -675,7 +784,7 @@ def q_segment_summary(w):
 
 @query
 def q_top_regions(w):
-    return a.top_regions(w.fact_order, w.dim_geography)
+    return a.top_regions(w.fact_order_header, w.dim_geography, w.dim_customer)
 
 
 @query
@@ -690,12 +799,12 @@ def q_top_sellers(w):
 
 @query
 def q_seller_territories(w):
-    return a.seller_territories(w.fact_order, w.dim_seller, w.dim_geography, BEST_SELLER)
+    return a.seller_territories(w.fact_order_header, w.dim_seller, w.dim_geography, BEST_SELLER)
 
 
 @query
 def q_seller_segments(w):
-    return a.seller_segments(w.fact_order, w.dim_seller, w.fact_customer_behavior, BEST_SELLER)
+    return a.seller_segments(w.fact_order_header, w.dim_seller, w.dim_customer, w.fact_customer_behavior, BEST_SELLER)
 
 
 @query
@@ -716,6 +825,13 @@ def x_kmeans_rfm(w):
     return customer_clusters(w.fact_customer_behavior)
 
 
+@query
+def x_kmeans_check(w):
+    """Every customer once, clusters in range, and each customer nearest to its own cluster's centre."""
+    customers, centres = clustered(w.fact_customer_behavior, k=4)
+    return cluster_check(customers, centres, 4)
+
+
 @query
 def x_abc_class(w):
     return a.abc_classes(w.fact_product_daily, w.dim_product)
@@ -728,5 +844,44 @@ def x_stream_incremental(w):
     arrived = f"{root}/arrivals"
     w.order_header.repartition(4).write.parquet(arrived)
     orders = order_files(w.spark, arrived, w.order_header.schema, files_per_batch=2)
-    start_load(orders, root, w.order_detail, "fact_order_daily", f.fact_order_daily).awaitTermination()
+    start_load(orders, root, lambda: w.order_detail, "fact_order_daily", f.fact_order_daily).awaitTermination()
+    return conform(read_table(w.spark, root, "fact_order_daily"), "fact_order_daily")
+
+
+@query
+def x_stream_late_lines(w):
+    """Lines that arrive after their orders: some with a later batch, some after the last one."""
+    root = shared_folder(w.spark, "stream")
+    arrived, lines = f"{root}/arrivals", f"{root}/lines"
+    header, detail = w.order_header, w.order_detail
+    load = lambda: start_load(
+        order_files(w.spark, arrived, header.schema), root, lambda: w.spark.read.parquet(lines), "fact_order_daily", f.fact_order_daily
+    ).awaitTermination()
+    early = F.col("order_date") < F.lit(CUT)
+    first = inc.details_of(header.filter(early & (F.col("status") == "F")), detail)
+    first.write.parquet(lines)
+    header.filter(early).write.parquet(arrived)
+    load()
+    rest = inc.details_of(header.filter("sales_channel = 'Online'"), detail).join(first.select("order_detail_id"), "order_detail_id", "left_anti")
+    rest.select(*detail.columns).write.mode("append").parquet(lines)
+    header.filter(~early).write.mode("append").parquet(arrived)
+    load()
+    last = detail.join(w.spark.read.parquet(lines).select("order_detail_id"), "order_detail_id", "left_anti").select(*detail.columns)
+    last = materialize(last, "last_lines")
+    last.write.mode("append").parquet(lines)
+    load_late_lines(w.spark, root, header.schema, last, lambda: w.spark.read.parquet(lines), "fact_order_daily", f.fact_order_daily)
+    return conform(read_table(w.spark, root, "fact_order_daily"), "fact_order_daily")
+
+
+@query
+def x_stream_resent_orders(w):
+    """Orders sent twice, first without their customer: the newest row counts, once."""
+    root = shared_folder(w.spark, "stream")
+    arrived, header = f"{root}/arrivals", w.order_header
+    twice = header.filter("sales_channel = 'Online'")
+    first = header.withColumn("customer_id", F.when(F.col("sales_channel") != "Online", F.col("customer_id")))
+    for rows in (first, twice):
+        rows.write.mode("append").parquet(arrived)
+        orders = order_files(w.spark, arrived, header.schema)
+        start_load(orders, root, lambda: w.order_detail, "fact_order_daily", f.fact_order_daily).awaitTermination()
     return conform(read_table(w.spark, root, "fact_order_daily"), "fact_order_daily")

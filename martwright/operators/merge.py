@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwright.functions.keys import any_changed, surrogate_key_sql
-from martwright.session import fits_broadcast
 
 SCD2_COLUMNS = ["effective_date", "expiry_date", "is_current", "version"]
 
@@ -36,8 +35,7 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], check: bool =
     """Insert new keys, overwrite the given columns of known keys, leave other rows alone.
 
     ``updates`` may lack columns of ``target``: those keep their value, or are NULL for a
-    new key. A batch small enough to broadcast is matched without shuffling the target; a
-    larger one meets it in a single full outer join, which reads both sides once.
+    new key. One full outer join reads both sides once.
     """
     if check:
         updates = require_unique(updates, keys)
@@ -54,12 +52,7 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], check: bool =
         return f"CASE WHEN n._new THEN CAST(n.`{c}` AS {kind}) ELSE o.`{c}` END AS `{c}`"
 
     columns = [merged(c, kind) for c, kind in target.dtypes]
-    if not fits_broadcast(updates):
-        return old.join(new, hit, "full_outer").selectExpr(*columns)
-    added = absent(target, updates, keys).selectExpr(
-        *[f"CAST({f'`{c}`' if c in given else 'NULL'} AS {kind}) AS `{c}`" for c, kind in target.dtypes]
-    )
-    return old.join(new, hit, "left").selectExpr(*columns).unionByName(added)
+    return old.join(new, hit, "full_outer").selectExpr(*columns)
 
 
 def absent(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,7 +1,8 @@
 """Reports over the gold tables.
 
-Header amounts repeat on every line of ``fact_order``; reports that add them up go through
-``orders_of`` first, so an order counts once. Top-k reports break ties by name or id.
+Header amounts repeat on every line of ``fact_order``; reports that add them up read the order-grain
+``fact_order_header``, so an order counts once. A customer or product has one key per version: reports that
+count or match them go by ``customer_id`` and ``product_id``. Top-k reports break ties by name or id.
 """
 
 from __future__ import annotations
@@ -22,29 +23,22 @@ def run_query(
     return spark.sql(text, args=args, **tables)
 
 
-def orders_of(fact_order: DataFrame) -> DataFrame:
-    """One row per order with its keys and amount due. Lines of an order collapse map-side."""
-    return fact_order.select(
-        "order_id", "date_key", "customer_key", "seller_key", "geography_key", "total_due"
-    ).distinct()
-
-
 def _money(column: str) -> Column:
     return F.sum(column).cast(MONEY_SUM)
 
 
-def sales_kpis(fact_product_daily: DataFrame, fact_order: DataFrame) -> DataFrame:
+def sales_kpis(fact_product_daily: DataFrame, fact_order_daily: DataFrame) -> DataFrame:
     """Revenue, profit, margin in percent, and orders.
 
     ``product_order_count`` adds up orders per product, so an order with k products counts
-    k times; ``total_orders`` counts each order once.
+    k times; ``total_orders`` counts each order once, on its one day.
     """
     daily = fact_product_daily.agg(
         F.coalesce(_money("revenue"), F.lit(0).cast(MONEY_SUM)).alias("total_revenue"),
         F.coalesce(F.sum("order_count"), F.lit(0)).alias("product_order_count"),
         F.coalesce(_money("gross_profit"), F.lit(0).cast(MONEY_SUM)).alias("total_profit"),
     )
-    orders = fact_order.select("order_id").distinct().agg(F.count("*").alias("total_orders"))
+    orders = fact_order_daily.agg(F.coalesce(F.sum("daily_order_count"), F.lit(0)).alias("total_orders"))
     # two one-row frames made one
     both = daily.unionByName(orders, allowMissingColumns=True).agg(
         *[F.max(c).alias(c) for c in [*daily.columns, *orders.columns]]
@@ -56,25 +50,25 @@ def sales_kpis(fact_product_daily: DataFrame, fact_order: DataFrame) -> DataFram
 
 
 def daily_trend(fact_product_daily: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Revenue and profit per day, in date order."""
+    """Revenue and profit per day, in date order. A day that the calendar lacks fails the report, and sales
+    without a day come first: neither leaves the trend in silence."""
     per_day = fact_product_daily.groupBy("date_key").agg(
         _money("revenue").alias("revenue"), _money("gross_profit").alias("profit")
     )
-    return (
-        per_day.join(dim_date, "date_key")
-        .select("full_date", "year", "month", "revenue", "profit")
-        .orderBy("full_date")
-    )
+    known = per_day.join(dim_date, "date_key", "left")
+    outside = F.raise_error(F.concat(F.lit("sales on a day outside the calendar: "), F.col("date_key").cast("string")))
+    day = F.when(F.col("full_date").isNull() & F.col("date_key").isNotNull(), outside.cast("date")).otherwise(F.col("full_date"))
+    return known.select(day.alias("full_date"), "year", "month", "revenue", "profit").orderBy("full_date")
 
 
-def _typed_orders(fact_order: DataFrame, dim_customer: DataFrame) -> DataFrame:
+def _typed_orders(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
     customers = dim_customer.filter(F.col("customer_type").isin(*MARKETS))
-    return orders_of(fact_order).join(customers.select("customer_key", "customer_type"), "customer_key")
+    return orders.join(customers.select("customer_key", "customer_type"), "customer_key")
 
 
-def order_value_by_type(fact_order: DataFrame, dim_customer: DataFrame) -> DataFrame:
+def order_value_by_type(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Orders, revenue and average order value of individuals and stores."""
-    df = _typed_orders(fact_order, dim_customer).groupBy("customer_type").agg(
+    df = _typed_orders(orders, dim_customer).groupBy("customer_type").agg(
         F.count("*").alias("total_orders"), _money("total_due").alias("total_revenue")
     )
     return df.select(
@@ -86,8 +80,8 @@ def order_value_by_type(fact_order: DataFrame, dim_customer: DataFrame) -> DataF
     )
 
 
-def revenue_by_type(fact_order: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    df = _typed_orders(fact_order, dim_customer).groupBy("customer_type").agg(
+def revenue_by_type(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    df = _typed_orders(orders, dim_customer).groupBy("customer_type").agg(
         _money("total_due").alias("total_revenue")
     )
     return df.select("customer_type", market(F.col("customer_type")).alias("market"), "total_revenue")
@@ -105,9 +99,9 @@ def top_products(fact_product_daily: DataFrame, dim_product: DataFrame, k: int =
     return top(totals, k, F.desc("total_revenue"), F.asc("product_name"))
 
 
-def revenue_by_country(fact_order: DataFrame, dim_geography: DataFrame) -> DataFrame:
+def revenue_by_country(orders: DataFrame, dim_geography: DataFrame) -> DataFrame:
     """Amount due per country, highest first."""
-    per_place = orders_of(fact_order).groupBy("geography_key").agg(F.sum("total_due").alias("due"))
+    per_place = orders.groupBy("geography_key").agg(F.sum("total_due").alias("due"))
     return (
         per_place.join(dim_geography.select("geography_key", "country_name"), "geography_key")
         .groupBy("country_name")
@@ -116,17 +110,26 @@ def revenue_by_country(fact_order: DataFrame, dim_geography: DataFrame) -> DataF
     )
 
 
+def _ids(dim: DataFrame, key: str, id: str) -> DataFrame:
+    """The business id behind every version's key."""
+    return dim.select(key, id)
+
+
 def stock_and_sales(
     dim_product: DataFrame, fact_inventory: DataFrame, fact_product_daily: DataFrame
 ) -> DataFrame:
-    """Stock and units sold of every current product, zero where there are none."""
-    stock = fact_inventory.groupBy("product_key").agg(F.sum("quantity").alias("current_stock"))
-    sales = fact_product_daily.groupBy("product_key").agg(F.sum("quantity_sold").alias("total_sold"))
+    """Stock and units sold of every current product, over all its versions, zero where there are none."""
+    ids = _ids(dim_product, "product_key", "product_id")
+
+    def per_product(fact: DataFrame, column: str, name: str) -> DataFrame:
+        per_version = fact.groupBy("product_key").agg(F.sum(column).alias("n"))
+        return per_version.join(ids, "product_key").groupBy("product_id").agg(F.sum("n").alias(name))
+
     return (
-        dim_product.filter("is_current")
-        .select("product_key", "product_id", "product_name")
-        .join(stock, "product_key", "left")
-        .join(sales, "product_key", "left")
+        dim_product.filter(F.col("is_current") & (F.col("product_id") != UNKNOWN_ID))
+        .select("product_id", "product_name")
+        .join(per_product(fact_inventory, "quantity", "current_stock"), "product_id", "left")
+        .join(per_product(fact_product_daily, "quantity_sold", "total_sold"), "product_id", "left")
         .select(
             "product_id",
             "product_name",
@@ -152,18 +155,17 @@ def segment_summary(fact_customer_behavior: DataFrame) -> DataFrame:
     )
 
 
-def top_regions(fact_order: DataFrame, dim_geography: DataFrame, k: int = 15) -> DataFrame:
+def top_regions(orders: DataFrame, dim_geography: DataFrame, dim_customer: DataFrame, k: int = 15) -> DataFrame:
     """Best states by amount due, with their distinct customers."""
-    per_customer = (
-        orders_of(fact_order).groupBy("geography_key", "customer_key").agg(F.sum("total_due").alias("due"))
-    )
     places = dim_geography.select("geography_key", "country_name", "state_name")
+    per_place = orders.groupBy("geography_key", "customer_key").agg(F.sum("total_due").alias("due"))
     regions = (
-        per_customer.join(places, "geography_key")
-        .groupBy("country_name", "state_name", "customer_key")
+        per_place.join(places, "geography_key")
+        .join(_ids(dim_customer, "customer_key", "customer_id"), "customer_key")
+        .groupBy("country_name", "state_name", "customer_id")
         .agg(F.sum("due").alias("due"))
         .groupBy("country_name", "state_name")
-        .agg(_money("due").alias("total_revenue"), F.count("customer_key").alias("num_customers"))
+        .agg(_money("due").alias("total_revenue"), F.count("customer_id").alias("num_customers"))
     )
     return top(regions, k, F.desc("total_revenue"), F.asc("country_name"), F.asc("state_name"))
 
@@ -192,18 +194,17 @@ def top_sellers(fact_seller_daily: DataFrame, dim_seller: DataFrame, k: int = 10
     return top(totals, k, F.desc("total_revenue"), F.asc("seller_name"))
 
 
-def _of_seller(fact_order: DataFrame, dim_seller: DataFrame, seller_name: str) -> DataFrame:
+def _of_seller(fact: DataFrame, dim_seller: DataFrame, seller_name: str) -> DataFrame:
     """Fact rows of one seller, all versions; the name filter prunes the fact early."""
     chosen = dim_seller.filter(F.col("seller_name") == seller_name).select("seller_key")
-    return fact_order.join(chosen, "seller_key", "left_semi")
+    return fact.join(chosen, "seller_key", "left_semi")
 
 
 def seller_territories(
-    fact_order: DataFrame, dim_seller: DataFrame, dim_geography: DataFrame, seller_name: str, k: int = 5
+    orders: DataFrame, dim_seller: DataFrame, dim_geography: DataFrame, seller_name: str, k: int = 5
 ) -> DataFrame:
     """One seller's best countries."""
-    orders = orders_of(_of_seller(fact_order, dim_seller, seller_name))
-    per_place = orders.groupBy("geography_key").agg(F.sum("total_due").alias("due"))
+    per_place = _of_seller(orders, dim_seller, seller_name).groupBy("geography_key").agg(F.sum("total_due").alias("due"))
     totals = (
         per_place.join(dim_geography.select("geography_key", "country_name"), "geography_key")
         .groupBy(F.col("country_name").alias("territory"))
@@ -213,15 +214,19 @@ def seller_territories(
 
 
 def seller_segments(
-    fact_order: DataFrame, dim_seller: DataFrame, fact_customer_behavior: DataFrame, seller_name: str
+    orders: DataFrame,
+    dim_seller: DataFrame,
+    dim_customer: DataFrame,
+    fact_customer_behavior: DataFrame,
+    seller_name: str,
 ) -> DataFrame:
-    """One seller's customers and revenue by customer segment."""
-    orders = orders_of(_of_seller(fact_order, dim_seller, seller_name))
-    per_customer = orders.groupBy("customer_key").agg(F.sum("total_due").alias("due"))
+    """One seller's customers and revenue by customer segment; any version of a customer finds the segment."""
+    ids = _ids(dim_customer, "customer_key", "customer_id")
+    per_version = _of_seller(orders, dim_seller, seller_name).groupBy("customer_key").agg(F.sum("total_due").alias("due"))
+    per_customer = per_version.join(ids, "customer_key").groupBy("customer_id").agg(F.sum("due").alias("due"))
+    segments = fact_customer_behavior.join(ids, "customer_key").select("customer_id", "customer_segment")
     return (
-        per_customer.join(
-            fact_customer_behavior.select("customer_key", "customer_segment"), "customer_key"
-        )
+        per_customer.join(segments, "customer_id")
         .groupBy("customer_segment")
         .agg(F.count("*").alias("num_customers"), _money("due").alias("revenue"))
     )
@@ -230,13 +235,17 @@ def seller_segments(
 def category_by_country(
     fact_order: DataFrame, dim_product: DataFrame, dim_geography: DataFrame
 ) -> DataFrame:
-    """Line revenue per product category and country."""
-    pairs = fact_order.groupBy("product_key", "geography_key").agg(F.sum("line_total").alias("amount"))
+    """Line revenue per product category and country.
+
+    Both names are looked up on the lines, so that what is shuffled are sums per pair of names and task;
+    pairs of product and address would be nearly as many as the lines.
+    """
     return (
-        pairs.join(dim_product.select("product_key", "category_name"), "product_key")
+        fact_order.select("product_key", "geography_key", "line_total")
+        .join(dim_product.select("product_key", "category_name"), "product_key")
         .join(dim_geography.select("geography_key", "country_name"), "geography_key")
         .groupBy("country_name", "category_name")
-        .agg(_money("amount").alias("total_revenue"))
+        .agg(_money("line_total").alias("total_revenue"))
     )
 
 

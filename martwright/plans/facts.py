@@ -21,8 +21,8 @@ from martwright.functions.money import MONEY_SUM, line_revenue, mean, zero
 from martwright.operators.lookup import current_rows, lookup, temporal_lookup
 from martwright.schemas import conform
 
-# Revenue summed per order: six decimals hold unit price x quantity x (1 - discount in percent).
-_ORDER_REVENUE = "decimal(24,6)"
+# Revenue summed per order: price and discount have four decimals each. Rounded only in the day's total.
+_ORDER_REVENUE = "decimal(26,8)"
 
 
 def _total(column: str, kind: str) -> Column:
@@ -72,7 +72,7 @@ def fact_order(
     orders = lookup(orders, current_rows(dim_customer), {"customer_id": "customer_id"}, ["customer_key"])
     orders = lookup(orders, current_rows(dim_seller), {"sales_person_id": "seller_id"}, ["seller_key"])
     orders = lookup(orders, dim_geography, {"address_id": "address_id"}, ["geography_key"])
-    lines = orders.drop("product_id").join(detail, "order_id")
+    lines = orders.drop("product_id", "month_key").join(detail, "order_id")
     lines = temporal_lookup(lines, dim_product, ("product_id", "product_id"), "order_date", ["product_key"])
     keys = ["customer_key", "product_key", "seller_key", "geography_key"]
     keyed = lines.withColumns({k: or_unknown(k) for k in keys}).withColumns(
@@ -84,6 +84,11 @@ def fact_order(
     return conform(keyed, "fact_order")
 
 
+def fact_order_header(fact_order: DataFrame) -> DataFrame:
+    """One row per order, from its stored lines, which repeat the header. Lines of an order collapse map-side."""
+    return conform(fact_order, "fact_order_header").distinct()
+
+
 def _product_days(priced: DataFrame) -> DataFrame:
     """Aggregate lines that already carry ``date_key``, ``product_key`` and the version's prices.
 

@@ -1,12 +1,12 @@
 """Whole-warehouse loads over stored tables: every dimension, every fact, and a summary.
 
-Each layer is written before the next one reads it. A plan then starts from files whose sizes
+The first load builds everything; later ones take the orders that came since and rebuild the months these
+fall in. Each layer is written before the next one reads it. A plan then starts from files whose sizes
 Spark knows, nothing is computed twice, and a lost executor costs no more than its own tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
@@ -25,24 +25,32 @@ from martwright.plans.facts import (
     fact_inventory,
     fact_order,
     fact_order_daily,
+    fact_order_header,
     fact_seller_daily,
     order_totals,
     product_daily_of,
 )
 from martwright.plans.incremental import (
+    Build,
     advance_mark,
+    arrived_since,
+    current_behavior,
+    details_of,
+    months_of,
+    of_months,
     orders_mark,
     orders_since,
+    read_arrival_mark,
     read_mark,
-    rebuild_days,
-    touched_months,
+    rebuild_months,
+    refresh_customers,
 )
 from martwright.schemas import HISTORY_START, conform, ddl, empty_table
-from martwright.session import materialize
-from martwright.sources.parquet import read_table, read_version, replace_months, write_version
+from martwright.session import fitted_shuffles, materialize
+from martwright.sources.parquet import read_table, read_version, replace_all_months, replace_months, write_version
 
-# The calendar a full load covers.
-CALENDAR = (date(2010, 1, 1), date(2030, 12, 31))
+# Facts stored by month; the others are stored as versions.
+MONTHLY = ["fact_order", "fact_order_header", "fact_product_daily", "fact_seller_daily", "fact_order_daily"]
 
 
 def _stored(spark: SparkSession, root: str, table: str) -> DataFrame | None:
@@ -55,19 +63,46 @@ def _store(df: DataFrame, root: str, table: str, partition_by: list[str] | None
     return _stored(df.sparkSession, root, table)
 
 
+def _monthly(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A fact stored by month, with its ``month_key``."""
+    return read_table(spark, root, table, f"{ddl(table)}, month_key int")
+
+
+def order_days(header: DataFrame) -> tuple[date, date] | None:
+    """First and last order date, which a calendar has to cover; None without any date."""
+    first, last = header.agg(F.min("order_date"), F.max("order_date")).first()
+    return None if first is None else (first, last)
+
+
+def calendar_for(header: DataFrame, calendar: tuple[date, date] | None) -> tuple[date, date] | None:
+    """The given calendar, stretched to whole years of orders outside it, so that no fact day lacks its row."""
+    days = order_days(header)
+    if days is None:
+        return calendar
+    whole = (date(days[0].year, 1, 1), date(days[1].year, 12, 31))
+    if calendar is None:
+        return whole
+    return (
+        calendar[0] if calendar[0] <= days[0] else whole[0],
+        calendar[1] if calendar[1] >= days[1] else whole[1],
+    )
+
+
 def load_dimensions(
     silver: dict[str, DataFrame],
     root: str,
     run_date: date,
-    calendar: tuple[date, date] = CALENDAR,
+    calendar: tuple[date, date] | None = None,
     loaded_at: Column | None = None,
 ) -> dict[str, DataFrame]:
     """Merge the conformed tables into the six stored dimensions; the first run creates them.
 
     Versioned dimensions are stored by ``is_current``: fact lookups that need only current
-    rows read only those files.
+    rows read only those files. Without a ``calendar``, and beyond it, the days follow the orders.
     """
     spark = silver["product"].sparkSession
+    span = calendar_for(silver["sales_order_header"], calendar)
+    days = empty_table(spark, "dim_date") if span is None else dim_date_between(spark, *span)
 
     def versions(table: str, source: str) -> DataFrame:
         old = _stored(spark, root, table)
@@ -75,7 +110,7 @@ def load_dimensions(
         return _store(new, root, table, ["is_current"])
 
     return {
-        "dim_date": _store(dim_date_between(spark, *calendar), root, "dim_date"),
+        "dim_date": _store(days, root, "dim_date"),
         "dim_product": versions("dim_product", "product"),
         "dim_geography": _store(
             load_geography(_stored(spark, root, "dim_geography"), silver["geography"], loaded_at),
@@ -93,45 +128,103 @@ def load_dimensions(
 def load_facts(
     silver: dict[str, DataFrame], dims: dict[str, DataFrame], root: str, as_of: date
 ) -> dict[str, DataFrame]:
-    """Build and store the six facts in full.
+    """Build and store all facts in full; months that have no rows any more are gone.
 
-    The line table is shuffled twice in all: for ``fact_order``, from which the product fact
-    follows, and for the totals per order, from which the other three do.
+    The line table is shuffled twice in all: for ``fact_order``, from which the order and product facts
+    follow, and for the totals per order, from which the other three do.
     """
     header, detail = silver["sales_order_header"], silver["sales_order_detail"]
     spark = header.sparkSession
-
-    def by_month(df: DataFrame, table: str) -> DataFrame:
-        replace_months(df, root, table)
-        return conform(read_table(spark, root, table, f"{ddl(table)}, month_key int"), table)
-
-    lines = fact_order(
-        header,
-        detail,
-        dims["dim_customer"],
-        dims["dim_product"],
-        dims["dim_geography"],
-        dims["dim_seller"],
-    )
-    order_lines = by_month(lines, "fact_order")
     totals = materialize(order_totals(detail), "order_totals")
     behavior = fact_customer_behavior(header, detail, dims["dim_customer"], as_of, totals)
+    monthly = _store_months(lambda rows, table: replace_all_months(rows, root, table), header, detail, dims, root, totals)
+    stored = _store_stock(silver, dims, root) | {"fact_customer_behavior": _store(behavior, root, "fact_customer_behavior")}
+    _advance(spark, header, root)
+    return monthly | stored
+
+
+def _store_months(
+    store, header: DataFrame, detail: DataFrame, dims: dict[str, DataFrame], root: str, totals: DataFrame, months=None
+) -> dict[str, DataFrame]:
+    """Build the five facts that are stored by month, each from what is stored already where it can."""
+    spark = header.sparkSession
+
+    def chosen(table: str) -> DataFrame:
+        rows = _monthly(spark, root, table)
+        return conform(rows if months is None else of_months(rows, months), table)
+
+    keys = [dims[d] for d in ("dim_customer", "dim_product", "dim_geography", "dim_seller")]
+    store(fact_order(header, detail, *keys), "fact_order")
+    store(fact_order_header(chosen("fact_order")), "fact_order_header")
+    store(product_daily_of(chosen("fact_order"), dims["dim_product"]), "fact_product_daily")
+    store(fact_seller_daily(header, detail, dims["dim_seller"], totals), "fact_seller_daily")
+    store(fact_order_daily(header, detail, totals), "fact_order_daily")
+    return {table: conform(_monthly(spark, root, table), table) for table in MONTHLY}
+
+
+def _store_stock(silver: dict[str, DataFrame], dims: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     stock = fact_inventory(silver["product_inventory"], dims["dim_product"])
-    stored_stock = _stored(spark, root, "fact_inventory")
-    if stored_stock is not None:
-        stock = full_refresh(stored_stock, stock, ["fact_inventory_key"])
-    return {
-        "fact_order": order_lines,
-        "fact_product_daily": by_month(
-            product_daily_of(order_lines, dims["dim_product"]), "fact_product_daily"
-        ),
-        "fact_seller_daily": by_month(
-            fact_seller_daily(header, detail, dims["dim_seller"], totals), "fact_seller_daily"
-        ),
-        "fact_order_daily": by_month(fact_order_daily(header, detail, totals), "fact_order_daily"),
-        "fact_inventory": _store(stock, root, "fact_inventory"),
-        "fact_customer_behavior": _store(behavior, root, "fact_customer_behavior"),
-    }
+    stored = _stored(stock.sparkSession, root, "fact_inventory")
+    if stored is not None:
+        stock = full_refresh(stored, stock, ["fact_inventory_key"])
+    return {"fact_inventory": _store(stock, root, "fact_inventory")}
+
+
+def _arrival(header: DataFrame) -> str:
+    """The column that tells when an order came: its arrival where the source has it, else its date."""
+    return "ingested_at" if "ingested_at" in header.columns else "order_date"
+
+
+def _advance(spark: SparkSession, batch: DataFrame, root: str, tables: list[str] | None = None) -> None:
+    """Move the marks of the facts; a batch that looks back never moves one back."""
+    stored = _stored(spark, root, "load_state")
+    state = empty_table(spark, "load_state") if stored is None else stored
+    for table in tables or [*MONTHLY, "fact_customer_behavior"]:
+        before = read_arrival_mark(state, table)
+        mark = orders_mark(batch, table, _arrival(batch))
+        state = advance_mark(state, mark.withColumn("last_loaded", F.greatest("last_loaded", F.lit(before).cast("timestamp"))))
+    write_version(materialize(state, "load_state"), root, "load_state")
+
+
+def new_orders(header: DataFrame, known: DataFrame) -> DataFrame:
+    """Orders that the stored facts lack, without need of an arrival time."""
+    return header.join(known.select("order_id"), "order_id", "left_anti")
+
+
+def add_facts(
+    silver: dict[str, DataFrame], dims: dict[str, DataFrame], root: str, as_of: date
+) -> dict[str, DataFrame]:
+    """Bring all stored facts up to date with the orders that came since the last load.
+
+    Where headers carry ``ingested_at``, the batch is what arrived after the mark, back-dated and corrected
+    orders included; without it, the orders that the facts lack. Its months, and those in which its orders
+    were stored before, are rebuilt from their own orders and lines. Customers with a batch order get their
+    lifetime row from all their orders; the others keep their sums.
+    """
+    header, detail = silver["sales_order_header"], silver["sales_order_detail"]
+    spark = header.sparkSession
+    known = _monthly(spark, root, "fact_order_header")
+    state = _stored(spark, root, "load_state")
+    arrival = _arrival(header) == "ingested_at"
+    batch = arrived_since(header, read_arrival_mark(state, "fact_order")) if arrival else new_orders(header, known)
+    batch = materialize(batch, "batch")
+    dim_customer = dims["dim_customer"]
+    stock = _store_stock(silver, dims, root)
+    behavior = _stored(spark, root, "fact_customer_behavior")
+    if batch.isEmpty():
+        behavior = current_behavior(behavior, dim_customer, as_of)
+    else:
+        moved = details_of(batch, known).select("month_key").distinct().collect()
+        months = sorted({*months_of(batch), *(r["month_key"] for r in moved)}, key=str)
+        orders = materialize(of_months(header, months, "order_date"), "orders")
+        lines = materialize(details_of(orders, of_months(detail, months)), "lines")
+        totals = materialize(order_totals(lines), "order_totals")
+        _store_months(lambda rows, table: replace_months(rows, root, table, months), orders, lines, dims, root, totals, months)
+        behavior = refresh_customers(behavior, batch, header, detail, dim_customer, as_of)
+    stored = {"fact_customer_behavior": _store(behavior, root, "fact_customer_behavior")} | stock
+    if not batch.isEmpty():
+        _advance(spark, batch, root)
+    return {table: conform(_monthly(spark, root, table), table) for table in MONTHLY} | stored
 
 
 def load_increment(
@@ -139,27 +232,29 @@ def load_increment(
     detail: DataFrame,
     root: str,
     table: str,
-    build: Callable[[DataFrame, DataFrame], DataFrame],
+    build: Build,
     lateness_days: int = 0,
 ) -> bool:
-    """Bring a stored day-grain fact up to date; False if there was nothing new.
+    """Bring one stored day-grain fact up to date; False if there was nothing new.
 
-    The stored mark is the latest order date loaded. Orders from that day on (less
-    ``lateness_days``) are new; the months they touch are rebuilt in full and replaced, then
-    the mark moves. The first run takes all history. A run that dies in between is run again.
+    Where headers carry ``ingested_at``, the batch is what arrived after the stored mark, so a back-dated order
+    is found whatever its date; else it is the orders from the latest date loaded on (less ``lateness_days``).
+    The months it touches are rebuilt in full and replaced, then the mark moves. The first run takes all
+    history. A run that dies in between is run again.
     """
     spark = header.sparkSession
     stored_state = _stored(spark, root, "load_state")
     state = empty_table(spark, "load_state") if stored_state is None else stored_state
-    day = read_mark(state, table, HISTORY_START)
-    new = orders_since(header, day, lateness_days)
+    if _arrival(header) == "ingested_at":
+        new = arrived_since(header, read_arrival_mark(state, table))
+    else:
+        new = orders_since(header, read_mark(state, table), lateness_days)
     if new.isEmpty():
         return False
-    replace_months(rebuild_days(header, detail, touched_months(new), build), root, table)
-    # looking back for late orders must not move the mark back
-    latest = F.greatest("last_loaded", F.lit(day).cast("timestamp"))
-    mark = orders_mark(new, table).withColumn("last_loaded", latest)
-    write_version(advance_mark(state, mark), root, "load_state")
+    with fitted_shuffles(header, detail):
+        months = months_of(new)
+        replace_months(rebuild_months(header, detail, months, build), root, table, months)
+        _advance(spark, new, root, [table])
     return True
 
 
@@ -178,9 +273,17 @@ def load_warehouse(
     root: str,
     run_date: date,
     as_of: date,
-    calendar: tuple[date, date] = CALENDAR,
+    calendar: tuple[date, date] | None = None,
     loaded_at: Column | None = None,
+    full: bool = False,
 ) -> DataFrame:
-    """All dimensions, then all facts; returns the rows per stored table."""
-    dims = load_dimensions(silver, root, run_date, calendar, loaded_at)
-    return summary(dims | load_facts(silver, dims, root, as_of))
+    """All dimensions, then all facts; returns the rows per stored table.
+
+    The first load, or a ``full`` one, builds every fact anew; any other adds what came since.
+    """
+    header = silver["sales_order_header"]
+    with fitted_shuffles(header, silver["sales_order_detail"]):
+        dims = load_dimensions(silver, root, run_date, calendar, loaded_at)
+        first = _stored(header.sparkSession, root, "load_state") is None
+        load = load_facts if full or first else add_facts
+        return materialize(summary(dims | load(silver, dims, root, as_of)), "summary")

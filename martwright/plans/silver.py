@@ -150,6 +150,8 @@ def conform_order_header(header: DataFrame) -> DataFrame:
     }
     if "ShipToAddressID" not in df.columns:
         del names["ShipToAddressID"]
+    if "_ingested_at" in df.columns:  # the batch's arrival, by which increments find it
+        names["_ingested_at"] = "ingested_at"
     return _renamed(df, names)
 
 

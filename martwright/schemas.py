@@ -20,7 +20,7 @@ _VERSIONING = {
     "version": "smallint",
 }
 
-# Ids and counts are bigint and money sums decimal(28,4): a key with a third of all rows must fit.
+# The table contracts. Ids and counts are bigint and money sums decimal(28,4): a key with a third of all rows must fit.
 TABLES: dict[str, dict[str, str]] = {
     "dim_date": {
         "date_key": "int",
@@ -108,6 +108,15 @@ TABLES: dict[str, dict[str, str]] = {
         "freight_amt": "decimal(18,4)",
         "total_due": "decimal(18,4)",
     },
+    "fact_order_header": {
+        "order_id": "bigint",
+        "date_key": "int",
+        "customer_key": "string",
+        "seller_key": "string",
+        "geography_key": "string",
+        "sales_channel": "string",
+        "total_due": "decimal(18,4)",
+    },
     "fact_product_daily": {
         "fact_product_daily_key": "string",
         "date_key": "int",
@@ -168,7 +177,7 @@ TABLES: dict[str, dict[str, str]] = {
     },
 }
 
-# business key, surrogate key
+# Business key, surrogate key.
 KEYS: dict[str, tuple[str, str]] = {
     "dim_product": ("product_id", "product_key"),
     "dim_customer": ("customer_id", "customer_key"),
@@ -177,7 +186,7 @@ KEYS: dict[str, tuple[str, str]] = {
     "dim_vendor": ("vendor_id", "vendor_key"),
 }
 
-# Attributes whose change opens a new version.
+# Attributes whose change opens a new version.
 TRACKED: dict[str, list[str]] = {
     "dim_product": ["standard_cost", "list_price"],
     "dim_customer": ["customer_name", "customer_type"],

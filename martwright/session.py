@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,23 +45,29 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Would Spark itself broadcast this side of a join?"""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return estimated_bytes(df) <= limit
+WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def fit_shuffles(*inputs: DataFrame, bytes_per_partition: int = 256 * 1024**2) -> int:
-    """Start shuffles wide enough for the given scans; AQE then merges what turns out small.
+@contextmanager
+def fitted_shuffles(*inputs: DataFrame, bytes_per_partition: int = 256 * 1024**2) -> Iterator[int]:
+    """Inside the block, start shuffles wide enough for the given scans; AQE then merges what turns out small.
 
     AQE never widens a shuffle, so at 100 TB the default of 200 partitions would put 500 GB
-    into each. The file sizes are known from the listing; nothing is read.
+    into each. The file sizes are known from the listing; nothing is read. The session's own setting
+    comes back afterwards, so one load does not decide the width of the next.
     """
     spark = inputs[0].sparkSession
+    before = spark.conf.get(WIDTH, None)
     size = sum(estimated_bytes(df) for df in inputs)
     width = max(size // bytes_per_partition + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
-    return width
+    spark.conf.set(WIDTH, str(width))
+    try:
+        yield width
+    finally:
+        if before is None:
+            spark.conf.unset(WIDTH)
+        else:
+            spark.conf.set(WIDTH, before)
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:

@@ -10,7 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martwright.session import materialize
+
 CODEC = "snappy"
+# Fixed value: Spark's folder name for rows whose partition column is NULL.
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 
 
 def folder_name(table: str) -> str:
@@ -43,13 +47,14 @@ def count_written(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).count()
 
 
-def _versions(spark: SparkSession, root: str, table: str) -> list[int]:
-    """Numbers of the versions whose write committed."""
+def _versions(spark: SparkSession, root: str, table: str, committed: bool = True) -> list[int]:
+    """Numbers of the versions whose write committed, or of all that were begun."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(f"{root}/{folder_name(table)}")
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = files.globStatus(hadoop.Path(folder, "v=*/_SUCCESS")) if files.exists(folder) else None
-    return sorted(int(s.getPath().getParent().getName().removeprefix("v=")) for s in found or [])
+    found = files.globStatus(hadoop.Path(folder, "v=*/_SUCCESS" if committed else "v=*")) if files.exists(folder) else None
+    paths = [s.getPath().getParent() if committed else s.getPath() for s in found or []]
+    return sorted(int(p.getName().removeprefix("v=")) for p in paths)
 
 
 def read_version(spark: SparkSession, root: str, table: str, version: int | None = None) -> DataFrame | None:
@@ -62,29 +67,48 @@ def read_version(spark: SparkSession, root: str, table: str, version: int | None
 
 def write_version(df: DataFrame, root: str, table: str, partition_by: list[str] | None = None) -> int:
     """Write the next version beside the older ones. Spark's commit marker publishes it, so
-    readers see the old state until every file is in place, and a failed job leaves no trace."""
-    number = max(_versions(df.sparkSession, root, table), default=0) + 1
-    writer = df.write.mode("overwrite").option("compression", CODEC)
+    readers see the old state until every file is in place."""
+    number = max(_versions(df.sparkSession, root, table, committed=False), default=0) + 1
+    # two writers that chose the same number must not overwrite each other: the later one fails
+    writer = df.write.mode("errorifexists").option("compression", CODEC)
     path = f"{root}/{folder_name(table)}/v={number}"
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return number
 
 
-def replace_months(df: DataFrame, root: str, table: str) -> str:
-    """Overwrite only the month partitions that ``df`` holds rows for; it must hold these
-    months in full. The month comes from ``date_key``.
+def by_month(df: DataFrame) -> DataFrame:
+    """Rows with their ``month_key`` (from ``date_key`` unless they have one), gathered for a write by month.
 
     The rebalance hint gathers a month into few files, yet lets AQE split a month too big
     for one task.
     """
+    keyed = df if "month_key" in df.columns else df.withColumn("month_key", F.expr("date_key div 100").cast("int"))
+    return keyed.hint("rebalance", "month_key")
+
+
+def replace_all_months(df: DataFrame, root: str, table: str) -> str:
+    """Write the whole table by month; months it no longer holds are gone."""
+    path = f"{root}/{folder_name(table)}"
+    writer = by_month(df).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.option("compression", CODEC).partitionBy("month_key").parquet(path)
+    return path
+
+
+def replace_months(df: DataFrame, root: str, table: str, months: list[int | None] | None = None) -> str:
+    """Overwrite only the month partitions that ``df`` holds rows for; it must hold these months in full.
+
+    ``months`` are those the caller has recomputed: one that came back without rows is emptied.
+    """
     path = f"{root}/{folder_name(table)}"
-    (
-        df.withColumn("month_key", F.expr("date_key div 100"))
-        .hint("rebalance", "month_key")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", CODEC)
-        .partitionBy("month_key")
-        .parquet(path)
-    )
+    rows = by_month(df)
+    if months is not None:
+        rows = materialize(rows, "months")
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("compression", CODEC).partitionBy("month_key").parquet(path)
+    if months is not None:
+        held = {r["month_key"] for r in rows.select("month_key").distinct().collect()}
+        nothing = rows.drop("month_key").filter("false")
+        for month in set(months) - held:
+            folder = NO_MONTH if month is None else month
+            nothing.write.mode("overwrite").option("compression", CODEC).parquet(f"{path}/month_key={folder}")
     return path

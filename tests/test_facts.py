@@ -3,7 +3,7 @@ each hold about a third of the lines."""
 
 import random
 from collections import defaultdict
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 from decimal import ROUND_HALF_UP, Decimal as D
 
 import pytest
@@ -238,10 +238,14 @@ def test_late_batch_equals_full_load_and_rerun_changes_nothing(sales):
     assert sorted(once.select(columns).collect()) == full == sorted(again.select(columns).collect())
 
 
-def test_touched_months_cover_all_their_days(spark):
-    orders = spark.createDataFrame([(date(2024, 2, 10),), (date(2024, 2, 11),), (date(2023, 12, 31),)], "order_date date")
-    days = sorted(r["order_date"] for r in inc.touched_months(orders).collect())
-    assert len(days) == 29 + 31 and days[0] == date(2023, 12, 1) and days[-1] == date(2024, 2, 29)
+def test_months_of_a_batch(spark):
+    rows = [(date(2024, 2, 10),), (date(2024, 2, 11),), (date(2023, 12, 31),), (None,)]
+    orders = spark.createDataFrame(rows, "order_date date")
+    assert sorted(inc.months_of(orders), key=str) == [202312, 202402, None]
+    assert inc.of_months(orders, [202402], "order_date").count() == 2
+    assert inc.of_months(orders, [202312, None], "order_date").count() == 2
+    assert inc.of_months(orders, [], "order_date").count() == 0
+    assert inc.of_months(inc.with_month(orders), [None]).count() == 1
 
 
 def test_affected_customers_include_all_unknown_ones(sales):
@@ -290,8 +294,32 @@ def test_mark_of_a_table_never_loaded(spark):
     from martwright.schemas import empty_table
 
     state = empty_table(spark, "load_state")
-    assert inc.read_mark(state, "x") == date(2000, 1, 1)
+    assert inc.read_mark(state, "x") is None
     marked = inc.advance_mark(state, inc.orders_mark(spark.sql("SELECT DATE '2024-02-03' AS order_date"), "x"))
     assert inc.read_mark(marked, "x") == date(2024, 2, 3)
     null_mark = inc.advance_mark(marked, inc.orders_mark(spark.sql("SELECT CAST(NULL AS DATE) AS order_date"), "x"))
-    assert inc.read_mark(null_mark, "x") == date(2000, 1, 1)
+    assert inc.read_mark(null_mark, "x") is None
+
+
+def test_never_loaded_means_no_filter(spark):
+    header = spark.sql("SELECT DATE '1815-06-18' AS order_date UNION ALL SELECT CAST(NULL AS DATE)")
+    assert inc.orders_since(header, None).count() == 2
+    assert inc.orders_since(header, date(1900, 1, 1)).count() == 1
+    stamped = header.withColumn("ingested_at", F.lit(None).cast("timestamp"))
+    assert inc.arrived_since(stamped, datetime(2024, 1, 1)).count() == 2
+
+
+def test_net_revenue_is_rounded_once(spark):
+    """Four-decimal prices and discounts need eight decimals until the day is added up."""
+    lines = spark.range(4000).selectExpr(
+        "id AS order_id", "1 AS order_qty", "CAST(0.0013 AS DECIMAL(18,4)) AS unit_price",
+        "CAST(0.1234 AS DECIMAL(10,4)) AS unit_price_discount", "CAST(0.0011 AS DECIMAL(18,4)) AS line_total",
+    )
+    header = spark.range(4000).selectExpr("id AS order_id", "DATE '2024-05-06' AS order_date", "id AS customer_id", "7L AS sales_person_id")
+    exact = (4000 * D("0.0013") * (1 - D("0.1234"))).quantize(CENT4, ROUND_HALF_UP)
+    assert exact == D("4.5583")
+    assert f.fact_order_daily(header, lines).first()["daily_revenue"] == exact
+    seller = spark.createDataFrame([("k", 7, D("12.50"), True)], "seller_key string, seller_id bigint, commission_pct decimal(5,2), is_current boolean")
+    row = f.fact_seller_daily(header, lines, seller).first()
+    assert row["revenue"] == exact
+    assert row["commission_earned"] == (4000 * D("0.0013") * (1 - D("0.1234")) * D("0.125")).quantize(CENT4, ROUND_HALF_UP)

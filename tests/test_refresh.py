@@ -8,7 +8,7 @@ from checks.queries import _silver_of
 from martwright.plans.facts import fact_order_daily, fact_product_daily
 from martwright.plans.refresh import load_increment, load_warehouse
 from martwright.schemas import conform
-from martwright.session import fit_shuffles, shared_folder
+from martwright.session import WIDTH, fitted_shuffles, shared_folder
 from martwright.sources.parquet import read_table, read_version
 
 
@@ -40,7 +40,7 @@ def test_price_change_keeps_old_orders_on_the_old_version(spark, silver):
     before = read_table(spark, root, "fact_order").select("fact_order_key", "date_key", "product_key")
     before = {r[0]: (r[1], r[2]) for r in before.collect()}
     dearer = silver | {"product": silver["product"].withColumn("list_price", F.col("list_price") + 1)}
-    load_warehouse(dearer, root, date(1998, 7, 1), AS_OF, CALENDAR)
+    load_warehouse(dearer, root, date(1998, 7, 1), AS_OF, CALENDAR, full=True)
     after = {r["fact_order_key"]: r["product_key"] for r in read_table(spark, root, "fact_order").collect()}
     assert set(after) == set(before)
     for line, (day, key) in before.items():
@@ -78,6 +78,7 @@ def test_facts_without_orders_are_skipped(spark, silver):
     skipped = {r["table_name"] for r in rows if r["status"] == "skipped"}
     assert skipped == {
         "fact_order",
+        "fact_order_header",
         "fact_product_daily",
         "fact_seller_daily",
         "fact_order_daily",
@@ -85,11 +86,87 @@ def test_facts_without_orders_are_skipped(spark, silver):
     }
 
 
-def test_shuffle_width_follows_the_input(spark, folder):
+def test_shuffle_width_follows_the_input_and_comes_back(spark, folder):
     lines = Inputs(spark, folder).lineitem
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    old = spark.conf.get(key, None)
-    assert fit_shuffles(lines) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert fit_shuffles(lines, bytes_per_partition=1000) > 100
-    assert int(spark.conf.get(key)) > 100
-    spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+    old = spark.conf.get(WIDTH, None)
+    with fitted_shuffles(lines) as width:
+        assert width == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with fitted_shuffles(lines, bytes_per_partition=1000) as width:
+        assert width > 100 and spark.conf.get(WIDTH) == str(width)
+    assert spark.conf.get(WIDTH, None) == old
+
+
+def test_loads_set_the_shuffle_width(spark, silver, monkeypatch):
+    from martwright.plans import refresh
+
+    seen = []
+    inner = refresh.fitted_shuffles
+    monkeypatch.setattr(refresh, "fitted_shuffles", lambda *a, **k: seen.append(len(a)) or inner(*a, bytes_per_partition=1000))
+    root = shared_folder(spark, "gold")
+    header, detail = silver["sales_order_header"], silver["sales_order_detail"]
+    few = header.filter("order_id < 400")
+    load_increment(few, detail, root, "fact_order_daily", fact_order_daily)
+    load_warehouse(silver | {"sales_order_header": few}, shared_folder(spark, "gold"), date(2001, 9, 1), AS_OF)
+    assert seen == [2, 2] and spark.conf.get(WIDTH, None) is None
+
+
+def test_orders_outside_the_calendar_and_without_a_date(spark, silver):
+    """The calendar follows the orders; an order without a date is kept, by the first load and by increments."""
+    header = silver["sales_order_header"].filter("order_id < 400")
+    odd = header.withColumn("order_date", F.expr("CASE WHEN order_id % 3 = 0 THEN DATE '2009-05-06' WHEN order_id % 7 = 1 THEN NULL ELSE order_date END"))
+    root = shared_folder(spark, "gold")
+    load_warehouse(silver | {"sales_order_header": odd}, root, date(2001, 9, 1), AS_OF, (date(2010, 1, 1), date(2030, 12, 31)))
+    days = read_version(spark, root, "dim_date")
+    facts = conform(read_table(spark, root, "fact_product_daily"), "fact_product_daily")
+    assert facts.filter("date_key IS NOT NULL").join(days, "date_key", "left_anti").count() == 0
+    from martwright.plans.analytics import daily_trend
+
+    trend = daily_trend(facts, days).collect()
+    assert sum(r["revenue"] for r in trend) == facts.agg(F.sum("revenue")).first()[0]
+    with pytest.raises(Exception, match="outside the calendar"):
+        daily_trend(facts, days.filter("year <> 2009")).collect()
+    detail, two = silver["sales_order_detail"], shared_folder(spark, "gold")
+    for known in (odd.filter("order_id < 200"), odd):
+        load_increment(known, detail, two, "fact_order_daily", fact_order_daily, lateness_days=100_000)
+    got = conform(read_table(spark, two, "fact_order_daily"), "fact_order_daily")
+    assert sorted(got.collect(), key=str) == sorted(fact_order_daily(odd, detail).collect(), key=str)
+
+
+def test_increment_reads_only_the_months_of_the_batch(spark, silver):
+    """Lines are pruned by stored month and joined to the batch's orders before anything is added up."""
+    from martwright.plans.incremental import lines_with_month, rebuild_months, with_month
+    from martwright.sources.parquet import replace_all_months
+
+    root = shared_folder(spark, "silver")
+    header = with_month(silver["sales_order_header"])
+    replace_all_months(header, root, "orders")
+    replace_all_months(lines_with_month(header, silver["sales_order_detail"]), root, "lines")
+    orders, lines = (read_table(spark, root, t) for t in ("orders", "lines"))
+    fresh = rebuild_months(orders, lines, [199903, 199904], fact_order_daily)
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.splitlines() if "PartitionFilters" in x]
+    assert scans and all("month_key" in x.split("PartitionFilters")[1].split("]")[0] for x in scans)
+    assert plan.index("LeftSemi") < max(k for k in range(len(plan)) if plan.startswith("PartitionFilters", k))
+    want = fact_order_daily(silver["sales_order_header"], silver["sales_order_detail"]).filter("date_key div 100 in (199903, 199904)")
+    assert sorted(fresh.collect()) == sorted(want.collect())
+
+
+def test_back_dated_and_moved_orders_are_found_by_arrival(spark, silver):
+    header = silver["sales_order_header"].filter("order_id < 3000")
+    arrive = lambda df, day: df.withColumn("ingested_at", F.lit(day).cast("timestamp"))
+    late = (F.col("order_id") % 5 == 0)
+    moved = F.col("order_id") % 11 == 0
+    first = arrive(header.filter(~late), "2024-01-01")
+    second = arrive(header.filter(late | moved), "2024-01-02").withColumn(
+        "order_date", F.when(moved, F.expr("add_months(order_date, -1)")).otherwise(F.col("order_date"))
+    )
+    after = first.filter(~(late | moved)).unionByName(second)
+    root, whole = shared_folder(spark, "gold"), shared_folder(spark, "gold")
+    load_warehouse(silver | {"sales_order_header": first}, root, date(2001, 9, 1), AS_OF)
+    load_warehouse(silver | {"sales_order_header": after}, root, date(2001, 9, 1), AS_OF)
+    load_warehouse(silver | {"sales_order_header": after}, whole, date(2001, 9, 1), AS_OF)
+    for table in ["fact_order", "fact_order_header", "fact_product_daily", "fact_seller_daily", "fact_order_daily"]:
+        one, two = (conform(read_table(spark, r, table), table).collect() for r in (root, whole))
+        assert sorted(one, key=str) == sorted(two, key=str), table
+    one, two = (read_version(spark, r, "fact_customer_behavior").collect() for r in (root, whole))
+    assert sorted(one, key=str) == sorted(two, key=str)

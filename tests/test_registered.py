@@ -4,9 +4,10 @@ import inspect
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from checks import queries as registered
 from checks.compare import compare, open_duckdb
+from checks.oracle import ORACLE
 from martwright.functions.labels import abc_class
 from martwright.plans import analytics as a
 from martwright.plans.clusters import customer_clusters
@@ -22,26 +23,26 @@ def duck(folder):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(queries())
+    assert set(registered.QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(ORACLE) <= set(registered.QUERIES)
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", registered.QUERIES)
 def test_query_equals_duckdb(spark, duck, folder, name):
-    verdict, _, _ = compare(spark, duck, queries()[name], oracle_sql().get(name), folder)
+    verdict, _, _ = compare(spark, duck, registered.QUERIES[name], ORACLE.get(name), folder)
     assert verdict.startswith(("ok", "no SQL")), verdict
 
 
 PURE = [
     n
-    for n in queries()
+    for n in registered.QUERIES
     if n.startswith(("fact_", "q_", "silver_", "dim_", "scd2_", "upsert", "full_", "incremental", "late", "affected"))
 ]
 
 
 @pytest.mark.parametrize("name", PURE)
 def test_plans_have_no_cross_join_and_no_global_window(spark, folder, name):
-    plan = queries()[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    plan = registered.QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     # position keys add up one number per range; nothing else may order a whole table in a window
     if name not in {"dim_vendor_positions"}:
@@ -94,7 +95,7 @@ def test_every_fact_key_resolves(spark, folder, dim, key):
 def test_reports_on_empty_facts(spark):
     from martwright.schemas import empty_table
 
-    row = a.sales_kpis(empty_table(spark, "fact_product_daily"), empty_table(spark, "fact_order")).first()
+    row = a.sales_kpis(empty_table(spark, "fact_product_daily"), empty_table(spark, "fact_order_daily")).first()
     assert [row[c] for c in ["total_revenue", "total_profit", "profit_margin", "total_orders"]] == [0, 0, 0, 0]
     assert a.rfm_scatter(empty_table(spark, "fact_customer_behavior")).count() == 0
 
@@ -102,7 +103,7 @@ def test_reports_on_empty_facts(spark):
 def test_seller_name_is_a_value_not_sql(spark, folder):
     w = registered.Warehouse(spark, folder)
     odd = "x' OR '1'='1"
-    assert a.seller_territories(w.fact_order, w.dim_seller, w.dim_geography, odd).count() == 0
+    assert a.seller_territories(w.fact_order_header, w.dim_seller, w.dim_geography, odd).count() == 0
     text = "SELECT count(*) AS n FROM {dim_seller} WHERE seller_name = :name"
     assert a.run_query(spark, text, {"dim_seller": w.dim_seller}, {"name": odd}).first()["n"] == 0
 
@@ -116,6 +117,38 @@ def test_clusters_repeat_and_cover_everyone(spark, folder):
     assert one == two and len(one) == w.fact_customer_behavior.count() and set(one.values()) == {0, 1, 2}
 
 
+def test_order_reports_do_not_touch_lines(spark, folder):
+    w = registered.Warehouse(spark, folder)
+    reports = {
+        "kpis": a.sales_kpis(w.fact_product_daily, w.fact_order_daily),
+        "types": a.order_value_by_type(w.fact_order_header, w.dim_customer),
+        "countries": a.revenue_by_country(w.fact_order_header, w.dim_geography),
+        "regions": a.top_regions(w.fact_order_header, w.dim_geography, w.dim_customer),
+    }
+    for name, df in reports.items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "line_total" not in plan and "fact_order_key" not in plan and "order_id" not in plan, name
+
+
+def test_category_report_shuffles_names_only(spark, folder):
+    w = registered.Warehouse(spark, folder)
+    plan = a.category_by_country(w.fact_order, w.dim_product, w.dim_geography)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(country_name" in plan
+    for line in plan.splitlines():
+        if "HashAggregate(keys=" in line:
+            assert "geography_key" not in line and "product_key" not in line
+
+
+def test_clusters_with_missing_measures(spark, folder):
+    w = registered.Warehouse(spark, folder)
+    some = w.fact_customer_behavior.withColumn("recency_days", F.expr("CASE WHEN total_orders % 5 = 0 THEN NULL ELSE recency_days END"))
+    found = customer_clusters(some, k=3)
+    assert found.filter("recency_days IS NULL AND cluster IS NOT NULL").count() == 0
+    assert found.filter("recency_days IS NOT NULL AND cluster IS NULL").count() == 0
+    assert found.count() == some.count()
+    assert customer_clusters(some.withColumn("total_amount", F.lit(None).cast("decimal(28,4)"))).filter("cluster IS NULL").count() == some.count()
+
+
 def test_abc_limits(spark):
     df = spark.createDataFrame([(80, "A"), (81, "B"), (95, "B"), (96, "C"), (100, "C")], "r int, c string")
     assert df.filter(abc_class(F.col("r"), F.lit(100)) != F.col("c")).count() == 0
