@@ -7,14 +7,17 @@ at which every coordinate is likely to be hit, and keeps the earliest dart per c
 agree in a coordinate with probability equal to their weighted Jaccard similarity. The work is that
 of the darts, not of shingles times coordinates.
 
-Bands of coordinates join texts. No pairs are made within a bucket. Each round every bucket compares its
-texts with its hubs (the texts that share most with others), exactly, on whole shingle counts. A text
-leaves a bucket only when nothing is left there that could be linked to it: by the triangle inequality
-of the Jaccard distance, a linked text stays if an unlinked one is near enough. The number of hubs doubles
-each round until no bucket has two texts, so every pair of texts that shares a bucket and has the
-similarity ends in one class. Equal texts are collapsed beforehand.
-
-A pair at 0.8 shares none of the 32 bands of five with probability (1 - 0.8^5)^32 < 4e-6.
+Bands of coordinates join texts; a bucket holds texts of one band value and of sizes that allow the
+similarity. No pairs of a bucket are made. First every bucket compares its texts with one hub, the text that
+shares most with others, which is the centre of a group of copies; the links found make classes, and a bucket whose
+texts are all in one class is done. What is left, buckets that still hold several classes, is cut into
+blocks of bounded size: texts that are connected by such buckets meet, block by block, and each is compared
+with those of other classes, by signature and then exactly on whole shingle counts. Only links that join two
+classes leave a block. So every pair of texts that shares a bucket and has the similarity ends in one
+class. Equal texts are collapsed beforehand.
+
+A pair at 0.8 shares none of the 32 bands of five with probability (1 - 0.8^5)^32 < 4e-6, and agrees in under 0.6
+of the 160 coordinates, which rules it out, with probability < 1e-8 (0.66 in blocks: < 1e-5).
 
 Defined results: texts are compared by their words; a text under five words is one shingle of all its words.
 Texts without words (NULL and empty included) are equal to each other and near nothing else. Repeated rows
@@ -41,6 +44,9 @@ from martwright.session import materialize
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 32, 5
+# Signatures rule a pair out if they agree in fewer coordinates; in blocks, which see many near misses, sooner.
+RULED_OUT, RULED_OUT_IN_BLOCKS = 0.6, 0.66
+BLOCK_BYTES = 32_000_000  # cells of the texts of one block; two blocks meet in a task
 # Rank intervals: one below 2^-8, doubling up to 1, then of length 1; never more than one dart expected.
 LOW = 8
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -167,21 +173,32 @@ def _sketch(bands: int, rows: int):
             texts = utf8(batch.column("text"))
             words, owner, keys = split_words(texts)
             cell, of = cells(words, owner)
-            found = band_keys(signatures(cell, of, len(texts), bands * rows), bands, rows)
-            empty = np.bincount(of, minlength=len(texts)) == 0
-            lists = [None if e else x for e, x in zip(empty.tolist(), found.view(np.int64).tolist(), strict=True)]
+            signed = signatures(cell, of, len(texts), bands * rows)
+            found = band_keys(signed, bands, rows)
+            sizes = np.bincount(of, minlength=len(texts))
+            lists = [x if n else None for n, x in zip(sizes.tolist(), found.view(np.int64).tolist(), strict=True)]
+            short = (signed >> np.uint64(16)).astype(np.uint16)  # bits that do not choose the coordinate
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64()))],
-                names=["doc_id", "row", "text_key", "bands"],
+                [
+                    batch.column("doc_id"),
+                    batch.column("row"),
+                    pa.array(keys, pa.binary()),
+                    pa.array(lists, pa.list_(pa.int64())),
+                    pa.array([x.tobytes() for x in short], pa.binary()),
+                    pa.array(sizes, pa.int64()),
+                ],
+                names=["doc_id", "row", "text_key", "bands", "signature", "cells"],
             )
 
     return run
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id``, ``row`` (of equal ids, tells texts apart), ``text_key`` (equal for equal words) and ``bands``."""
+    """``doc_id``, ``row`` (of equal ids, tells texts apart), ``text_key`` (equal for equal words), ``bands``,
+    ``signature`` (16 bits per coordinate) and ``cells`` (their number)."""
     read = docs.select("doc_id", "text", row_of(F.col("text")).alias("row"))
-    return read.mapInArrow(_sketch(bands, rows), "doc_id long, row long, text_key binary, bands array<long>")
+    shape = "doc_id long, row long, text_key binary, bands array<long>, signature binary, cells long"
+    return read.mapInArrow(_sketch(bands, rows), shape)
 
 
 def _cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,73 +215,127 @@ def _cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _jaccard(x: np.ndarray, y: np.ndarray) -> float:
+    """Similarity of two texts by their sorted cells; a cell occurs once in a text."""
+    both = np.concatenate([x, y])
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())
+    return shared / (len(x) + len(y) - shared)
+
+
 def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         pairs = zip(batch.column("cells").to_pylist(), batch.column("hub_cells").to_pylist(), strict=True)
-        found = []
-        for a, b in pairs:
-            x, y = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
-            both = np.concatenate([x, y])
-            both.sort()
-            shared = int((both[1:] == both[:-1]).sum())
-            found.append(shared / (len(x) + len(y) - shared))
+        found = [_jaccard(np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)) for a, b in pairs]
         yield pa.RecordBatch.from_arrays([batch.column("text_key"), batch.column("hub"), pa.array(found, pa.float64())], names=["text_key", "hub", "similarity"])
 
 
-def compared(pairs: DataFrame, cell_lists: DataFrame) -> DataFrame:
-    """Exact weighted Jaccard similarity of pairs ``text_key, hub``."""
-    hubs = cell_lists.select(F.col("text_key").alias("hub"), F.col("cells").alias("hub_cells"))
-    return pairs.join(cell_lists, "text_key").join(hubs, "hub").mapInArrow(_similarity, "text_key binary, hub binary, similarity double")
+def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(batch.num_rows, -1) for c in ("signature", "hub_signature"))
+        yield pa.RecordBatch.from_arrays([batch.column("text_key"), batch.column("hub"), pa.array((a == b).mean(axis=1))], names=["text_key", "hub", "agreement"])
+
+
+PAIR = "text_key binary, hub binary"
+
+
+def compared(pairs: DataFrame, signed: DataFrame, cell_lists: DataFrame) -> DataFrame:
+    """``similarity`` of pairs ``text_key, hub``: exact, or NULL where the signatures rule the pair out."""
+
+    def both(pairs: DataFrame, side: DataFrame, column: str) -> DataFrame:
+        hubs = side.select(F.col("text_key").alias("hub"), F.col(column).alias(f"hub_{column}"))
+        return pairs.join(side.select("text_key", column), "text_key").join(hubs, "hub")
+
+    judged = materialize(both(pairs, signed, "signature").mapInArrow(_agreement, f"{PAIR}, agreement double"), "judged")
+    close = both(judged.filter(F.col("agreement") >= RULED_OUT).drop("agreement"), cell_lists, "cells")
+    far = judged.filter(F.col("agreement") < RULED_OUT).select("text_key", "hub", F.lit(None).cast("double").alias("similarity"))
+    return close.mapInArrow(_similarity, f"{PAIR}, similarity double").unionByName(far)
 
 
 def links(sketched: DataFrame, docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """Links ``a, b, similarity`` between different texts (by text_key) that join all texts of a class."""
-    texts = sketched.filter("bands IS NOT NULL").groupBy("text_key").agg(
-        F.first("bands").alias("bands"), F.min(F.struct("doc_id", "row")).alias("one")
-    )
-    bands = texts.select("text_key", F.explode("bands").alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    members = materialize(bands.join(shared, "bucket"), "members")
+    by_text = sketched.filter("bands IS NOT NULL").groupBy("text_key")
+    bands = by_text.agg(F.first("bands").alias("bands"), F.first("cells").alias("cells"))
+    bands = bands.select("text_key", "cells", F.explode("bands").alias("band"))
+    crowded = lambda df, key: df.join(df.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1"), key)
+    # similar texts differ little in size: each text is filed under its size class and the next
+    size_class = F.floor(F.log(F.col("cells")) / F.lit(math.log(1 / similar))).cast("int")
+    filed = materialize(crowded(bands, "band").select("text_key", "band", F.explode(F.array(size_class, size_class + 1)).alias("size")), "filed")
+    bucket = F.xxhash64("band", "size").alias("bucket")
+    members = crowded(filed.select("text_key", bucket), "bucket")
     # texts that meet many others are the centre of their group, so they go first
-    reach = materialize(members.groupBy("text_key").agg(F.sum("n").alias("reach")), "reach")
-    wanted = texts.join(reach, "text_key", "left_semi").select(
-        "text_key", F.col("one.doc_id").alias("of"), F.col("one.row").alias("of_row")
-    )
+    reach = F.sum("n").over(Window.partitionBy("text_key"))
+    left = materialize(members.select("bucket", "text_key", reach.alias("reach")), "left")
+    signed = by_text.agg(F.first("signature").alias("signature"), F.min(F.struct("doc_id", "row")).alias("one"))
+    signed = materialize(signed.join(left.select("text_key").distinct(), "text_key", "left_semi"), "signed")
+    wanted = signed.select("text_key", F.col("one.doc_id").alias("of"), F.col("one.row").alias("of_row"))
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (row_of(F.col("text")) == F.col("of_row"))
     cell_lists = docs.select("doc_id", "text").join(wanted, same).select("text", "text_key").mapInArrow(_cells_of, "text_key binary, cells binary")
     cell_lists = materialize(cell_lists, "cells")
-    left = materialize(members.join(reach, "text_key").select("bucket", "text_key", "reach"), "left")
-    known, hubs = None, 1
-    while True:
-        if hubs == 1:
-            first = F.max(F.struct("reach", "text_key"))["text_key"]
-            chosen = left.groupBy("bucket").agg(first.alias("hub"))
-        else:
-            place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("reach"), "text_key"))
-            chosen = left.withColumn("place", place).filter(F.col("place") <= hubs).select("bucket", F.col("text_key").alias("hub"))
-        met = left.join(chosen, "bucket")
-        pairs = met.filter("text_key <> hub").select("text_key", "hub").distinct()
-        if known is not None:
-            pairs = pairs.join(known, ["text_key", "hub"], "left_anti")
-        result = materialize(compared(pairs, cell_lists).distinct(), "compared")
-        known = result if known is None else known.unionByName(result)
-        # Who stays in a bucket: no hub; unlinked texts; a linked one that an unlinked one may be near to.
-        far = 1 - similar
-        seen = met.join(known, ["text_key", "hub"], "left").withColumn("distance", 1 - F.col("similarity"))
-        nearest = seen.filter(F.col("distance") > far).groupBy("bucket", "hub").agg(F.min("distance").alias("nearest"))
-        stays = (F.col("distance") > far) | (F.col("distance") >= F.col("nearest") - far)
-        kept = (
-            seen.join(nearest, ["bucket", "hub"], "left")
-            .groupBy("bucket", "text_key")
-            .agg(F.min(F.coalesce(stays, F.lit(False))).alias("stays"), F.first("reach").alias("reach"))
-            .filter("stays")
-        )
-        crowded = kept.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-        left = materialize(kept.select("bucket", "text_key", "reach").join(crowded, "bucket", "left_semi"), "left")
-        if left.isEmpty():
-            linked = known.filter(F.col("similarity") >= similar)
-            return linked.select(F.col("text_key").alias("a"), F.col("hub").alias("b"), "similarity")
-        hubs *= 2
+    hub = left.groupBy("bucket").agg(F.max(F.struct("reach", "text_key"))["text_key"].alias("hub"))
+    pairs = left.join(hub, "bucket").filter("text_key <> hub")
+    pairs = pairs.select(F.least("text_key", "hub").alias("text_key"), F.greatest("text_key", "hub").alias("hub")).distinct()
+    result = materialize(compared(pairs, signed, cell_lists), "compared")
+    linked = result.filter(F.col("similarity") >= similar).select(F.col("text_key").alias("a"), F.col("hub").alias("b"), "similarity")
+    classes_so_far = components(linked.select("a", "b"))
+    labelled = left.select("bucket", "text_key").join(classes_so_far, F.col("text_key") == F.col("node"), "left")
+    labelled = labelled.select("bucket", "text_key", F.coalesce("root", "text_key").alias("label"))
+    several = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("text_key").alias("b"))
+    open_ = materialize(labelled.join(several.filter("low < high").select("bucket", "b"), "bucket"), "open")
+    return linked.unionByName(_in_blocks(open_, signed, cell_lists, similar))
+
+
+def _in_blocks(open_: DataFrame, signed: DataFrame, cell_lists: DataFrame, similar: float) -> DataFrame:
+    """Links between classes among texts that are connected by buckets (rows ``bucket, text_key, label, b``)."""
+    together = components(open_.select(F.col("text_key").alias("a"), "b"))
+    texts = open_.select("text_key", "label").distinct().join(together, F.col("text_key") == F.col("node"))
+    texts = texts.select("text_key", "label", F.col("root").alias("together")).join(signed.select("text_key", "signature"), "text_key")
+    texts = materialize(texts.join(cell_lists, "text_key"), "texts")
+    sizes = texts.groupBy("together").agg(F.ceil(F.sum(F.octet_length("cells")) / F.lit(BLOCK_BYTES)).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("text_key"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    met = texts.join(sizes, "together").withColumn("block", block).withColumn("other", other)
+    met = met.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "blocks")
+    return met.groupBy("together", "i", "j").applyInArrow(_join_classes(similar), "a binary, b binary, similarity double")
+
+
+def _join_classes(similar: float):
+    def run(table: pa.Table) -> pa.Table:
+        """Compare texts of different classes; of a pair of classes, one link is enough."""
+        names = table.column("text_key").to_pylist()
+        signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint16).reshape(len(names), -1)
+        cells_ = [np.frombuffer(x, dtype=np.uint64) for x in table.column("cells").to_pylist()]
+        block = np.asarray(table.column("block"))
+        number = {}
+        root = np.array([number.setdefault(x, len(number)) for x in table.column("label").to_pylist()])
+        two = block.min() != block.max()
+        links: list[tuple[bytes, bytes, float]] = []
+        # texts of the smaller classes look for partners; when all classes but one have looked, all pairs are seen
+        size = np.bincount(root)[root]
+        order = np.lexsort((np.arange(len(names)), size))
+        looked = np.zeros(len(names), dtype=bool)
+        for i in order.tolist():
+            looked[i] = True
+            others = ~looked & (root != root[i])
+            if two:
+                others &= block != block[i]
+            at = np.flatnonzero(others)
+            if not len(at):
+                continue
+            agree = (signature[at] == signature[i]).mean(axis=1)
+            at, agree = at[agree >= RULED_OUT_IN_BLOCKS], agree[agree >= RULED_OUT_IN_BLOCKS]
+            for j in at[np.argsort(-agree, kind="stable")].tolist():
+                if root[j] == root[i]:
+                    continue
+                found = _jaccard(cells_[i], cells_[j])
+                if found >= similar:
+                    links.append((names[i], names[j], found))
+                    root[root == root[j]] = root[i]
+        columns = list(zip(*links, strict=True)) if links else [[], [], []]
+        kinds = [pa.binary(), pa.binary(), pa.float64()]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["a", "b", "similarity"])
+
+    return run
 
 
 def classes(docs: DataFrame, similar: float = SIMILAR, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
