@@ -43,11 +43,16 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix reads, with ``size``, ``target`` of their source and ``taken`` (words read)."""
-    mix = mixing.Mix(docs, keep=[c for c in docs.columns if c not in ("doc_id", "source")])
+    """The documents that the mix reads, with ``size``, ``target`` of their source and ``taken`` (words read).
+
+    A document's own column of one of these names gives way.
+    """
+    added = ["size", "source_size", "target", "taken"]
+    columns = [c for c in docs.columns if c not in added]
+    mix = mixing.Mix(docs, keep=[c for c in columns if c not in ("doc_id", "source")])
     read = mix.documents().filter("taken > 0")
-    kept = [F.col(c) if c in ("doc_id", "source") else F.col("kept")[c].alias(c) for c in docs.columns]
-    return read.select(*kept, "size", "source_size", "target", "taken")
+    kept = [F.col(c) if c in ("doc_id", "source") else F.col("kept")[c].alias(c) for c in columns]
+    return read.select(*kept, *added)
 
 
 STAGES: list[tuple[str, Stage]] = [
