@@ -1,0 +1,107 @@
+import math
+from collections import defaultdict
+from zlib import crc32
+
+import numpy as np
+import pytest
+
+from martwright.llm import ctw
+
+
+def reference(train, texts, depth):
+    """Context-tree weighting by definition, node by node."""
+    counts = defaultdict(lambda: [0, 0])
+
+    def decisions(text):
+        data = b"\xff" * depth + text + b"\xff"
+        for k in range(depth, len(data)):
+            near = data[k - depth : k][::-1]
+            for j in range(8):
+                yield near, (1 << j) | (data[k] >> (8 - j)), (data[k] >> (7 - j)) & 1
+
+    for t in train:
+        for near, prefix, bit in decisions(t):
+            for d in range(depth + 1):
+                counts[(near[:d], prefix)][bit] += 1
+    kt = lambda a, b: math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+    children = defaultdict(list)
+    for near, prefix in list(counts):
+        if near:
+            children[(near[:-1], prefix)].append((near, prefix))
+    weighted = {}
+    for node in sorted(counts, key=lambda n: -len(n[0])):
+        own = kt(*counts[node])
+        weighted[node] = own if len(node[0]) == depth else np.logaddexp(own, sum(weighted[c] for c in children[node])) - math.log(2)
+
+    def probability(near, prefix, bit):
+        mixed = None
+        for d in range(depth, -1, -1):
+            a = counts.get((near[:d], prefix), (0, 0))
+            if sum(a) == 0 and d:
+                continue
+            estimate = (a[bit] + 0.5) / (sum(a) + 1)
+            if mixed is None:
+                mixed = estimate
+            else:
+                w = 0.5 * math.exp(kt(*a) - weighted[(near[:d], prefix)])
+                mixed = w * estimate + (1 - w) * mixed
+        return mixed
+
+    return [sum(math.log10(probability(*d)) for d in decisions(t)) for t in texts]
+
+
+@pytest.mark.parametrize("chars", [3_000, 10**8])
+def test_scores_equal_definition(docs_of, odd_rows, chars):
+    rows = [(i, t if t is None else t[:700]) for i, t in odd_rows] + [(100 + k, "abab cdcd " * (k % 5)) for k in range(20)]
+    found = ctw.scored(docs_of(rows), depth=2, block_chars=chars).collect()
+    texts = [(t or "").encode() for _, t in rows]
+    held = [i is not None and crc32(str(i).encode()) % 5 == 1 for i, _ in rows]
+    train = [t for t, h in zip(texts, held) if not h]
+    tokens = [[*t.split(), b""] for t in texts]
+    c = defaultdict(int)
+    for ws, h in zip(tokens, held):
+        for w in [] if h else ws:
+            c[w] += 1
+    n, v = sum(c.values()), len(c)
+    base = [sum(math.log10((c.get(w, 0) + 0.5) / (n + 0.5 * (v + 1))) for w in ws) for ws in tokens]
+    known = [sum(c.get(w, 0) > 0 for w in ws) for ws in tokens]
+    want = sorted(zip([i if i is not None else -99 for i, _ in rows], held, map(len, tokens), known, base, reference(train, texts, 2)))
+    got = sorted((r["doc_id"] if r["doc_id"] is not None else -99, r["held_out"], r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in found)
+    assert [x[:4] for x in got] == [x[:4] for x in want]
+    assert np.allclose([x[4:] for x in got], [x[4:] for x in want], rtol=1e-9)
+    assert {r["train_tokens"] for r in found} == {n}
+
+
+def test_probabilities_of_a_byte_add_up_to_one():
+    texts = [b"the cat sat on the mat", b"the dog"]
+    codes, counts = np.unique(ctw.strings_of(texts, 3)[0], return_counts=True)
+    for context in [b"the", b"xyz", b"\xff\xff\xff"]:
+        near = int.from_bytes(context[::-1], "big") << 8
+        every = np.union1d(codes, np.uint64(near) | np.arange(256, dtype=np.uint64))
+        n = np.zeros(len(every))
+        n[np.searchsorted(every, codes)] = counts
+        tree = ctw.Tree(every, n, 3, 2)
+        node, _, zeros, ones, _ = tree.levels[2]
+        above = (((node >> np.uint64(16)) << np.uint64(8)) | (node & np.uint64(255))).astype(np.int64)
+        logs = tree.log10(ctw.upper_levels(above, zeros, ones, tree.weighted, 2))
+        assert (10 ** logs[(every >> np.uint64(8)) == near >> 8]).sum() == pytest.approx(1)
+
+
+def test_learns(docs_of):
+    """Held-out text of the training kind is cheaper than other text of the same length."""
+    rows = [(k, " ".join(f"the cat {j % 7} sat" for j in range(40 + k))) for k in range(60)]
+    noise = [(1000 + k, "".join(chr(33 + (k * 7 + j * j) % 90) for j in range(300))) for k in range(40)]
+    found = ctw.scored(docs_of([*rows, *[r for r in noise if crc32(str(r[0]).encode()) % 5 == 1]])).filter("held_out").collect()
+    per_byte = {r["doc_id"]: r["score"] / len(dict(rows + noise)[r["doc_id"]]) for r in found}
+    assert min(v for k, v in per_byte.items() if k < 1000) > max(v for k, v in per_byte.items() if k >= 1000)
+
+
+def test_empty_tables(docs_of):
+    assert ctw.scored(docs_of([])).count() == 0
+    only = ctw.scored(docs_of([(next(k for k in range(99) if crc32(str(k).encode()) % 5 == 1), "ab")])).first()
+    assert only["train_tokens"] == 0 and only["score"] == pytest.approx(24 * math.log10(0.5)) and only["n_known"] == 0
+
+
+def test_lgamma():
+    k = np.array([1, 2, 3, 4095, 4096, 4097, 10**7])
+    assert np.allclose(ctw.lgamma_half(k), [math.lgamma(x / 2) for x in k], rtol=1e-14, atol=1e-12)
