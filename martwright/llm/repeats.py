@@ -3,7 +3,7 @@
 Of every ``LENGTH`` consecutive words the smallest digest of its ``ANCHOR``-word runs is the seed, so equal
 passages of that length have the same seed at the same place. Documents are held in blocks; anchors
 that occur in one block only need no join. For an anchor found in several blocks, each block extends its
-occurrences left and right to all windows of ``LENGTH`` words around it, and windows (128-bit digests
+occurrences left and right to all windows of ``LENGTH`` words around it, and windows (96-bit digests
 of the words) that agree across blocks are joined to their first occurrence: one row per window and block,
 never a pair of documents. Overlapping windows then merge into maximal repeats.
 
@@ -80,6 +80,11 @@ def _anchors(length: int, anchor: int):
     return run
 
 
+def short(h2: np.ndarray) -> np.ndarray:
+    """The half of the second digest that travels: 96 bits in all."""
+    return (h2 >> np.uint64(32)).astype(np.uint32)
+
+
 def _extend(length: int, anchor: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table, anchors: pa.Table) -> pa.Table:
         block = Block(table)
@@ -87,17 +92,15 @@ def _extend(length: int, anchor: int):
         shared = np.asarray(anchors.column("anchor")).view(np.uint64)
         at = at[np.isin(block.seeds(at, length, anchor), shared)] if len(shared) else at[:0]
         h1, h2 = block.digests(at, length)
-        order, first = groups_of(h1, h2)
+        order, first = groups_of(h1, h2 >> np.uint64(32))
         lead = order[first]
         owner = block.owner[at[lead]]
         return pa.table(
             {
                 "h1": h1[lead].view(np.int64),
-                "h2": h2[lead].view(np.int64),
+                "h2": short(h2[lead]).view(np.int32),
                 "block": np.full(len(lead), key[0].as_py(), dtype=np.int32),
                 "doc_id": pa.array([block.ids[i] for i in owner], pa.int64()),
-                "row": pa.array([block.rows[i] for i in owner], pa.int64()),
-                "start": at[lead] - block.starts[owner],
             }
         )
 
@@ -113,11 +116,11 @@ def _remove(length: int):
         removed = np.zeros(len(at), dtype=bool)
         removed[order] = ~first
         # windows that start earlier in another block
-        l1, l2 = (np.asarray(late.column(c)).view(np.uint64) for c in ("h1", "h2"))
+        l1, l2 = np.asarray(late.column("h1")).view(np.uint64), np.asarray(late.column("h2")).view(np.uint32)
         maybe = np.flatnonzero(np.isin(h1, l1)) if len(l1) else np.empty(0, dtype=np.int64)
         if len(maybe):
             gone = set(zip(l1.tolist(), l2.tolist(), strict=True))
-            hit = [x in gone for x in zip(h1[maybe].tolist(), h2[maybe].tolist(), strict=True)]
+            hit = [x in gone for x in zip(h1[maybe].tolist(), short(h2[maybe]).tolist(), strict=True)]
             removed[maybe[np.array(hit)]] = True
         edge = np.zeros(len(block.owner) + 1, dtype=np.int64)
         np.add.at(edge, at[removed], 1)
@@ -161,9 +164,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     common = anchors.groupBy("anchor").agg(*spread).filter("low < high").select("anchor")
     seeds = anchors.join(common, "anchor").select("block", "anchor")
     windows = by_block.cogroup(seeds.groupBy("block")).applyInArrow(
-        _extend(length, anchor), "h1 long, h2 long, block int, doc_id long, row long, start long"
+        _extend(length, anchor), "h1 long, h2 int, block int, doc_id long"
     ).repartition("h1", "h2")
-    place = F.struct(F.col("doc_id").isNull(), "doc_id", "row", "start")
+    # rows of one doc_id lie in one block, which knows their order; across blocks the ids decide
+    place = F.struct(F.col("doc_id").isNull(), "doc_id")
     firsts = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), *spread).filter("low < high")
     late = windows.join(firsts, ["h1", "h2"]).filter(~place.eqNullSafe(F.col("first"))).select("block", "h1", "h2")
     return by_block.cogroup(late.groupBy("block")).applyInArrow(
