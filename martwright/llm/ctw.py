@@ -58,14 +58,17 @@ def strings_of(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """For every byte to predict (each text's bytes, then its end): context and byte as one number, nearest
     context byte first and the predicted byte last; and how many there are per text."""
     frame = FRAME * depth
-    joined = np.frombuffer(b"".join(frame + t + FRAME for t in texts), dtype=np.uint8)
+    joined = np.frombuffer(b"".join(frame + t + FRAME for t in texts), dtype=np.uint8).astype(np.uint64)
     sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-    starts = np.cumsum(sizes + depth) - sizes
-    at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-    code = np.zeros(len(at), dtype=np.uint64)
+    n = len(joined)
+    code = joined[depth:].copy()
     for back in range(1, depth + 1):
-        code = (code << np.uint64(8)) | joined[at - back].astype(np.uint64)
-    return (code << np.uint64(8)) | joined[at].astype(np.uint64), sizes
+        code |= joined[depth - back : n - back] << np.uint64(8 * (depth + 1 - back))
+    # the frames between two texts are not predicted
+    between = (np.cumsum(sizes[:-1] + depth)[:, None] + np.arange(depth)).ravel() - depth
+    wanted = np.ones(len(code), dtype=bool)
+    wanted[between] = False
+    return code[wanted], sizes
 
 
 class Tree:
@@ -236,7 +239,15 @@ class Tokens:
 def _block_words(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     tokens = Tokens.of(table)
     block = np.full(len(tokens.n), key[0].as_py(), dtype=np.int32)
-    return pa.table({"h1": tokens.h1.view(np.int64), "h2": tokens.h2.astype(np.uint32).view(np.int32), "n": tokens.n, "block": block})
+    return pa.table(
+        {
+            "h1": tokens.h1.view(np.int64),
+            "h2": tokens.h2.astype(np.uint32).view(np.int32),
+            "n": tokens.n.astype(np.int32),
+            "block": block,
+            "at": np.arange(len(block), dtype=np.int32),
+        }
+    )
 
 
 def _pieces(texts: list[bytes]) -> Iterator[list[int]]:
@@ -251,44 +262,49 @@ def _pieces(texts: list[bytes]) -> Iterator[list[int]]:
         yield held
 
 
+def _strings(texts: list[bytes], depth: int) -> np.ndarray:
+    """The distinct strings of a block, in order."""
+    found = np.empty(0, dtype=np.uint64)
+    for part in _pieces(texts):
+        found = np.union1d(found, pd.unique(strings_of([texts[i] for i in part], depth)[0]))
+    return found
+
+
 def _block_strings(depth: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        texts = utf8(table.column("text"))
-        found = np.empty(0, dtype=np.uint64)
-        for part in _pieces(texts):
-            found = np.union1d(found, pd.unique(strings_of([texts[i] for i in part], depth)[0]))
-        return pa.table({"code": found.view(np.int64), "block": np.full(len(found), key[0].as_py(), dtype=np.int32)})
+        found = _strings(utf8(table.column("text")), depth)
+        block = np.full(len(found), key[0].as_py(), dtype=np.int32)
+        return pa.table({"code": found.view(np.int64), "block": block, "at": np.arange(len(found), dtype=np.int32)})
 
     return run
 
 
 def _score(depth: int):
     def run(table: pa.Table, known: pa.Table) -> pa.Table:
-        is_word = np.asarray(known.column("is_word").to_pylist(), dtype=bool)
-        words, strings = known.filter(pa.array(is_word)), known.filter(pa.array(~is_word))
-        codes, logs = np.asarray(strings.column("h1")).view(np.uint64), np.asarray(strings.column("value"))
-        order = np.argsort(codes)
-        codes, logs = codes[order], logs[order]
-        # counts of words that other blocks count too; the block itself knows those of the rest
+        # answers come by their place in the block's own order: strings below zero, words from zero on
+        at, value = np.asarray(known.column("at")), np.asarray(known.column("value"))
+        texts = utf8(table.column("text"))
+        pieces = []
+        for part in _pieces(texts):
+            found, sizes = strings_of([texts[i] for i in part], depth)
+            place, distinct = pd.factorize(found)
+            pieces.append((part, place.astype(np.int32), distinct, np.cumsum(sizes) - sizes))
+        codes = np.unique(np.concatenate([x[2] for x in pieces]))
+        logs = np.zeros(len(codes))
+        logs[-1 - at[at < 0]] = value[at < 0]
+        # counts of words that other blocks count too, negative away from home; the block itself knows the rest
         tokens = Tokens.of(table)
         c = tokens.n.copy()
-        h1, h2 = np.asarray(words.column("h1")).view(np.uint64), np.asarray(words.column("h2")).view(np.uint32)
-        at = np.searchsorted(tokens.h1, h1)
-        while len(at) and (wrong := tokens.h2[at] != h2).any():  # tokens that share half a digest are neighbours
-            at[wrong] += 1
-        c[at] = np.asarray(words.column("value")).astype(np.int64)
-        shared = np.zeros(len(c), dtype=bool)
-        shared[at] = True
-        distinct_here = int((~shared & (c > 0)).sum()) + int(pc.sum(words.column("home")).as_py() or 0)
-        texts = utf8(table.column("text"))
+        c[at[at >= 0]] = np.abs(value[at >= 0]).astype(np.int64)
+        away = np.zeros(len(c), dtype=bool)
+        away[at[(at >= 0)]] = value[at >= 0] < 0
+        distinct_here = int(((c > 0) & ~away).sum())
         starts = np.cumsum(tokens.sizes) - tokens.sizes
         hits = np.add.reduceat((c > 0).astype(np.int64)[tokens.number], starts)
         base = np.add.reduceat(np.log10(c + 0.5)[tokens.number], starts)
         score = np.zeros(len(texts))
-        for part in _pieces(texts):
-            found, sizes = strings_of([texts[i] for i in part], depth)
-            place, distinct = pd.factorize(found)
-            score[part] = np.add.reduceat(logs[np.searchsorted(codes, distinct)][place], np.cumsum(sizes) - sizes)
+        for part, place, distinct, begins in pieces:
+            score[part] = np.add.reduceat(logs[np.searchsorted(codes, distinct)][place], begins)
         first = np.zeros(len(texts), dtype=np.int64)
         first[0] = distinct_here
         return pa.table(
@@ -316,18 +332,17 @@ def scored(docs: DataFrame, buckets: int = 5, held_out: int = 1, depth: int = DE
     counts = materialize(string_counts(docs, train, depth), "strings")
     logs = model(counts, depth)
     by_block = blocked(docs, block_chars).withColumn("train", train).groupBy("block")
-    # Both sides of the join of words need all columns of their exchange, so it is made once. A word whose training
+    # Both sides of the join of words read all columns of their exchange, so it is made once. A word whose training
     # tokens all lie in one block is known there; of the others, the first such block is the home.
-    words = by_block.applyInArrow(_block_words, "h1 long, h2 int, n long, block int").repartition("h1", "h2")
-    totals = words.groupBy("h1", "h2").agg(F.sum("n").alias("c"), F.min(F.when(F.col("n") > 0, F.col("block"))).alias("first"))
-    shared = words.join(totals, ["h1", "h2"]).filter("c > n")
-    strings = by_block.applyInArrow(_block_strings(depth), "code long, block int").join(logs, "code")
-    known = shared.select(
-        "block", F.lit(True).alias("is_word"), "h1", "h2", F.col("c").cast("double").alias("value"), (F.col("block") == F.col("first")).alias("home")
-    ).unionByName(
-        strings.select(
-            "block", F.lit(False).alias("is_word"), F.col("code").alias("h1"), F.lit(0).alias("h2"), F.col("log10").alias("value"), F.lit(False).alias("home")
-        )
+    words = by_block.applyInArrow(_block_words, "h1 long, h2 int, n int, block int, at int").repartition("h1", "h2")
+    totals = words.groupBy("h1", "h2").agg(
+        F.sum("n").alias("c"), F.min(F.when(F.col("n") > 0, F.col("block"))).alias("first"), F.min("at").alias("least")
+    )
+    shared = words.join(totals, ["h1", "h2"]).filter("c > n AND at >= least")
+    c = F.col("c").cast("double")
+    strings = by_block.applyInArrow(_block_strings(depth), "code long, block int, at int").join(logs, "code")
+    known = shared.select("block", "at", F.when(F.col("block") == F.col("first"), c).otherwise(-c).alias("value")).unionByName(
+        strings.select("block", (-1 - F.col("at")).alias("at"), F.col("log10").alias("value"))
     )
     shape = "doc_id long, train boolean, n_tokens long, n_known long, distinct_tokens long, base double, score double"
     rows = materialize(by_block.cogroup(known.groupBy("block")).applyInArrow(_score(depth), shape), "scores")
