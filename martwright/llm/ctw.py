@@ -36,7 +36,7 @@ from martwright.session import materialize
 
 DEPTH = 4
 BLOCK_CHARS = 16_000_000
-PIECE = 4_000_000  # bytes whose strings are counted at a time
+PIECE = 2_000_000  # bytes whose strings are counted at a time
 FRAME = b"\xff"
 HALF = math.log(0.5)
 # lgamma over half steps is looked up; beyond the table Stirling's series is exact to double precision
@@ -279,10 +279,44 @@ def _block_strings(depth: int):
     return run
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Answers of one task gathered by block: a row of two arrays instead of a row per answer."""
+
+    def out(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        block, at, value = (np.concatenate([np.asarray(b.column(c)) for b in held]) for c in ("block", "at", "value"))
+        order = np.lexsort((at, block))
+        block, at, value = block[order], at[order], value[order]
+        starts = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+        ends = np.append(starts[1:], len(block))
+        spans = list(zip(starts.tolist(), ends.tolist(), strict=True))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(block[starts]),
+                pa.array([at[a:b].tobytes() for a, b in spans], pa.binary()),
+                pa.array([value[a:b].tobytes() for a, b in spans], pa.binary()),
+            ],
+            names=["block", "at", "value"],
+        )
+
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            rows += batch.num_rows
+        if rows > 1_000_000:
+            yield out(held)
+            held, rows = [], 0
+    if held:
+        yield out(held)
+
+
 def _score(depth: int):
     def run(table: pa.Table, known: pa.Table) -> pa.Table:
         # answers come by their place in the block's own order: strings below zero, words from zero on
-        at, value = np.asarray(known.column("at")), np.asarray(known.column("value"))
+        at, value = (
+            np.frombuffer(b"".join(known.column(c).to_pylist()), dtype=kind) for c, kind in (("at", np.int32), ("value", np.float64))
+        )
         texts = utf8(table.column("text"))
         pieces = []
         for part in _pieces(texts):
@@ -344,6 +378,7 @@ def scored(docs: DataFrame, buckets: int = 5, held_out: int = 1, depth: int = DE
     known = shared.select("block", "at", F.when(F.col("block") == F.col("first"), c).otherwise(-c).alias("value")).unionByName(
         strings.select("block", (-1 - F.col("at")).alias("at"), F.col("log10").alias("value"))
     )
+    known = known.mapInArrow(_packed, "block int, at binary, value binary")
     shape = "doc_id long, train boolean, n_tokens long, n_known long, distinct_tokens long, base double, score double"
     rows = materialize(by_block.cogroup(known.groupBy("block")).applyInArrow(_score(depth), shape), "scores")
     # two numbers of the whole corpus: training tokens, and distinct ones
