@@ -5,8 +5,9 @@ punctuation folded). Impacts are BM25 scores divided by the section's own full s
 fits sections of any length. Every document is searched as overlapping passages of twice a section's
 length, so any copied section lies whole in one of them. A passage is skipped only if the highest
 impacts of its terms cannot add up to the threshold; the others run block-max WAND, which is exact.
-What is retrieved is verified against the words of the text: shared five-word shingles of the question
-(all sentences of an item but the last) and of the answer (the last sentence).
+Every passage retrieved is verified against the words around it: shared five-word shingles of the question
+(all sentences of an item but the last) and of the answer (the last sentence). Passages near each other are
+verified together; the place with the highest overlap counts.
 
 The index is built in groups of at most ``GROUP`` items, whose broadcast size is thus bounded; each
 group is searched by all documents. Documents are never shuffled.
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +50,29 @@ def shingles(words: list[bytes]) -> set[tuple[bytes, ...]]:
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
+def densest(near: list[bytes], width: int, question: set, answer: set) -> tuple[int, int]:
+    """Distinct shingles of question and of answer that start within ``width`` words, where they are the most together."""
+    sizes = {len(x) for x in question | answer}
+    hits = ((i, x) for i in range(len(near)) for n in sizes if (x := tuple(near[i : i + n])) in question or x in answer)
+    inside: deque[tuple[int, tuple[bytes, ...]]] = deque()
+    held: Counter[tuple[bytes, ...]] = Counter()
+    q = a = 0
+    most = (0, 0)
+    for i, x in hits:
+        while inside and inside[0][0] <= i - width:
+            gone = inside.popleft()[1]
+            held[gone] -= 1
+            if not held[gone]:
+                q, a = q - (gone in question), a - (gone in answer)
+        inside.append((i, x))
+        held[x] += 1
+        if held[x] == 1:
+            q, a = q + (x in question), a + (x in answer)
+            if q + a > sum(most):
+                most = (q, a)
+    return most
+
+
 class Index:
     """Block-max inverted index over sections; ``search`` gets the distinct term numbers of a passage."""
 
@@ -160,12 +184,13 @@ class Index:
         return found
 
     def matches(self, text: bytes, threshold: float, verified: float) -> list[tuple[int, float, float, float, float]]:
-        """Verified items of one text: item id, best score, overlap of question, of answer, of both."""
+        """Verified items of one text: item id, best score, and the highest overlap, of question, of answer, of both."""
         words = fold(text.split())
         at, term = self.terms(words)
         if not len(at):
             return []
-        best: dict[int, tuple[float, int]] = {}
+        best: dict[int, float] = {}
+        places: dict[int, set[int]] = {}
         # passages of 2 * SECTION words start every SECTION words; term k lies in passages (k // SECTION) and the one before
         order = np.concatenate([at // SECTION, at // SECTION - 1])
         which = np.concatenate([term, term])
@@ -178,16 +203,20 @@ class Index:
             for k in np.flatnonzero(bounds >= threshold).tolist():
                 for section, score in self.search(pairs[1, starts[k] : ends[k]].tolist(), threshold):
                     item = int(self.item_of[section])
-                    if item not in best or score > best[item][0]:
-                        best[item] = (score, int(pairs[0, starts[k]]))
+                    best[item] = max(score, best.get(item, 0.0))
+                    places.setdefault(item, set()).add(int(pairs[0, starts[k]]))
         out = []
-        for item, (score, passage) in sorted(best.items()):
+        for item, score in sorted(best.items()):
             item_id, question, answer = self.items[item]
             reach = SHINGLE * (len(question) + len(answer)) + 2 * SECTION
-            near = words[max(0, passage * SECTION - reach) : (passage + 2) * SECTION + reach]
-            sizes = {len(x) for x in question | answer}
-            seen = {n: {tuple(near[i : i + n]) for i in range(len(near) - n + 1)} for n in sizes}
-            q, a = (sum(x in seen[len(x)] for x in part) for part in (question, answer))
+            spans: list[list[int]] = []
+            for passage in sorted(places[item]):
+                start, end = max(0, passage * SECTION - reach), (passage + 2) * SECTION + reach
+                if spans and start <= spans[-1][1]:
+                    spans[-1][1] = end
+                else:
+                    spans.append([start, end])
+            q, a = max((densest(words[i:j], 2 * (SECTION + reach), question, answer) for i, j in spans), key=sum)
             overlap = (q + a) / max(1, len(question) + len(answer))
             if overlap >= verified:
                 share = lambda n, part: n / len(part) if part else 1.0

@@ -49,6 +49,22 @@ def test_planted_items_are_found(docs_of, benchmark, rows, group):
     assert sorted(str(r["doc_id"]) for r in clean.collect()) == sorted(str(i) for i, _ in rows if i not in planted(rows))
 
 
+def test_a_partial_quote_long_before_the_full_copy(docs_of, benchmark, items):
+    """Both places score 1.0 in a section, but for rounding; the later one holds the item. Scattered parts do not count."""
+    text = {k: t.split() for k, t in items[10:45]}  # 33 to 67 words: two or three sections
+    gap = lambda k, n: words(4_000 + k, n, 3_000)
+    rows = []
+    for k, t in text.items():
+        early = t[: len(t) * 2 // 3]
+        rows.append((k, " ".join([*gap(k, 40), *early, *gap(100 + k, 100), *early, *gap(200 + k, 2_000), *t, *gap(300 + k, 40)])))
+        rows.append((1_000 + k, " ".join([*early, *gap(400 + k, 2_000), *early, *gap(500 + k, 2_000), *t[len(early) :]])))
+    table = docs_of(rows)
+    found = decontam.leaks(table, benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(k, k) for k in text]
+    assert all(r["overlap"] == r["question_overlap"] == r["answer_overlap"] == 1.0 and r["score"] > 0.999 for r in found)
+    assert sorted(r["doc_id"] for r in decontam.decontaminated(table, benchmark).collect()) == [1_000 + k for k in text]
+
+
 def test_search_equals_exhaustive_scoring(items):
     index = decontam.Index([(i, (t or "").encode()) for i, t in items if i is not None])
     rng = random.Random(6)
