@@ -72,7 +72,7 @@ def fact_order(
     orders = lookup(orders, current_rows(dim_customer), {"customer_id": "customer_id"}, ["customer_key"])
     orders = lookup(orders, current_rows(dim_seller), {"sales_person_id": "seller_id"}, ["seller_key"])
     orders = lookup(orders, dim_geography, {"address_id": "address_id"}, ["geography_key"])
-    lines = orders.drop("product_id", "month_key").join(detail, "order_id")
+    lines = orders.drop("product_id", "month_key", "ingested_at").join(detail, "order_id")
     lines = temporal_lookup(lines, dim_product, ("product_id", "product_id"), "order_date", ["product_key"])
     keys = ["customer_key", "product_key", "seller_key", "geography_key"]
     keyed = lines.withColumns({k: or_unknown(k) for k in keys}).withColumns(

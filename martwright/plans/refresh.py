@@ -7,12 +7,13 @@ Spark knows, nothing is computed twice, and a lost executor costs no more than i
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martwright.functions.keys import surrogate_key
 from martwright.operators.merge import full_refresh
 from martwright.plans.dimensions import (
     dim_date_between,
@@ -135,11 +136,12 @@ def load_facts(
     """
     header, detail = silver["sales_order_header"], silver["sales_order_detail"]
     spark = header.sparkSession
+    line_mark = _line_mark(detail, "fact_order")
     totals = materialize(order_totals(detail), "order_totals")
     behavior = fact_customer_behavior(header, detail, dims["dim_customer"], as_of, totals)
     monthly = _store_months(lambda rows, table: replace_all_months(rows, root, table), header, detail, dims, root, totals)
     stored = _store_stock(silver, dims, root) | {"fact_customer_behavior": _store(behavior, root, "fact_customer_behavior")}
-    _advance(spark, header, root)
+    _advance(spark, header, root, line_mark=line_mark)
     return monthly | stored
 
 
@@ -175,13 +177,24 @@ def _arrival(header: DataFrame) -> str:
     return "ingested_at" if "ingested_at" in header.columns else "order_date"
 
 
-def _advance(spark: SparkSession, batch: DataFrame, root: str, tables: list[str] | None = None) -> None:
-    """Move the marks of the facts; a batch that looks back never moves one back."""
+def _line_mark(detail: DataFrame, table: str, since: datetime | None = None) -> DataFrame | None:
+    """Mark row of the lines that arrived after ``since``, stored before the lines are read; None without an arrival."""
+    if "ingested_at" not in detail.columns:
+        return None
+    return materialize(orders_mark(arrived_since(detail, since), f"{table}/lines", "ingested_at"), "line_mark")
+
+
+def _advance(
+    spark: SparkSession, batch: DataFrame, root: str, tables: list[str] | None = None, line_mark: DataFrame | None = None
+) -> None:
+    """Move the marks of the facts, and that of their lines; a batch that looks back never moves one back."""
     stored = _stored(spark, root, "load_state")
     state = empty_table(spark, "load_state") if stored is None else stored
-    for table in tables or [*MONTHLY, "fact_customer_behavior"]:
+    marks = {table: orders_mark(batch, table, _arrival(batch)) for table in tables or [*MONTHLY, "fact_customer_behavior"]}
+    if line_mark is not None:
+        marks[line_mark.first()["table_name"]] = line_mark
+    for table, mark in marks.items():
         before = read_arrival_mark(state, table)
-        mark = orders_mark(batch, table, _arrival(batch))
         state = advance_mark(state, mark.withColumn("last_loaded", F.greatest("last_loaded", F.lit(before).cast("timestamp"))))
     write_version(materialize(state, "load_state"), root, "load_state")
 
@@ -191,23 +204,43 @@ def new_orders(header: DataFrame, known: DataFrame) -> DataFrame:
     return header.join(known.select("order_id"), "order_id", "left_anti")
 
 
+def late_lines(header: DataFrame, detail: DataFrame, known: DataFrame, facts: DataFrame, mark: datetime | None) -> DataFrame:
+    """Ids of orders with lines that the stored facts may lack.
+
+    Where lines carry ``ingested_at``: orders of lines that arrived after the line mark, and orders that have lines but
+    are not stored. Without it, orders of lines that ``facts`` (stored lines) lacks, which reads the ids of all lines.
+    """
+    if "ingested_at" in detail.columns:
+        unknown = details_of(new_orders(header, known), detail)
+        return unknown.select("order_id").unionByName(arrived_since(detail, mark).select("order_id"))
+    keys = detail.select("order_id", surrogate_key("order_detail_id").alias("fact_order_key"))
+    return keys.join(facts.select("fact_order_key"), "fact_order_key", "left_anti").select("order_id")
+
+
 def add_facts(
     silver: dict[str, DataFrame], dims: dict[str, DataFrame], root: str, as_of: date
 ) -> dict[str, DataFrame]:
     """Bring all stored facts up to date with the orders that came since the last load.
 
     Where headers carry ``ingested_at``, the batch is what arrived after the mark, back-dated and corrected
-    orders included; without it, the orders that the facts lack. Its months, and those in which its orders
-    were stored before, are rebuilt from their own orders and lines. Customers with a batch order get their
-    lifetime row from all their orders; the others keep their sums.
+    orders included; without it, the orders that the facts lack. Orders whose lines came later than they did join
+    it (``late_lines``). Its months, and those in which its orders were stored before, are rebuilt from their own
+    orders and lines. Customers with a batch order get their lifetime row from all their orders; the others keep
+    their sums.
     """
     header, detail = silver["sales_order_header"], silver["sales_order_detail"]
     spark = header.sparkSession
     known = _monthly(spark, root, "fact_order_header")
     state = _stored(spark, root, "load_state")
-    arrival = _arrival(header) == "ingested_at"
-    batch = arrived_since(header, read_arrival_mark(state, "fact_order")) if arrival else new_orders(header, known)
-    batch = materialize(batch, "batch")
+    since = read_arrival_mark(state, "fact_order/lines")
+    line_mark = _line_mark(detail, "fact_order", since)
+    late = late_lines(header, detail, known, _monthly(spark, root, "fact_order"), since)
+    if _arrival(header) == "ingested_at":
+        mark = read_arrival_mark(state, "fact_order")
+        batch, behind = arrived_since(header, mark), header.filter(F.col("ingested_at") <= F.lit(mark))
+    else:
+        batch, behind = new_orders(header, known), details_of(known, header)
+    batch = materialize(batch.unionByName(details_of(late, behind)), "batch")
     dim_customer = dims["dim_customer"]
     stock = _store_stock(silver, dims, root)
     behavior = _stored(spark, root, "fact_customer_behavior")
@@ -223,7 +256,7 @@ def add_facts(
         behavior = refresh_customers(behavior, batch, header, detail, dim_customer, as_of)
     stored = {"fact_customer_behavior": _store(behavior, root, "fact_customer_behavior")} | stock
     if not batch.isEmpty():
-        _advance(spark, batch, root)
+        _advance(spark, batch, root, line_mark=line_mark)
     return {table: conform(_monthly(spark, root, table), table) for table in MONTHLY} | stored
 
 

@@ -162,18 +162,18 @@ def conform_order_detail(detail: DataFrame) -> DataFrame:
         .transform(to_decimal, ["UnitPrice", "UnitPriceDiscount", "LineTotal"])
         .transform(keep_non_negative, ["OrderQty", "UnitPrice", "LineTotal"])
     )
-    return _renamed(
-        df,
-        {
-            "SalesOrderID": "order_id",
-            "SalesOrderDetailID": "order_detail_id",
-            "ProductID": "product_id",
-            "OrderQty": "order_qty",
-            "UnitPrice": "unit_price",
-            "UnitPriceDiscount": "unit_price_discount",
-            "LineTotal": "line_total",
-        },
-    )
+    names = {
+        "SalesOrderID": "order_id",
+        "SalesOrderDetailID": "order_detail_id",
+        "ProductID": "product_id",
+        "OrderQty": "order_qty",
+        "UnitPrice": "unit_price",
+        "UnitPriceDiscount": "unit_price_discount",
+        "LineTotal": "line_total",
+    }
+    if "_ingested_at" in df.columns:  # lines may come after their order
+        names["_ingested_at"] = "ingested_at"
+    return _renamed(df, names)
 
 
 def conform_vendor(vendor: DataFrame) -> DataFrame:

@@ -170,3 +170,34 @@ def test_back_dated_and_moved_orders_are_found_by_arrival(spark, silver):
         assert sorted(one, key=str) == sorted(two, key=str), table
     one, two = (read_version(spark, r, "fact_customer_behavior").collect() for r in (root, whole))
     assert sorted(one, key=str) == sorted(two, key=str)
+
+
+@pytest.mark.parametrize("stamped", [True, False])
+def test_lines_that_come_after_their_order(spark, silver, stamped):
+    """An order loaded without lines, and one that gets further lines, are complete after the next load."""
+    header = silver["sales_order_header"].filter("order_id < 3000").withColumn("ingested_at", F.lit("2024-01-01").cast("timestamp"))
+    whole = F.col("order_id") % 7 == 0
+    some = (F.col("order_id") % 5 == 0) & (F.pmod(F.xxhash64("order_detail_id"), F.lit(2)) == 0)
+    changed = F.col("order_id") % 13 == 1
+    lines = silver["sales_order_detail"].join(header.select("order_id"), "order_id", "left_semi")
+    if stamped:
+        day = F.when(whole | some, F.lit("2024-01-03")).otherwise(F.lit("2024-01-01"))
+        lines = lines.withColumn("ingested_at", day.cast("timestamp"))
+    late = whole | some
+    early = lines.filter(~late)
+    if stamped:  # lines sent again with another amount
+        early = early.withColumn("line_total", F.when(changed, F.col("line_total") + 1).otherwise(F.col("line_total")).cast("decimal(18,4)"))
+        lines = lines.withColumn("ingested_at", F.when(changed, F.lit("2024-01-03").cast("timestamp")).otherwise(F.col("ingested_at")))
+    root, once = shared_folder(spark, "gold"), shared_folder(spark, "gold")
+    base = silver | {"sales_order_header": header}
+    load_warehouse(base | {"sales_order_detail": early}, root, date(2001, 9, 1), AS_OF)
+    load_warehouse(base | {"sales_order_detail": lines}, root, date(2001, 9, 1), AS_OF)
+    load_warehouse(base | {"sales_order_detail": lines}, once, date(2001, 9, 1), AS_OF)
+    for table in ["fact_order", "fact_order_header", "fact_product_daily", "fact_seller_daily", "fact_order_daily"]:
+        one, two = (conform(read_table(spark, r, table), table).collect() for r in (root, once))
+        assert sorted(one, key=str) == sorted(two, key=str), table
+    one, two = (read_version(spark, r, "fact_customer_behavior").collect() for r in (root, once))
+    assert sorted(one, key=str) == sorted(two, key=str)
+    if stamped:
+        marks = {r["table_name"]: r["last_loaded"].date() for r in read_version(spark, root, "load_state").collect()}
+        assert marks["fact_order/lines"] == date(2024, 1, 3) and marks["fact_order"] == date(2024, 1, 1)
