@@ -626,13 +626,19 @@ def late_orders_months(w):
 
 @query
 def late_orders_by_arrival(w):
-    """Back-dated orders that arrive after the first load: the second finds them by arrival, whatever their date."""
+    """Back-dated orders that arrive after the first load: the second finds them by arrival, whatever their date.
+
+    Some orders were loaded with another date, which the second load corrects; some had no lines yet.
+    """
     header, detail, root = w.order_header, w.order_detail, shared_folder(w.spark, "gold")
     late = (F.col("status") == "P") & (F.col("order_date") < F.lit(CUT))
-    arrived = F.when(late, F.lit(datetime(2001, 8, 2))).otherwise(F.lit(datetime(2001, 8, 1)))
+    moved, bare = F.pmod(F.xxhash64("order_id"), F.lit(50)) == 1, F.pmod(F.xxhash64("order_id"), F.lit(50)) == 2
+    arrived = F.when(late | moved, F.lit(datetime(2001, 8, 2))).otherwise(F.lit(datetime(2001, 8, 1)))
     stamped = header.withColumn("ingested_at", arrived.cast("timestamp"))
-    for known in [stamped.filter(~late), stamped]:
-        load_increment(known, detail, root, "fact_order_daily", f.fact_order_daily)
+    wrong = F.when(moved, F.add_months("order_date", -2)).otherwise(F.col("order_date"))
+    first = header.filter(~late).withColumns({"order_date": wrong, "ingested_at": F.lit(datetime(2001, 8, 1)).cast("timestamp")})
+    for known, lines in [(first, detail.filter(~bare)), (stamped, detail)]:
+        load_increment(known, lines, root, "fact_order_daily", f.fact_order_daily)
     return conform(read_table(w.spark, root, "fact_order_daily"), "fact_order_daily")
 
 

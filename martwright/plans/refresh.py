@@ -37,6 +37,7 @@ from martwright.plans.incremental import (
     arrived_since,
     current_behavior,
     details_of,
+    load_mark,
     months_of,
     of_months,
     orders_mark,
@@ -45,10 +46,11 @@ from martwright.plans.incremental import (
     read_mark,
     rebuild_months,
     refresh_customers,
+    with_month,
 )
 from martwright.schemas import HISTORY_START, conform, ddl, empty_table
 from martwright.session import fitted_shuffles, materialize
-from martwright.sources.parquet import read_table, read_version, replace_all_months, replace_months, write_version
+from martwright.sources.parquet import read_table, read_version, replace_all_months, replace_months, table_exists, write_version
 
 # Facts stored by month; the others are stored as versions.
 MONTHLY = ["fact_order", "fact_order_header", "fact_product_daily", "fact_seller_daily", "fact_order_daily"]
@@ -260,6 +262,18 @@ def add_facts(
     return {table: conform(_monthly(spark, root, table), table) for table in MONTHLY} | stored
 
 
+LOADED = "order_id bigint, lines bigint, digest bigint, month_key int"
+
+
+def loaded_orders(header: DataFrame, detail: DataFrame) -> DataFrame:
+    """What a day-grain fact does not tell: its orders, their months, and count and digest of their lines."""
+    whole = F.xxhash64(*[c for c in sorted(detail.columns) if c not in ("month_key", "ingested_at")])
+    lines = detail.select("order_id", whole.alias("h")).groupBy("order_id").agg(F.count("*").alias("lines"), F.bit_xor("h").alias("digest"))
+    orders = with_month(header.select("order_id", "order_date")).drop("order_date").join(lines, "order_id", "left")
+    filled = orders.withColumns({c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("lines", "digest")})
+    return filled.select("order_id", "lines", "digest", "month_key")
+
+
 def load_increment(
     header: DataFrame,
     detail: DataFrame,
@@ -272,8 +286,9 @@ def load_increment(
 
     Where headers carry ``ingested_at``, the batch is what arrived after the stored mark, so a back-dated order
     is found whatever its date; else it is the orders from the latest date loaded on (less ``lateness_days``).
-    The months it touches are rebuilt in full and replaced, then the mark moves. The first run takes all
-    history. A run that dies in between is run again.
+    Orders whose month or lines differ from what was loaded join it. The months it touches, and those in which its
+    orders were loaded before, are rebuilt in full and replaced, then what was loaded, then the mark. The first run
+    takes all history, and so does one that finds a mark but not what was loaded. A run that dies in between is run again.
     """
     spark = header.sparkSession
     stored_state = _stored(spark, root, "load_state")
@@ -282,11 +297,30 @@ def load_increment(
         new = arrived_since(header, read_arrival_mark(state, table))
     else:
         new = orders_since(header, read_mark(state, table), lateness_days)
-    if new.isEmpty():
-        return False
+    record = f"{table}_orders"
+    if stored_state is None or load_mark(state, table).first()["last_loaded"] is None or not table_exists(spark, root, record):
+        if header.isEmpty():
+            return False
+        with fitted_shuffles(header, detail):
+            replace_all_months(build(header, detail), root, table)
+            replace_all_months(loaded_orders(header, detail), root, record)
+            _advance(spark, header, root, [table])
+        return True
     with fitted_shuffles(header, detail):
-        months = months_of(new)
+        before = read_table(spark, root, record, LOADED)
+        now = materialize(loaded_orders(header, detail), "orders_now")
+        same = F.lit(True)
+        for c in ("lines", "digest", "month_key"):
+            same = same & F.col(f"now.{c}").eqNullSafe(F.col(f"before.{c}"))
+        other = now.alias("now").join(before.alias("before"), (F.col("now.order_id") == F.col("before.order_id")) & same, "left_anti")
+        ids = materialize(new.select("order_id").unionByName(other.select("order_id")).distinct(), "batch")
+        if ids.isEmpty():
+            return False
+        batch = details_of(ids, now)
+        touched = batch.select("month_key").unionByName(details_of(ids, before).select("month_key")).distinct()
+        months = [r["month_key"] for r in touched.collect()]
         replace_months(rebuild_months(header, detail, months, build), root, table, months)
+        replace_months(of_months(now, months), root, record, months)
         _advance(spark, new, root, [table])
     return True
 

@@ -28,6 +28,12 @@ def read_table(spark: SparkSession, root: str, table: str, schema: str | None =
     return reader.parquet(f"{root}/{folder_name(table)}")
 
 
+def table_exists(spark: SparkSession, root: str, table: str) -> bool:
+    """Whether a write of the table committed."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{folder_name(table)}/_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
+
+
 def write_table(df: DataFrame, root: str, table: str, partition_by: list[str] | None = None) -> str:
     """Replace the table; ``df`` must not read from it."""
     path = f"{root}/{folder_name(table)}"

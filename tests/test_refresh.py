@@ -201,3 +201,24 @@ def test_lines_that_come_after_their_order(spark, silver, stamped):
     if stamped:
         marks = {r["table_name"]: r["last_loaded"].date() for r in read_version(spark, root, "load_state").collect()}
         assert marks["fact_order/lines"] == date(2024, 1, 3) and marks["fact_order"] == date(2024, 1, 1)
+
+
+@pytest.mark.parametrize("by_arrival", [True, False])
+def test_increment_follows_moved_orders_and_late_lines(spark, silver, by_arrival):
+    """A corrected date takes an order out of its old month; lines that come later are added."""
+    header = silver["sales_order_header"].filter("order_id < 1500")
+    detail = silver["sales_order_detail"].join(header.select("order_id"), "order_id", "left_semi")
+    moved = F.col("order_id") % 11 == 0
+    before = header.withColumn("order_date", F.when(moved, F.expr("add_months(order_date, -3)")).otherwise(F.col("order_date")))
+    after = header
+    if by_arrival:
+        before = before.withColumn("ingested_at", F.lit("2024-01-01").cast("timestamp"))
+        after = after.withColumn("ingested_at", F.when(moved, F.lit("2024-01-02")).otherwise(F.lit("2024-01-01")).cast("timestamp"))
+    late = (F.col("order_id") % 7 == 0) | (F.pmod(F.xxhash64("order_detail_id"), F.lit(9)) == 0)
+    root = shared_folder(spark, "gold")
+    assert load_increment(before, detail.filter(~late), root, "fact_order_daily", fact_order_daily)
+    assert load_increment(after, detail, root, "fact_order_daily", fact_order_daily)
+    got = conform(read_table(spark, root, "fact_order_daily"), "fact_order_daily")
+    assert sorted(got.collect()) == sorted(fact_order_daily(header, detail).collect())
+    if by_arrival:
+        assert not load_increment(after, detail, root, "fact_order_daily", fact_order_daily)
