@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import ctw, dartminhash, decontam, lines, mixing, quality, repeats, tokens, toxicity, warc
+from martwright.llm import bpe, ctw, dartminhash, decontam, lines, mixing, quality, repeats, tokens, toxicity, warc
 from martwright.llm.text import in_bucket
 from martwright.session import materialize, shared_folder
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+WORD_VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -90,6 +91,14 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_bpe_round_trip(spark: SparkSession, folder: str, vocabulary: str = WORD_VOCABULARY) -> DataFrame:
+    """Every text encoded and decoded again; the ids' digest is taken before they leave for decoding."""
+    known = bpe.read_vocabulary(spark, vocabulary)
+    codes = bpe.encoded(table(spark, folder, "documents").select("doc_id", "text"), known)
+    texts = bpe.decoded(codes.withColumn("ids_sha256", F.sha2("ids", 256)), known)
+    return texts.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_context_tree_scores": op2_context_tree_scores,
@@ -101,4 +110,5 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_bpe_round_trip": op12_bpe_round_trip,
 }
