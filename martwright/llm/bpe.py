@@ -72,8 +72,12 @@ class Vocabulary:
             raise ValueError("a merge uses a symbol that a later merge makes, or two merges make the same one")
         self.normalizer = _component(told, "normalizer")
         self.pre_tokenizer = _component(told, "pre_tokenizer")
+        self.plain = _plain(told)
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
+    def normalized(self, text: str) -> str:
+        return text if self.normalizer is None else self.normalizer.normalize_str(text)
+
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair, ``NONE`` where there is no such merge."""
         if not len(self.keys):
@@ -83,6 +87,21 @@ class Vocabulary:
         return np.where(self.keys[place] == keys, self.order[place], NONE)
 
 
+def _plain(told: dict):
+    """What cuts lower-case printable ASCII into words, if the rules are known to leave such text as it is; else None."""
+    rules = told["normalizer"] or {}
+    kinds = [x["type"] for x in rules.get("normalizers", [rules] if rules else [])]
+    steps = told["pre_tokenizer"].get("pretokenizers", [])
+    if not {"Lowercase"} <= set(kinds) <= {"NFC", "Replace", "Lowercase"} or [x["type"] for x in steps] != ["Split", "ByteLevel"]:
+        return None
+    split, pieces = steps
+    if (split["behavior"], split["invert"], pieces["use_regex"], pieces["add_prefix_space"]) != ("Removed", True, False, False):
+        return None
+    if any(x.get("pattern") != {"Regex": r"\s+"} for x in rules["normalizers"] if x["type"] == "Replace"):
+        return None
+    return re.compile(split["pattern"]["Regex"].replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"), re.ASCII).findall
+
+
 def _component(told: dict, name: str):
     """The library's own character rules (normal form, lower case, classes), which its Unicode tables define."""
     bare = json.loads(Tokenizer(models.BPE()).to_str())
@@ -161,6 +180,12 @@ def merge_long(vocab: Vocabulary, symbols: np.ndarray) -> np.ndarray:
     return sym[sym >= 0]
 
 
+def _gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The given stretches of an array, one after the other."""
+    ends = np.cumsum(lengths)
+    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Encoder:
     """Token ids of texts; keeps the ids of pieces between white space, up to a bound of characters."""
 
@@ -178,40 +203,58 @@ class Encoder:
     def _words(self, piece: str) -> list[str | int]:
         """The words of a piece in the vocabulary's byte alphabet; ids stand for special tokens."""
         vocab = self.vocab
-        parts = vocab.specials.split(piece) if vocab.specials is not None else [piece]
         out: list[str | int] = []
-        for part in parts:
+        for part in vocab.specials.split(piece) if vocab.specials is not None else [piece]:
             if part in vocab.special:
                 out.append(vocab.special[part])
             elif part:
-                out.extend(w for w, _ in vocab.pre_tokenizer.pre_tokenize_str(vocab.normalizer.normalize_str(part) if vocab.normalizer else part))
+                out.extend(w for w, _ in vocab.pre_tokenizer.pre_tokenize_str(vocab.normalized(part)))
         return out
 
+    def _cut(self, pieces: list[str]) -> list[list[str | int]]:
+        """The words of every piece. Plain ASCII takes a pattern, all other pieces go through the library in one string."""
+        vocab = self.vocab
+        cut: list[list[str | int]] = [[]] * len(pieces)
+        others = []
+        for i, p in enumerate(pieces):
+            if vocab.specials is not None and vocab.specials.search(p):
+                cut[i] = self._words(p)
+            elif vocab.plain is not None and p.isascii() and p.isprintable():
+                cut[i] = vocab.plain(p.lower())
+            else:
+                others.append(i)
+                cut[i] = []
+        if others:
+            joined = vocab.normalized(" ".join([pieces[i] for i in others]))
+            owner = np.cumsum(np.frombuffer(joined.encode("utf-32-le"), dtype="<u4") == 32)
+            for w, (start, _) in vocab.pre_tokenizer.pre_tokenize_str(joined):
+                cut[others[owner[start]]].append(w)
+        return cut
+
     def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces, all their words at once."""
-        cut = [self._words(p) for p in pieces]
-        words: dict[str, int] = {}
-        for parts in cut:
-            for w in parts:
-                if isinstance(w, str):
-                    words.setdefault(w, len(words))
+        cut = self._cut(pieces)
+        words: dict[str | int, int] = {}
+        which = np.array([words.setdefault(w, len(words)) for parts in cut for w in parts], dtype=np.int64)
         inner, last = self.vocab.inner, self.vocab.last
-        short: list[str] = [w for w in words if len(w) <= LONG]
-        spelled = [inner[c] if i else last[c] for w in short for c, i in zip(w, range(len(w) - 1, -1, -1), strict=True)]
-        symbols, counts = merge_rounds(self.vocab, np.array(spelled, dtype=np.int64), np.array([len(w) for w in short], dtype=np.int64))
-        ids = dict(zip(short, np.split(symbols, np.cumsum(counts)[:-1]), strict=True)) if short else {}
-        for w in words:
-            if len(w) > LONG:
-                ids[w] = merge_long(self.vocab, np.array([*(inner[c] for c in w[:-1]), last[w[-1]]], dtype=np.int64))
-        new = [np.concatenate([[w] if isinstance(w, int) else ids[w] for w in parts]) if parts else np.empty(0, dtype=np.int64) for parts in cut]
-        lengths = np.array([len(x) for x in new], dtype=np.int64)
-        starts = len(self.flat) + np.cumsum(lengths) - lengths
-        for p in pieces:
-            self.table[p] = len(self.table)
-            self.chars += len(p)
-        self.starts = np.append(self.starts, starts)
-        self.lengths = np.append(self.lengths, lengths)
-        self.flat = np.concatenate([self.flat, *new]).astype(np.uint32)
+        lengths = np.array([1 if isinstance(w, int) else len(w) for w in words], dtype=np.int64)
+        apart = {w: k for w, k in words.items() if isinstance(w, int) or len(w) > LONG}
+        spelled = [s for w in words if w not in apart for s in (*map(inner.__getitem__, w[:-1]), last[w[-1]])]
+        lengths[list(apart.values())] = 0
+        symbols, counts = merge_rounds(self.vocab, np.array(spelled, dtype=np.int64), lengths)
+        starts = np.cumsum(counts) - counts
+        extra = []
+        for w, k in apart.items():
+            found = np.array([w]) if isinstance(w, int) else merge_long(self.vocab, np.array([*map(inner.__getitem__, w[:-1]), last[w[-1]]], dtype=np.int64))
+            starts[k], counts[k] = len(symbols) + sum(map(len, extra)), len(found)
+            extra.append(found)
+        new = _gathered(np.concatenate([symbols, *extra]), starts[which], counts[which])
+        ends = np.append(0, np.cumsum(counts[which]))[np.cumsum([len(parts) for parts in cut])]
+        self.table.update(zip(pieces, range(len(self.table), len(self.table) + len(pieces)), strict=True))
+        self.chars += sum(map(len, pieces))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.append(0, ends[:-1])])
+        self.lengths = np.concatenate([self.lengths, np.diff(ends, prepend=0)])
+        self.flat = np.concatenate([self.flat, new.astype(np.uint32)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and their number per text."""
@@ -223,11 +266,9 @@ class Encoder:
         if new:
             self._learn(new)
         which = np.fromiter(map(self.table.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-        lengths = self.lengths[which]
-        ends = np.cumsum(lengths)
-        ids = self.flat[np.repeat(self.starts[which] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
-        upto = np.append(0, ends)[np.cumsum([len(parts) for parts in cut])] if cut else np.empty(0, dtype=np.int64)
-        return ids, np.diff(upto, prepend=0)
+        ids = _gathered(self.flat, self.starts[which], self.lengths[which])
+        ends = np.append(0, np.cumsum(self.lengths[which]))[np.cumsum([len(parts) for parts in cut], dtype=np.int64)]
+        return ids, np.diff(ends, prepend=0)
 
 
 @lru_cache(maxsize=2)
