@@ -70,4 +70,39 @@ SELECT d.doc_id, len(any_value(d.words))::BIGINT AS n_words, count(gone.i)::BIGI
        sha256(coalesce(string_agg(w.word, ' ' ORDER BY w.i) FILTER (WHERE gone.i IS NULL), '')) AS kept_sha256
 FROM d LEFT JOIN w ON w.doc_id = d.doc_id LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.i = w.i
 GROUP BY d.doc_id""",
+    "op13_prefix_trie": """
+WITH o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base,
+         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)), lambda s, i: xor(s >> 1, 3988292384 * (s & 1)))), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM o)),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS part, o.pos, role, text FROM c JOIN o ON o.conv_id = c.base AND o.pos <= c.h
+  UNION ALL SELECT c.conv_id, 1, o.pos, role, text FROM c JOIN o ON o.conv_id = c.conv_id AND o.pos > c.h),
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth, octet_length(encode(text)) AS bytes,
+         sha256(octet_length(encode(role)) || ':' || role || text) AS digest
+  FROM rebuilt),
+path AS (
+  SELECT conv_id, depth, bytes, sha256(string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS node FROM turns
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+steps AS (
+  SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+         depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM path),
+nodes AS (
+  SELECT node, any_value(depth) AS depth, any_value(parent) AS parent, any_value(bytes) AS bytes, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM steps GROUP BY node),
+children AS (SELECT parent, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+under AS (SELECT DISTINCT a.node AS top, b.node FROM steps a JOIN steps b ON a.conv_id = b.conv_id AND b.depth >= a.depth),
+sums AS (
+  SELECT top, sum(CASE WHEN children.n IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_leaves, sum((nodes.n_convs - 1) * nodes.bytes)::BIGINT AS saved_tokens
+  FROM under JOIN nodes ON nodes.node = under.node LEFT JOIN children ON children.parent = under.node GROUP BY top)
+SELECT nodes.conv_id, nodes.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, nodes.n_convs::BIGINT AS n_convs,
+       coalesce(children.n, 0)::BIGINT AS n_children, n_leaves, saved_tokens, nodes.ends_sha256
+FROM nodes JOIN sums ON sums.top = nodes.node LEFT JOIN children ON children.parent = nodes.node LEFT JOIN nodes up ON up.node = nodes.parent""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import bpe, ctw, dartminhash, decontam, lines, mixing, quality, repeats, tokens, toxicity, warc
+from martwright.llm import bpe, ctw, dartminhash, decontam, lines, mixing, quality, repeats, tokens, toxicity, trie, warc
 from martwright.llm.text import in_bucket
 from martwright.session import materialize, shared_folder
 
@@ -99,6 +99,12 @@ def op12_bpe_round_trip(spark: SparkSession, folder: str, vocabulary: str = WORD
     return texts.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The trie of conversations whose first turns are those of the first of each five."""
+    turns = trie.numbered_turns(table(spark, folder, "conversations"))
+    return trie.prefix_trie(*trie.shared_heads(turns, group=5, longest=8))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_context_tree_scores": op2_context_tree_scores,
@@ -111,4 +117,5 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
     "op12_bpe_round_trip": op12_bpe_round_trip,
+    "op13_prefix_trie": op13_prefix_trie,
 }
