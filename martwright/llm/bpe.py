@@ -189,7 +189,7 @@ def _gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
 class Encoder:
     """Token ids of texts; keeps the ids of pieces between white space, up to a bound of characters."""
 
-    def __init__(self, vocab: Vocabulary, limit: int = 20_000_000):
+    def __init__(self, vocab: Vocabulary, limit: int = 3_000_000):
         self.vocab, self.limit = vocab, limit
         self._forget()
 
@@ -271,7 +271,7 @@ class Encoder:
         return ids, np.diff(ends, prepend=0)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _encoder(source: str) -> Encoder:
     return Encoder(Vocabulary(source))
 
