@@ -70,6 +70,20 @@ SELECT d.doc_id, len(any_value(d.words))::BIGINT AS n_words, count(gone.i)::BIGI
        sha256(coalesce(string_agg(w.word, ' ' ORDER BY w.i) FILTER (WHERE gone.i IS NULL), '')) AS kept_sha256
 FROM d LEFT JOIN w ON w.doc_id = d.doc_id LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.i = w.i
 GROUP BY d.doc_id""",
+    "op11_hard_negatives": """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM r a JOIN r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, (row_number() OVER w)::INT AS rank, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) QUALIFY row_number() OVER w <= 5""",
     "op13_prefix_trie": """
 WITH o AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import bpe, ctw, dartminhash, decontam, lines, mixing, quality, repeats, tokens, toxicity, trie, warc
+from martwright.llm import bpe, ctw, dartminhash, decontam, hardneg, lines, mixing, quality, repeats, tokens, toxicity, trie, warc
 from martwright.llm.text import in_bucket
 from martwright.session import materialize, shared_folder
 
@@ -91,6 +91,14 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Anchors are the rows whose id is divisible by 100; every seventh row carries a neighbouring label."""
+    other = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), other.alias("label"), F.col("embedding").alias("vector"))
+    ints = hardneg.usable(rows).select("id", "label", hardneg.quantized("vector", 256.0).alias("ints"))
+    return hardneg.hard_negatives(ints, F.col("id") % 100 == 0, positives=5, negatives=5, low=80, high=100)
+
+
 def op12_bpe_round_trip(spark: SparkSession, folder: str, vocabulary: str = WORD_VOCABULARY) -> DataFrame:
     """Every text encoded and decoded again; the ids' digest is taken before they leave for decoding."""
     known = bpe.read_vocabulary(spark, vocabulary)
@@ -116,6 +124,7 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_bpe_round_trip": op12_bpe_round_trip,
     "op13_prefix_trie": op13_prefix_trie,
 }
