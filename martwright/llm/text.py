@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -45,49 +46,55 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_RANDOM = np.random.default_rng(20_240_229)
-# Two hash families: a random number per byte value, and an odd base with its inverse modulo 2^64.
-_FAMILIES = []
-for _ in range(2):
-    _base = (int(_RANDOM.integers(0, 2**61)) << 3) | 3
-    _FAMILIES.append((_RANDOM.integers(0, 2**64, 256, dtype=np.uint64), _base, pow(_base, -1, 2**64)))
-_POWERS: dict[int, np.ndarray] = {}
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    """base^0 … base^(n-1) modulo 2^64; the longest asked for is kept."""
-    known = _POWERS.get(base)
-    if known is None or len(known) < n:
-        factors = np.full(max(n, 1 << 20), base, dtype=np.uint64)
-        factors[0] = 1
-        with np.errstate(over="ignore"):
-            known = _POWERS[base] = np.cumprod(factors)
-    return known[:n]
+SHORT_WORD = 32  # bytes that are digested in arrays; longer words one by one
+_KEYS = np.random.default_rng(20_240_229).integers(0, 2**64, 8, dtype=np.uint64) | np.uint64(1)
+
+
+def _short_digests(joined: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Digests of words of at most ``SHORT_WORD`` bytes that stand in an array of bytes, which goes on for seven bytes at least.
+
+    Eight bytes at a time go into a state of 128 bits, whose halves are multiplied, crossed and mixed. A step maps
+    the eight bytes one to one, and the length is part of the state from the start, so words of up to eight bytes never meet.
+    """
+    eights = np.ndarray((len(joined) - 7,), dtype="<u8", buffer=joined, strides=(1,))
+    with np.errstate(over="ignore"):
+        low, high = mix64(sizes.astype(np.uint64) * _KEYS[0]), mix64(sizes.astype(np.uint64) * _KEYS[1] + _KEYS[2])
+        rows = np.arange(len(starts))
+        for k in range(0, SHORT_WORD, 8):
+            rows = rows[sizes[rows] > k]
+            if not len(rows):
+                break
+            left = np.minimum(sizes[rows] - k, 8).astype(np.uint64)
+            part = eights[starts[rows] + k] & (np.uint64(2**64 - 1) >> (np.uint64(64) - np.uint64(8) * left))
+            a, b = low[rows], high[rows]
+            low[rows] = mix64((a ^ part) * _KEYS[3] + b)
+            high[rows] = mix64((b + part * _KEYS[4]) * _KEYS[5] ^ a)
+        return mix64(low ^ (high * _KEYS[6])), mix64(high + low * _KEYS[7])
 
 
 def word_digests(texts: list[bytes], piece: int = 1 << 19) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """128-bit digests of all words of the texts, in order, as two uint64 arrays, and the number of words per text.
 
-    The digest of a word is a polynomial in its bytes; sums over all bytes before a place give those of all
-    words by subtraction, so there is no loop over words. Works through about ``piece`` bytes at a time.
+    Words of up to ``SHORT_WORD`` bytes are digested together, longer ones by BLAKE2b. Works through about ``piece``
+    bytes at a time.
     """
     lows, highs, counts = [], [], []
     held: list[bytes] = []
     size = 0
 
     def flush() -> None:
-        joined = np.frombuffer(b" ".join(held) + b" ", dtype=np.uint8)
+        joined = np.frombuffer(b" ".join(held) + b" " * 8, dtype=np.uint8)
         space = _SPACE[joined]
         after_space = np.append(True, space[:-1])
         starts, ends = np.flatnonzero(~space & after_space), np.flatnonzero(space & ~after_space)
         borders = np.cumsum([len(t) + 1 for t in held])
         counts.append(np.diff(np.searchsorted(starts, borders), prepend=0))
-        with np.errstate(over="ignore"):
-            for out, (table, base, inverse) in zip((lows, highs), _FAMILIES, strict=True):
-                values = table[joined] * _powers(base, len(joined))
-                before = np.cumsum(values) - values
-                own = (before[ends] - before[starts]) * _powers(inverse, len(joined))[starts]
-                out.append(mix64(own + (ends - starts).astype(np.uint64)))
+        sizes = ends - starts
+        low, high = _short_digests(joined, starts, np.minimum(sizes, SHORT_WORD))
+        for i in np.flatnonzero(sizes > SHORT_WORD).tolist():
+            low[i], high[i] = np.frombuffer(blake2b(joined[starts[i] : ends[i]], digest_size=16).digest(), dtype=np.uint64)
+        lows.append(low)
+        highs.append(high)
 
     for text in texts:
         if held and size + len(text) > piece:
@@ -163,5 +170,6 @@ def blocked(docs: DataFrame, block_chars: int) -> DataFrame:
     A block is what one Python call holds, so its size is fixed and the number of blocks grows with the data.
     """
     n = max(1, -(-total_chars(docs) // block_chars))
-    block = F.pmod(F.xxhash64(F.lit("block"), "doc_id"), F.lit(n)).cast("int")
+    # by id and text: NULL or repeated ids spread like any others
+    block = F.pmod(F.xxhash64(F.lit("block"), "doc_id", "text"), F.lit(n)).cast("int")
     return docs.select("doc_id", "text").withColumn("block", block)
