@@ -270,7 +270,9 @@ def links(sketched: DataFrame, docs: DataFrame, similar: float = SIMILAR) -> Dat
     signed = materialize(signed.join(left.select("text_key").distinct(), "text_key", "left_semi"), "signed")
     wanted = signed.select("text_key", F.col("one.doc_id").alias("of"), F.col("one.row").alias("of_row"))
     same = F.col("doc_id").eqNullSafe(F.col("of")) & (row_of(F.col("text")) == F.col("of_row"))
-    cell_lists = docs.select("doc_id", "text").join(wanted, same).select("text", "text_key").mapInArrow(_cells_of, "text_key binary, cells binary")
+    # repeated rows deliver their text once
+    chosen = docs.select("doc_id", "text").join(wanted, same).select("text", "text_key").dropDuplicates(["text_key"])
+    cell_lists = chosen.mapInArrow(_cells_of, "text_key binary, cells binary")
     cell_lists = materialize(cell_lists, "cells")
     hub = left.groupBy("bucket").agg(F.max(F.struct("reach", "text_key"))["text_key"].alias("hub"))
     pairs = left.join(hub, "bucket").filter("text_key <> hub")
