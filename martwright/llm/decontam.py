@@ -7,14 +7,17 @@ length, so any copied section lies whole in one of them. A passage is skipped on
 impacts of its terms cannot add up to the threshold; the others run block-max WAND, which is exact.
 Every passage retrieved is verified against the words around it: shared five-word shingles of the question
 (all sentences of an item but the last) and of the answer (the last sentence). Passages near each other are
-verified together; the place with the highest overlap counts.
+verified together; the place with the highest overlap counts. An overlap is the share of words that shared shingles cover, so
+a changed word costs itself, not five shingles. A document leaks an item if it covers the share ``VERIFIED`` of both together,
+or ``QUESTION`` of a question of at least ``ALONE`` words.
 
-The index is built in groups of at most ``GROUP`` items, whose broadcast size is thus bounded; each
-group is searched by all documents. Documents are never shuffled.
+Document frequencies and lengths are counted by Spark over all items. Indexes are built for groups of items of about ``GROUP``
+characters, which bounds what is broadcast; each group in turn is searched by all documents. Documents are never shuffled.
 
 Defined results: NULL or empty texts and items without words match nothing. Repeated documents are
 reported each for itself, repeated items under each of their ids. Items of one word are matched as that
-word's pair with nothing, that is never. An empty table gives no matches.
+word's pair with nothing, that is never. An empty table gives no matches. Texts of any length are searched whole, one
+at a time. Extra columns of documents pass through ``decontaminated`` under any name and are not read by ``leaks``.
 """
 
 from __future__ import annotations
@@ -26,15 +29,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.llm.text import runs_of, utf8
+from martwright.session import materialize
 
 SECTION = 32
 BLOCK = 16  # postings per block of a term's list
-GROUP = 20_000
+GROUP = 4_000_000  # characters of the items of one index
+ALONE = 10  # words of a question that may decide without its answer
 SHINGLE = 5
+VERIFIED, QUESTION = 0.8, 0.9  # shares of the words of an item, or of its question alone
 K1, B = 1.2, 0.75
 EDGE = b".,;:!?\"'()[]{}<>*_-"
 SENTENCE_END = re.compile(rb"[.!?]$")
@@ -45,64 +52,88 @@ def fold(words: list[bytes]) -> list[bytes]:
     return [w.lower().strip(EDGE) for w in words]
 
 
-def shingles(words: list[bytes]) -> set[tuple[bytes, ...]]:
-    n = min(SHINGLE, len(words))
-    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
-
-
-def densest(near: list[bytes], width: int, question: set, answer: set) -> tuple[int, int]:
-    """Distinct shingles of question and of answer that start within ``width`` words, where they are the most together."""
-    sizes = {len(x) for x in question | answer}
-    hits = ((i, x) for i in range(len(near)) for n in sizes if (x := tuple(near[i : i + n])) in question or x in answer)
-    inside: deque[tuple[int, tuple[bytes, ...]]] = deque()
-    held: Counter[tuple[bytes, ...]] = Counter()
-    q = a = 0
-    most = (0, 0)
-    for i, x in hits:
-        while inside and inside[0][0] <= i - width:
-            gone = inside.popleft()[1]
-            held[gone] -= 1
-            if not held[gone]:
-                q, a = q - (gone in question), a - (gone in answer)
-        inside.append((i, x))
-        held[x] += 1
-        if held[x] == 1:
-            q, a = q + (x in question), a + (x in answer)
-            if q + a > sum(most):
-                most = (q, a)
-    return most
+class Item:
+    """A test item: where the five-word shingles of its question and of its answer stand."""
+
+    def __init__(self, item_id: int, words: list[bytes], cut: int):
+        self.item_id, self.cut, self.words = item_id, cut, len(words)
+        self.places: dict[tuple[bytes, ...], list[int]] = {}
+        for start, part in ((0, words[:cut]), (cut, words[cut:])):
+            n = min(SHINGLE, len(part))
+            for i in range(len(part) - n + 1 if n else 0):
+                self.places.setdefault(tuple(part[i : i + n]), []).append(start + i)
+        self.sizes = {len(x) for x in self.places}
+
+    def densest(self, near: list[bytes], width: int) -> tuple[int, int, int]:
+        """Words of question and of answer that shared shingles cover within ``width`` words, where they are the most together, and
+        the most of the question anywhere."""
+        inside: deque[tuple[int, tuple[bytes, ...]]] = deque()
+        held: Counter[tuple[bytes, ...]] = Counter()
+        cover = [0] * self.words
+        covered = [0, 0]
+        most, alone = (0, 0), 0
+
+        def mark(shingle: tuple[bytes, ...], by: int) -> None:
+            for start in self.places[shingle]:
+                for k in range(start, start + len(shingle)):
+                    before, cover[k] = cover[k] > 0, cover[k] + by
+                    covered[k >= self.cut] += (cover[k] > 0) - before
+
+        for i in range(len(near)):
+            for n in self.sizes:
+                shingle = tuple(near[i : i + n])
+                if shingle not in self.places:
+                    continue
+                while inside and inside[0][0] <= i - width:
+                    gone = inside.popleft()[1]
+                    held[gone] -= 1
+                    if not held[gone]:
+                        mark(gone, -1)
+                inside.append((i, shingle))
+                held[shingle] += 1
+                if held[shingle] == 1:
+                    mark(shingle, 1)
+                    alone = max(alone, covered[0])
+                    if sum(covered) > sum(most):
+                        most = (covered[0], covered[1])
+        return *most, alone
+
+
+def parts_of(text: bytes) -> tuple[list[bytes], int, list[list[tuple[bytes, bytes]]]]:
+    """The folded words of an item, where its last sentence begins, and the word pairs of its sections."""
+    raw = text.split()
+    words = fold(raw)
+    ends = [i + 1 for i, w in enumerate(raw[:-1]) if SENTENCE_END.search(w)]
+    size = math.ceil(len(words) / max(1, math.ceil(len(words) / SECTION))) if words else 1
+    cut = [words[k : k + size] for k in range(0, len(words), size)]
+    return words, ends[-1] if ends else len(words), [list(zip(part, part[1:])) for part in cut if len(part) > 1]
+
+
+class Statistics:
+    """Of all items: sections, their mean length in pairs, and the sections that hold each pair (of those asked for)."""
+
+    def __init__(self, sections: int, mean: float, df: dict[tuple[bytes, bytes], int]):
+        self.sections, self.mean, self.df = sections, mean, df
+
+    def impact(self, pair: tuple[bytes, bytes], n: int, length: int) -> float:
+        df = self.df[pair]
+        return math.log(1 + (self.sections - df + 0.5) / (df + 0.5)) * n * (K1 + 1) / (n + K1 * (1 - B + B * length / self.mean))
 
 
 class Index:
     """Block-max inverted index over sections; ``search`` gets the distinct term numbers of a passage."""
 
-    def __init__(self, items: list[tuple[int, bytes]]):
+    def __init__(self, items: list[tuple[int, bytes]], statistics: Statistics):
         sections: list[tuple[int, list[tuple[bytes, bytes]]]] = []
         self.items = []
         for number, (item_id, text) in enumerate(items):
-            raw = text.split()
-            words = fold(raw)
-            ends = [i + 1 for i, w in enumerate(raw[:-1]) if SENTENCE_END.search(w)]
-            cut = ends[-1] if ends else len(words)
-            question, answer = shingles(words[:cut]), shingles(words[cut:])
-            self.items.append((item_id, question, answer))
-            parts = max(1, math.ceil(len(words) / SECTION))
-            size = math.ceil(len(words) / parts) if words else 0
-            for k in range(0, len(words), max(1, size)):
-                part = words[k : k + size]
-                if len(part) > 1:
-                    sections.append((number, list(zip(part, part[1:]))))
+            words, cut, found = parts_of(text)
+            self.items.append(Item(item_id, words, cut))
+            sections += [(number, pairs) for pairs in found]
         self.item_of = np.array([n for n, _ in sections], dtype=np.int64)
-        counts = [Counter(pairs) for _, pairs in sections]
-        df = Counter(t for c in counts for t in c)
-        mean = sum(len(p) for _, p in sections) / max(1, len(sections))
         postings: dict[tuple[bytes, bytes], list[tuple[int, float]]] = {}
-        for s, c in enumerate(counts):
-            length = sum(c.values())
-            scored = {
-                t: math.log(1 + (len(sections) - df[t] + 0.5) / (df[t] + 0.5)) * n * (K1 + 1) / (n + K1 * (1 - B + B * length / mean))
-                for t, n in c.items()
-            }
+        for s, (_, pairs) in enumerate(sections):
+            scored = {t: statistics.impact(t, n, len(pairs)) for t, n in Counter(pairs).items()}
             whole = sum(scored.values())
             for t, x in scored.items():
                 postings.setdefault(t, []).append((s, x / whole))
@@ -207,8 +238,8 @@ class Index:
                     places.setdefault(item, set()).add(int(pairs[0, starts[k]]))
         out = []
         for item, score in sorted(best.items()):
-            item_id, question, answer = self.items[item]
-            reach = SHINGLE * (len(question) + len(answer)) + 2 * SECTION
+            known = self.items[item]
+            reach = SHINGLE * known.words + 2 * SECTION
             spans: list[list[int]] = []
             for passage in sorted(places[item]):
                 start, end = max(0, passage * SECTION - reach), (passage + 2) * SECTION + reach
@@ -216,11 +247,15 @@ class Index:
                     spans[-1][1] = end
                 else:
                     spans.append([start, end])
-            q, a = max((densest(words[i:j], 2 * (SECTION + reach), question, answer) for i, j in spans), key=sum)
-            overlap = (q + a) / max(1, len(question) + len(answer))
-            if overlap >= verified:
-                share = lambda n, part: n / len(part) if part else 1.0
-                out.append((item_id, score, share(q, question), share(a, answer), overlap))
+            seen = [known.densest(words[i:j], 2 * (SECTION + reach)) for i, j in spans]
+            q, a, _ = max(seen, key=lambda x: x[0] + x[1])
+            alone = max(x[2] for x in seen)
+            overlap = (q + a) / max(1, known.words)
+            # a question of some length gives an item away without its answer
+            asked = known.cut >= ALONE and alone >= QUESTION * known.cut
+            if overlap >= verified or asked:
+                share = lambda n, of: n / of if of else 1.0
+                out.append((known.item_id, score, share(max(q, alone), known.cut), share(a, known.words - known.cut), overlap))
         return out
 
 
@@ -237,47 +272,85 @@ def _search(index, threshold: float, verified: float):
     return run
 
 
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct pairs of each section, as one value each; a row without a pair tells the section's length."""
+    for batch in batches:
+        pairs, lengths = [], []
+        for text in utf8(batch.column("text")):
+            for section in parts_of(text)[2]:
+                found = {b"\n".join(p) for p in section}
+                pairs += [None, *found]
+                lengths += [len(section), *[0] * len(found)]
+        yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.binary()), pa.array(lengths, pa.int64())], names=["pair", "length"])
+
+
 def index_groups(benchmark: DataFrame, group: int = GROUP) -> Iterator[Index]:
-    """Indexes over at most ``group`` items each, in the order of item ids; one group is held at a time."""
-    items = benchmark.select("item_id", "text").filter("item_id IS NOT NULL AND text IS NOT NULL").distinct().orderBy("item_id", "text")
-    held: list[tuple[int, bytes]] = []
-    for row in items.toLocalIterator():
-        held.append((row["item_id"], row["text"].encode()))
-        if len(held) == group:
-            yield Index(held)
-            held = []
-    if held:
-        yield Index(held)
-
-
-def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, verified: float = 0.8, group: int = GROUP) -> DataFrame:
+    """Indexes over groups of items of about ``group`` characters, with the statistics of all items; one is held at a time.
+
+    Items are dealt to groups by hash, so a group's items and pairs, which come to the driver, are bounded however
+    many items there are; which items share a group decides nothing.
+    """
+    known = benchmark.select("item_id", "text").filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+    known = materialize(known, "items")
+    total = known.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()[0]
+    groups = max(1, -(-total // group))
+    items = known.withColumn("group", F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)))
+    pairs = known.select("text").mapInArrow(_pairs, "pair binary, length long")
+    df = materialize(pairs.groupBy("pair").agg(F.count("*").alias("df"), F.sum("length").alias("length")), "pairs")
+    whole = df.filter("pair IS NULL").select("df", "length").first()
+    if whole is None:
+        return
+    for g in range(groups):
+        mine = items.filter(F.col("group") == g)
+        rows = mine.select("item_id", "text").orderBy("item_id", "text").collect()
+        if not rows:
+            continue
+        own = mine.select("text").mapInArrow(_pairs, "pair binary, length long").select("pair").distinct()
+        counts = {tuple(bytes(r["pair"]).split(b"\n")): r["df"] for r in df.join(own, "pair", "left_semi").collect()}
+        yield Index([(r["item_id"], r["text"].encode()) for r in rows], Statistics(whole["df"], whole["length"] / whole["df"], counts))
+
+
+def _one_by_one(spark: SparkSession, indexes: Iterator[Index]) -> Iterator[tuple[Broadcast, bool]]:
+    """Each index as a broadcast, and whether it is the last; an earlier one is taken back before the next one goes out."""
+    held: Index | None = next(indexes, None)
+    while held is not None:
+        after = next(indexes, None)
+        shared = spark.sparkContext.broadcast(held)
+        yield shared, after is None
+        if after is not None:
+            shared.unpersist()
+        held = after
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, verified: float = VERIFIED, group: int = GROUP) -> DataFrame:
     """One row per document and test item found in it: ``doc_id``, ``item_id``, the highest passage
     ``score`` (a share of the section's own BM25 score), ``question_overlap``, ``answer_overlap``, ``overlap``."""
     spark = docs.sparkSession
     read = docs.select(docs["doc_id"], docs["text"])
     found = spark.createDataFrame([], FOUND)
-    for index in index_groups(benchmark, group):
-        shared = spark.sparkContext.broadcast(index)
-        found = found.unionByName(read.mapInArrow(_search(shared, threshold, verified), FOUND))
+    for shared, last in _one_by_one(spark, index_groups(benchmark, group)):
+        here = read.mapInArrow(_search(shared, threshold, verified), FOUND)
+        found = found.unionByName(here if last else materialize(here, "leaks"))
     return found
 
 
-def _clean(indexes, threshold: float, verified: float):
+def _clean(index, threshold: float, verified: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in runs_of(iter([whole]), 8_000_000, "searched_text"):
-                bad = [any(x.value.matches(t, threshold, verified) for x in indexes) for t in utf8(batch.column("searched_text"))]
+                bad = [bool(index.value.matches(t, threshold, verified)) for t in utf8(batch.column("searched_text"))]
                 keep = batch.filter(pa.array([not x for x in bad], type=pa.bool_()))
                 yield pa.RecordBatch.from_arrays(keep.columns[:-1], names=keep.schema.names[:-1])
 
     return run
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, verified: float = 0.8, group: int = GROUP) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, verified: float = VERIFIED, group: int = GROUP) -> DataFrame:
     """The documents in which no test item is found, with all their columns."""
-    indexes = [docs.sparkSession.sparkContext.broadcast(x) for x in index_groups(benchmark, group)]
     names = [f"c{i}" for i in range(len(docs.columns))]
-    rows = docs.select(*[docs[c].alias(n) for c, n in zip(docs.columns, names, strict=True)])
-    fed = rows.withColumn("searched_text", F.col(names[docs.columns.index("text")]))
-    clean = fed.mapInArrow(_clean(indexes, threshold, verified), rows.schema)
+    clean = docs.select(*[docs[c].alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    text = names[docs.columns.index("text")]
+    for shared, last in _one_by_one(docs.sparkSession, index_groups(benchmark, group)):
+        kept = clean.withColumn("searched_text", F.col(text)).mapInArrow(_clean(shared, threshold, verified), clean.schema)
+        clean = kept if last else materialize(kept, "clean")
     return clean.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
