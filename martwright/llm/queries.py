@@ -68,7 +68,7 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
-    scored = toxicity.score(docs, toxicity.train(docs, toxicity.learnable(labels)))
+    scored = toxicity.score(docs, toxicity.train(toxicity.learnable(docs), toxicity.learnable(labels)))
     return scored.select(
         "doc_id",
         in_bucket(F.col("doc_id"), 3, 1).alias("held_out"),

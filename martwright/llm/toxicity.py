@@ -8,7 +8,7 @@ size, are broadcast, and every whole text is scored where it is read.
 
 Defined results: NULL and empty texts have no features and get the score of the intercept. Repeated rows
 are scored each. Labels: a document is confirmed toxic if any of its label rows says 1; NULL labels and
-NULL ids count as unlabelled and unknown. Without any positive, every score is the prior. Extra columns are
+NULL ids count as unlabelled and unknown. Of a repeated id's texts the smallest is learnt from. Long texts are read whole. Without any positive, every score is the prior. Extra columns are
 not read. An empty table gives no scores.
 """
 
@@ -68,6 +68,21 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
+def gradient(w: np.ndarray, row: np.ndarray, column: np.ndarray, n_pos: int, n: int, prior: float) -> tuple[np.ndarray, float]:
+    """Of the non-negative risk, and the corrected risk of unlabelled text as negative.
+
+    ``row`` and ``column`` hold the features of ``n`` texts, the first ``n_pos`` confirmed; the last weight is the intercept.
+    """
+    is_pos, n_unl = np.arange(n) < n_pos, n - n_pos
+    z = np.clip(np.bincount(row, weights=w[column], minlength=n) + w[-1], -50, 50)
+    p = 1 / (1 + np.exp(-z))
+    as_negative = np.logaddexp(0, z)
+    corrected = as_negative[~is_pos].mean() - prior * as_negative[is_pos].mean()
+    negative = np.where(is_pos, -prior * p / n_pos, p / n_unl)
+    by_row = np.where(is_pos, prior * (p - 1) / n_pos, 0.0) + negative if corrected >= 0 else -negative
+    return np.append(np.bincount(column, weights=by_row[row], minlength=len(w) - 1), by_row.sum()), corrected
+
+
 def fit(
     positive: list[np.ndarray],
     unlabelled: list[np.ndarray],
@@ -98,16 +113,8 @@ def fit(
     w = np.zeros(len(used) + 1)
     w[-1] = np.log(prior / (1 - prior))
     mean, square = np.zeros_like(w), np.zeros_like(w)
-    is_pos = np.arange(n) < n_pos
     for step in range(1, steps + 1):
-        z = np.clip(np.bincount(row, weights=w[column], minlength=n) + w[-1], -50, 50)
-        p = 1 / (1 + np.exp(-z))
-        as_negative = np.logaddexp(0, z)
-        corrected = as_negative[~is_pos].mean() - prior * as_negative[is_pos].mean()
-        # by row: the derivative of the corrected risk of unlabelled text as negative, and of positives as positive
-        negative = np.where(is_pos, -prior * p / n_pos, p / n_unl)
-        by_row = np.where(is_pos, prior * (p - 1) / n_pos, 0.0) + negative if corrected >= 0 else -negative
-        g = np.append(np.bincount(column, weights=by_row[row], minlength=len(used)), by_row.sum())
+        g, _ = gradient(w, row, column, n_pos, n, prior)
         g[:-1] += ridge * w[:-1]
         mean = 0.9 * mean + 0.1 * g
         square = 0.999 * square + 0.001 * g * g
@@ -125,22 +132,23 @@ def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
-    """Fit on at most ``positives`` confirmed and ``unlabelled`` other sampled documents among ``labels``.
+    """Fit on at most ``positives`` documents that ``labels`` confirms and ``unlabelled`` sampled documents.
 
-    The unlabelled part is drawn from all given label rows without a look at the label; the prior is
-    the share of confirmed rows. The sample is chosen by a hash of the id; its ids are bounded and broadcast,
-    so documents are read once and not shuffled.
+    The unlabelled part is drawn from all of ``docs`` without a look at labels; the prior is the share of confirmed among
+    the labelled documents. Ids are drawn by a hash of the id; they are bounded and broadcast, so documents are read
+    once and not shuffled. Of several texts under one id the smallest counts, so rows are bounded like ids.
     """
     known = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.coalesce(F.max(F.when(F.col("toxic") == 1, 1)), F.lit(0)).alias("toxic"))
     n = known.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
     prior = min(max((n["t"] or 0) / max(1, n["n"]), 1e-4), 0.5)
-    order = F.xxhash64(F.lit("sample"), "doc_id")
-    drawn = lambda df, k, kind: df.orderBy(order, "doc_id").limit(k).select(F.col("doc_id").alias("of"), F.lit(kind).alias("toxic"))
-    other = F.xxhash64(F.lit("unlabelled"), "doc_id")
-    chosen = drawn(known.filter("toxic = 1"), positives, 1).unionByName(
-        known.orderBy(other, "doc_id").limit(unlabelled).select(F.col("doc_id").alias("of"), F.lit(0).alias("toxic"))
-    )
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("of")).select("toxic", "text")
+
+    def drawn(ids: DataFrame, k: int, kind: int) -> DataFrame:
+        order = F.xxhash64(F.lit("sample" if kind else "unlabelled"), "doc_id")
+        return ids.select("doc_id").distinct().orderBy(order, "doc_id").limit(k).select(F.col("doc_id").alias("of"), F.lit(kind).alias("toxic"))
+
+    chosen = drawn(known.filter("toxic = 1"), positives, 1).unionByName(drawn(docs.filter("doc_id IS NOT NULL"), unlabelled, 0))
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("of"))
+    texts = texts.groupBy("of", "toxic").agg(F.min("text").alias("text")).select("toxic", "text")
     parts: dict[int, list[np.ndarray]] = {0: [], 1: []}
     for row in texts.mapInArrow(_featurize, "toxic int, features binary").toLocalIterator():
         parts[row["toxic"]].append(np.frombuffer(row["features"], dtype=np.uint32))
@@ -163,6 +171,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_score(shared), "doc_id long, score double")
 
 
-def learnable(labels: DataFrame, buckets: int = 3, held_out: int = 1) -> DataFrame:
-    """Label rows that may be learnt from: crc32 of the id is not in the held-out bucket."""
-    return labels.filter(~in_bucket(F.col("doc_id"), buckets, held_out))
+def learnable(rows: DataFrame, buckets: int = 3, held_out: int = 1) -> DataFrame:
+    """Rows that may be learnt from: crc32 of the id is not in the held-out bucket."""
+    return rows.filter(~in_bucket(F.col("doc_id"), buckets, held_out))

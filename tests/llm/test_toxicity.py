@@ -1,6 +1,7 @@
 import random
 from zlib import crc32
 
+import numpy as np
 import pytest
 
 from martwright.llm import toxicity
@@ -32,7 +33,7 @@ def label_table(spark, corpus):
 def test_held_out_accuracy(docs_of, corpus, label_table):
     rows, labels = corpus
     docs = docs_of(rows)
-    model = toxicity.train(docs, toxicity.learnable(label_table))
+    model = toxicity.train(toxicity.learnable(docs), toxicity.learnable(label_table))
     scores = [(r["doc_id"], r["score"]) for r in toxicity.score(docs, model).collect()]
     assert len(scores) == len(rows) and all(0 <= s <= 1 for _, s in scores)
     held = [(labels[i], s) for i, s in scores if i in labels and crc32(str(i).encode()) % 3 == 1]
@@ -62,3 +63,43 @@ def test_sample_is_bounded(docs_of, corpus, label_table, monkeypatch):
     monkeypatch.setattr(toxicity, "fit", lambda p, u, prior: seen.update(p=len(p), u=len(u)))
     toxicity.train(docs_of(corpus[0]), label_table, positives=20, unlabelled=50)
     assert 18 <= seen["p"] <= 20 and 40 <= seen["u"] <= 50  # labels may lack a document
+
+
+def test_one_id_with_very_many_rows(docs_of, spark, monkeypatch):
+    """Rows that come to the driver are bounded like ids."""
+    rows = [(1, f"row {k}") for k in range(4_000)] + [(2, "other")] + [(None, "none")] * 500
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    seen = {}
+    monkeypatch.setattr(toxicity, "fit", lambda p, u, prior: seen.update(p=len(p), u=len(u)))
+    toxicity.train(docs_of(rows), labels, positives=10, unlabelled=20)
+    assert seen == {"p": 1, "u": 2}
+
+
+def _risk(w, positive, unlabelled, prior):
+    """The non-negative risk by its definition, and whether its correction is active."""
+    margin = lambda rows: np.array([w[list(r)].sum() + w[-1] for r in rows])
+    as_negative = np.logaddexp(0, margin(unlabelled)).mean() - prior * np.logaddexp(0, margin(positive)).mean()
+    as_positive = prior * np.logaddexp(0, -margin(positive)).mean()
+    return as_positive + as_negative if as_negative >= 0 else -as_negative
+
+
+def test_gradient_against_finite_differences():
+    rng = np.random.default_rng(3)
+    signs = set()
+    for trial in range(12):
+        columns = 6
+        positive = [np.unique(rng.integers(0, columns, 3)) for _ in range(15)]
+        unlabelled = [np.unique(rng.integers(0, columns, 3)) for _ in range(25)]
+        w = rng.normal(0, 2, columns + 1) - (4 if trial % 2 else 0)
+        prior = 0.3 if trial % 3 else 0.9
+        rows = positive + unlabelled
+        row, column = np.repeat(np.arange(len(rows)), [len(x) for x in rows]), np.concatenate(rows)
+        g, corrected = toxicity.gradient(w, row, column, len(positive), len(rows), prior)
+        signs.add(bool(corrected >= 0))
+        step = 1e-6
+        for k in range(columns + 1):
+            e = np.zeros(columns + 1)
+            e[k] = step
+            slope = (_risk(w + e, positive, unlabelled, prior) - _risk(w - e, positive, unlabelled, prior)) / (2 * step)
+            assert abs(slope - g[k]) < 1e-5, (trial, k)
+    assert signs == {True, False}  # the correction was seen on and off
