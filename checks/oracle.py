@@ -419,7 +419,8 @@ BODIES: dict[str, str] = {
 
 # a load in two runs equals the load in one; reports by business id do not depend on versions
 BODIES |= {
-    f"increments_{fact}": BODIES[fact]
+    f"{load}_{fact}": BODIES[fact]
+    for load in ["increments", "store"]
     for fact in ["fact_order", "fact_order_header", "fact_product_daily", "fact_seller_daily", "fact_order_daily", "fact_customer_behavior"]
 }
 BODIES |= {
@@ -428,6 +429,7 @@ BODIES |= {
     "versions_stock_vs_sales": BODIES["q_stock_vs_sales"],
     "versions_customer_behavior": BODIES["fact_customer_behavior"],
     "late_orders_by_arrival": "SELECT * FROM order_daily",
+    "store_increment_months": "SELECT * FROM order_daily",
     "month_emptied": "SELECT * FROM order_daily WHERE date_key NOT BETWEEN 19960201 AND 19960229",
     "x_stream_late_lines": "SELECT * FROM order_daily",
     "x_stream_resent_orders": "SELECT * FROM order_daily",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.inputs import AS_OF, FIRST_DAY, REPRICED_ON, Inputs
@@ -19,6 +19,7 @@ from martwright.plans import facts as f
 from martwright.plans import incremental as inc
 from martwright.plans import silver as s
 from martwright.plans.clusters import cluster_check, clustered, customer_clusters
+from martwright.plans.order_store import OrderStore
 from martwright.plans.refresh import add_facts, load_facts, load_increment, load_warehouse
 from martwright.schemas import add_versioning, conform, empty_table
 from martwright.session import configure, materialize, shared_folder
@@ -31,6 +32,7 @@ from martwright.sources.parquet import (
     write_table,
     write_version,
 )
+from martwright.plans.stored_loads import load_stored_facts, load_stored_increment, stored_fact
 from martwright.streaming.incremental import load_late_lines, order_files, start_load
 
 BEST_SELLER = "Supplier#000000001"
@@ -683,10 +685,67 @@ def _increments(table: str) -> Query:
     return run
 
 
+def _in_store(w: Warehouse) -> str:
+    """All facts from an order store in two batches: orders and lines that are late, wrong or too many, then what puts them right."""
+    place = (w.spark.sparkContext.applicationId, w.folder, "in store")
+    if place not in FOLDERS:
+        root, store = shared_folder(w.spark, "gold"), OrderStore(w.spark, shared_folder(w.spark, "store"), buckets=2)
+        orders, lines = w.order_header.join(w.order_address, "order_id"), w.order_detail
+        dims = {name: getattr(w, name) for name in ("dim_product", "dim_customer", "dim_seller", "dim_geography")}
+
+        def some(key: str, one_in: int, of: int) -> Column:
+            return F.pmod(F.xxhash64(key), F.lit(one_in)) == of
+
+        recent = F.col("order_date") >= F.lit(date(2001, 1, 1))
+        late, moved, bare = recent & some("order_id", 9, 0), recent & some("order_id", 9, 1), recent & some("order_id", 9, 2)
+        wrong = F.when(moved, F.add_months("order_date", -1)).otherwise(F.col("order_date"))
+        extra = orders.filter(recent & some("order_id", 40, 3)).withColumn("order_id", -F.col("order_id"))
+        first = orders.filter(~late).withColumn("order_date", wrong).unionByName(extra)
+        ids = orders.filter(bare | late).select("order_id")
+        new = lines.join(orders.filter(recent).select("order_id"), "order_id", "left_semi")
+        higher = F.when(some("order_detail_id", 9, 5), F.col("order_qty") + 1).otherwise(F.col("order_qty")).cast("int")
+        more = new.filter(some("order_detail_id", 20, 7)).withColumn("order_detail_id", F.concat(F.lit("extra "), F.col("order_detail_id").cast("string")))
+        of_extra = lines.join(extra.select((-F.col("order_id")).alias("order_id")), "order_id", "left_semi").withColumns(
+            {"order_id": -F.col("order_id"), "order_detail_id": F.concat(F.lit("of extra "), F.col("order_detail_id").cast("string"))}
+        )
+        rest = lines.join(orders.filter(recent).select("order_id"), "order_id", "left_anti")
+        known = rest.unionByName(new.join(ids, "order_id", "left_anti").withColumn("order_qty", higher)).unionByName(more).unionByName(of_extra)
+        store.merge(first, known)
+        load_stored_facts(store, dims, root, AS_OF)
+        again = new.filter(some("order_detail_id", 9, 5)).unionByName(new.join(ids, "order_id", "left_semi")).distinct()
+        store.merge(orders.filter(late | moved), again, extra.select("order_id"), more.select("order_id", "order_detail_id"))
+        load_stored_facts(store, dims, root, AS_OF)
+        FOLDERS[place] = root
+    return FOLDERS[place]
+
+
+def _from_store(table: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        w = Warehouse(configure(spark), folder)
+        return stored_fact(w.spark, _in_store(w), table)
+
+    return run
+
+
+@query
+def store_increment_months(w):
+    """A day-grain fact that follows an order store: a first batch, a batch of late orders, and a run that finds nothing."""
+    root, store = shared_folder(w.spark, "gold"), OrderStore(w.spark, shared_folder(w.spark, "store"), buckets=1)
+    header, lines = w.order_header, w.order_detail
+    late = F.col("order_date") >= F.lit(CUT)
+    store.merge(header.filter(~late), lines)
+    load_stored_increment(store, root, "fact_order_daily", f.fact_order_daily)
+    store.merge(header.filter(late), lines.filter("false"))
+    for _ in range(2):
+        load_stored_increment(store, root, "fact_order_daily", f.fact_order_daily)
+    return stored_fact(w.spark, root, "fact_order_daily")
+
+
 INCREMENT_FACTS = [
     "fact_order", "fact_order_header", "fact_product_daily", "fact_seller_daily", "fact_order_daily", "fact_customer_behavior",
 ]
 QUERIES |= {f"increments_{table}": _increments(table) for table in INCREMENT_FACTS}
+QUERIES |= {f"store_{table}": _from_store(table) for table in INCREMENT_FACTS}
 
 
 def _two_versions(w: Warehouse) -> dict[str, DataFrame]:

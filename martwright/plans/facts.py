@@ -23,6 +23,8 @@ from martwright.schemas import conform
 
 # Revenue summed per order: price and discount have four decimals each. Rounded only in the day's total.
 _ORDER_REVENUE = "decimal(26,8)"
+# Where a stored order or line lies: its month, and a bucket of its order id.
+PLACE = ["month_key", "bucket"]
 
 
 def _total(column: str, kind: str) -> Column:
@@ -45,8 +47,11 @@ def order_totals(detail: DataFrame) -> DataFrame:
 
 
 def _orders_with_totals(
-    header: DataFrame, detail: DataFrame, columns: list[str], totals: DataFrame | None
+    header: DataFrame | None, detail: DataFrame | None, columns: list[str], totals: DataFrame | None
 ) -> DataFrame:
+    """Orders with lines and their totals; without a header the stored totals carry its columns themselves."""
+    if header is None:
+        return totals
     return header.select("order_id", *columns).join(
         order_totals(detail) if totals is None else totals, "order_id"
     )
@@ -66,22 +71,32 @@ def fact_order(
     larger line table; only the product needs the line. The product version is the one that
     was valid on the order date, the others are the current rows.
     """
+    return order_lines(keyed_orders(header, dim_customer, dim_geography, dim_seller), detail, dim_product)
+
+
+def keyed_orders(header: DataFrame, dim_customer: DataFrame, dim_geography: DataFrame, dim_seller: DataFrame) -> DataFrame:
+    """Headers with day and the keys of the current customer, seller and address, or the unknown members."""
     orders = header if "address_id" in header.columns else header.withColumn(
         "address_id", F.lit(None).cast("bigint")
     )
     orders = lookup(orders, current_rows(dim_customer), {"customer_id": "customer_id"}, ["customer_key"])
     orders = lookup(orders, current_rows(dim_seller), {"sales_person_id": "seller_id"}, ["seller_key"])
     orders = lookup(orders, dim_geography, {"address_id": "address_id"}, ["geography_key"])
-    lines = orders.drop("product_id", "month_key", "ingested_at").join(detail, "order_id")
+    keys = {k: or_unknown(k) for k in ("customer_key", "seller_key", "geography_key")}
+    return orders.withColumns({**keys, "date_key": date_key("order_date")})
+
+
+def order_lines(keyed: DataFrame, detail: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """``fact_order`` from keyed headers and their lines."""
+    lines = keyed.drop("product_id", "ingested_at", *PLACE).join(detail.drop(*PLACE), "order_id")
     lines = temporal_lookup(lines, dim_product, ("product_id", "product_id"), "order_date", ["product_key"])
-    keys = ["customer_key", "product_key", "seller_key", "geography_key"]
-    keyed = lines.withColumns({k: or_unknown(k) for k in keys}).withColumns(
-        {
-            "fact_order_key": surrogate_key("order_detail_id"),
-            "date_key": date_key("order_date"),
-        }
-    )
-    return conform(keyed, "fact_order")
+    keys = {"product_key": or_unknown("product_key"), "fact_order_key": surrogate_key("order_detail_id")}
+    return conform(lines.withColumns(keys), "fact_order")
+
+
+def orders_of(keyed: DataFrame, totals: DataFrame) -> DataFrame:
+    """``fact_order_header`` from keyed headers: those that have lines. No line is read or compared."""
+    return conform(keyed.join(totals.select("order_id"), "order_id", "left_semi"), "fact_order_header")
 
 
 def fact_order_header(fact_order: DataFrame) -> DataFrame:
@@ -96,19 +111,36 @@ def _product_days(priced: DataFrame) -> DataFrame:
     list price are constant, so their average over lines is their value; lines of unknown
     products have none.
     """
+    return product_days_of(product_parts(priced, []))
+
+
+def product_parts(priced: DataFrame, place: list[str]) -> DataFrame:
+    """Sums per product version, day and ``place`` of its orders. An order lies in one place, so orders add up, too."""
     cost = F.coalesce("standard_cost", zero())
-    per_order = priced.groupBy("order_id", "date_key", "product_key").agg(
+    per_order = priced.groupBy("order_id", "date_key", "product_key", *place).agg(
         F.sum("order_qty").alias("quantity"),
         F.sum("line_total").alias("amount"),
         F.sum((F.col("unit_price") - cost) * F.col("order_qty")).cast(MONEY_SUM).alias("profit"),
         F.max("standard_cost").alias("standard_cost"),
         F.max("list_price").alias("list_price"),
     )
-    daily = per_order.groupBy("date_key", "product_key").agg(
+    return per_order.groupBy("date_key", "product_key", *place).agg(
+        _total("quantity", "bigint").alias("quantity"),
+        _total("amount", MONEY_SUM).alias("amount"),
+        _total("profit", MONEY_SUM).alias("profit"),
+        F.count("*").alias("orders"),
+        F.max("standard_cost").alias("standard_cost"),
+        F.max("list_price").alias("list_price"),
+    )
+
+
+def product_days_of(parts: DataFrame) -> DataFrame:
+    """``fact_product_daily`` from the sums of places; each day must be there with all its places."""
+    daily = parts.groupBy("date_key", "product_key").agg(
         _total("quantity", "bigint").alias("quantity_sold"),
         _total("amount", MONEY_SUM).alias("revenue"),
         _total("profit", MONEY_SUM).alias("gross_profit"),
-        F.count("*").alias("order_count"),
+        _total("orders", "bigint").alias("order_count"),
         F.max("standard_cost").alias("avg_standard_cost"),
         F.max("list_price").alias("avg_list_price"),
     )
@@ -141,13 +173,17 @@ def fact_product_daily(header: DataFrame, detail: DataFrame, dim_product: DataFr
 def product_daily_of(fact_order: DataFrame, dim_product: DataFrame) -> DataFrame:
     """``fact_product_daily`` from stored order lines, which know their day and version already:
     neither the order join nor the date-range join is repeated."""
+    return _product_days(priced_lines(fact_order, dim_product))
+
+
+def priced_lines(fact_order: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """Stored order lines with cost and price of their product version."""
     sold = dim_product.filter(F.col("product_key") != UNKNOWN_KEY)
-    prices = ["standard_cost", "list_price"]
-    return _product_days(lookup(fact_order, sold, {"product_key": "product_key"}, prices))
+    return lookup(fact_order, sold, {"product_key": "product_key"}, ["standard_cost", "list_price"])
 
 
 def fact_seller_daily(
-    header: DataFrame, detail: DataFrame, dim_seller: DataFrame, totals: DataFrame | None = None
+    header: DataFrame | None, detail: DataFrame | None, dim_seller: DataFrame, totals: DataFrame | None = None
 ) -> DataFrame:
     """Seller and day: orders, customers, quantity, net revenue and commission earned."""
     orders = _orders_with_totals(header, detail, ["order_date", "customer_id", "sales_person_id"], totals)
@@ -180,7 +216,7 @@ def fact_seller_daily(
     )
 
 
-def fact_order_daily(header: DataFrame, detail: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+def fact_order_daily(header: DataFrame | None, detail: DataFrame | None, totals: DataFrame | None = None) -> DataFrame:
     """Day: orders, customers, quantity, net revenue; average per line and per order."""
     orders = _orders_with_totals(header, detail, ["order_date", "customer_id"], totals)
     per_customer = orders.groupBy(date_key("order_date").alias("date_key"), "customer_id").agg(
@@ -233,15 +269,29 @@ def fact_customer_behavior(
     instead of adding a second one.
     """
     orders = _orders_with_totals(header, detail, ["order_date", "customer_id"], totals)
-    sums = {"orders": "bigint", "quantity": "bigint", "amount": MONEY_SUM, "lines": "bigint"}
-    per_customer = orders.groupBy("customer_id").agg(
+    return lifetimes(customer_parts(orders, []), dim_customer, as_of)
+
+
+def customer_parts(orders: DataFrame, by: list[str]) -> DataFrame:
+    """Sums per customer (and month, say) of orders with totals: a state that adds up, with the first and last purchase in it."""
+    return orders.groupBy("customer_id", *by).agg(
         F.count("*").alias("orders"),
-        F.sum("quantity").alias("quantity"),
-        F.sum("amount").alias("amount"),
+        F.sum("quantity").cast("bigint").alias("quantity"),
+        F.sum("amount").cast(MONEY_SUM).alias("amount"),
         F.sum("amount_lines").alias("lines"),
         F.min("order_date").alias("first_purchase"),
         F.max("order_date").alias("last_purchase"),
     )
+
+
+def lifetimes(parts: DataFrame, dim_customer: DataFrame, as_of: date) -> DataFrame:
+    """``fact_customer_behavior`` from the states of whole customers, however many parts each has."""
+    sums = {"orders": "bigint", "quantity": "bigint", "amount": MONEY_SUM, "lines": "bigint"}
+    per_customer = parts.groupBy("customer_id").agg(
+        *[_total(c, kind).alias(c) for c, kind in sums.items()],
+        F.min("first_purchase").alias("first_purchase"),
+        F.max("last_purchase").alias("last_purchase"),
+    )
     known = with_customer_key(per_customer, dim_customer)
     # one group per known customer; only the unknown ids still have to be merged
     identity = F.when(F.col("customer_key") != UNKNOWN_KEY, F.col("customer_id").cast("string")).otherwise(

@@ -24,11 +24,12 @@ from martwright.plans.dimensions import (
 from martwright.plans.facts import (
     fact_customer_behavior,
     fact_inventory,
-    fact_order,
     fact_order_daily,
-    fact_order_header,
     fact_seller_daily,
+    keyed_orders,
+    order_lines,
     order_totals,
+    orders_of,
     product_daily_of,
 )
 from martwright.plans.incremental import (
@@ -157,9 +158,9 @@ def _store_months(
         rows = _monthly(spark, root, table)
         return conform(rows if months is None else of_months(rows, months), table)
 
-    keys = [dims[d] for d in ("dim_customer", "dim_product", "dim_geography", "dim_seller")]
-    store(fact_order(header, detail, *keys), "fact_order")
-    store(fact_order_header(chosen("fact_order")), "fact_order_header")
+    keyed = materialize(keyed_orders(header, *[dims[d] for d in ("dim_customer", "dim_geography", "dim_seller")]), "keyed_orders")
+    store(order_lines(keyed, detail, dims["dim_product"]), "fact_order")
+    store(orders_of(keyed, totals), "fact_order_header")
     store(product_daily_of(chosen("fact_order"), dims["dim_product"]), "fact_product_daily")
     store(fact_seller_daily(header, detail, dims["dim_seller"], totals), "fact_seller_daily")
     store(fact_order_daily(header, detail, totals), "fact_order_daily")

@@ -118,3 +118,27 @@ def replace_months(df: DataFrame, root: str, table: str, months: list[int | None
             folder = NO_MONTH if month is None else month
             nothing.write.mode("overwrite").option("compression", CODEC).parquet(f"{path}/month_key={folder}")
     return path
+
+
+def read_places(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """A table that ``replace_places`` keeps, without a look into its files; None before the first write."""
+    shape = read_version(spark, root, f"{table}_shape")
+    return None if shape is None else spark.read.schema(shape.schema).parquet(f"{root}/{folder_name(table)}")
+
+
+def replace_places(df: DataFrame, root: str, table: str, places: list[tuple[int | None, ...]], by: list[str]) -> str:
+    """Overwrite the given partitions (values of the columns ``by``) with ``df``, which holds all their rows and no others.
+
+    Partitions that are not named stay as they are; a named one that came back without rows is emptied.
+    """
+    path = f"{root}/{folder_name(table)}"
+    if read_version(df.sparkSession, root, f"{table}_shape") is None:
+        write_version(df.filter("false"), root, f"{table}_shape")
+    writer = df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("compression", CODEC).partitionBy(*by).parquet(path)
+    held = {tuple(r) for r in df.select(*by).distinct().collect()}
+    nothing = df.drop(*by).filter("false")
+    for place in set(places) - held:
+        folder = "/".join(f"{c}={NO_MONTH if v is None else v}" for c, v in zip(by, place, strict=True))
+        nothing.write.mode("overwrite").option("compression", CODEC).parquet(f"{path}/{folder}")
+    return path
