@@ -20,6 +20,7 @@ from checks.queries import (
 )
 
 FIRST, REPRICED, LATER = "DATE '1900-01-01'", "DATE '1998-07-01'", "DATE '1998-08-01'"
+MIDDLE = "DATE '1997-03-01'"
 CUT = "DATE '2000-01-01'"
 AS_OF = "DATE '2001-08-02'"
 MONEY_SUM = "DECIMAL(28,4)"
@@ -329,6 +330,19 @@ BODIES: dict[str, str] = {
     "unknown_member_insert": "SELECT * FROM dim_vendor",
     "scd2_first_load": first_version("snap_product_1", "product_key", "product_id", REPRICED) + f" UNION ALL BY NAME {UNKNOWN_PRODUCT}",
     "scd2_second_load": "SELECT * FROM dim_product",
+    "scd2_out_of_order": f"""SELECT * FROM (WITH seen AS (
+   SELECT {FIRST} AS day, * FROM product_v1
+   UNION ALL SELECT {MIDDLE}, * REPLACE (CAST(CASE WHEN category_name = 'PROMO' THEN list_price + 1 ELSE list_price END AS DECIMAL(18,4)) AS list_price)
+   FROM product_v1 WHERE size <> '49'
+   UNION ALL SELECT {REPRICED}, * FROM product_v2),
+ grid AS (SELECT i.product_id AS id, d.day AS on_day, s.* FROM (SELECT DISTINCT product_id FROM seen) i CROSS JOIN (SELECT DISTINCT day FROM seen) d
+   LEFT JOIN seen s ON s.product_id = i.product_id AND s.day = d.day),
+ told AS (SELECT *, CASE WHEN product_id IS NOT NULL THEN concat_ws('|', {', '.join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in [*PRICES, *PRODUCT_REST])}) END AS state FROM grid),
+ marked AS (SELECT *, lag(state) OVER w AS before, row_number() OVER w AS rn FROM told WINDOW w AS (PARTITION BY id ORDER BY on_day)),
+ ended AS (SELECT *, lead(on_day) OVER (PARTITION BY id ORDER BY on_day) AS until FROM marked WHERE rn = 1 OR state IS DISTINCT FROM before)
+ SELECT {key('product_id', 'on_day')} AS product_key, product_id, {', '.join([*PRICES, *PRODUCT_REST])}, on_day AS effective_date, until AS expiry_date,
+        until IS NULL AS is_current, CAST(row_number() OVER (PARTITION BY product_id ORDER BY on_day) AS SMALLINT) AS version
+ FROM ended WHERE product_id IS NOT NULL) h""",
     "scd2_noop": merged("dim_product", "snap_product_2", day=LATER, **PRODUCT_MERGE),
     "scd2_same_day": merged("dim_product", "snap_product_1", day=REPRICED, **PRODUCT_MERGE),
     "scd2_change_hash": """SELECT customer_id, sha256(coalesce(customer_name, '') || '||' || coalesce(customer_type, '')) AS change_hash

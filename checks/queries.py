@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from checks.inputs import AS_OF, FIRST_DAY, REPRICED_ON, Inputs
 from martwright.functions.keys import change_hash
 from martwright.operators import cleaning as c
+from martwright.operators.history import splice_snapshot
 from martwright.operators.lookup import overlapping_versions
 from martwright.operators.merge import duplicate_keys, full_refresh, scd2_merge, start_history, upsert
 from martwright.plans import analytics as a
@@ -37,6 +38,7 @@ from martwright.streaming.incremental import load_late_lines, order_files, start
 
 BEST_SELLER = "Supplier#000000001"
 CUT = date(2000, 1, 1)
+MIDDLE = date(1997, 3, 1)
 
 
 # (application, folder, table) -> stored table; each is built once per Spark application
@@ -399,6 +401,21 @@ def scd2_same_day(w):
     return d.load_versions(second, w.product_v1, "dim_product", REPRICED_ON)
 
 
+@query
+def scd2_out_of_order(w):
+    """Three product snapshots, the newest first: the history is the one of their days in order; withdrawn products end."""
+    middle = w.product_v1.filter("size <> '49'").withColumn(
+        "list_price", F.when(F.col("category_name") == "PROMO", F.col("list_price") + 1).otherwise(F.col("list_price")).cast("decimal(18,4)")
+    )
+    snapshots = {REPRICED_ON: w.product_v2, MIDDLE: middle, FIRST_DAY: w.product_v1}
+    history, known = empty_table(w.spark, "dim_product"), []
+    tracked = [col for col in w.product_v1.columns if col != "product_id"]
+    for day, snapshot in snapshots.items():
+        history = materialize(splice_snapshot(history, snapshot, "product_id", "product_key", tracked, day, known), "history")
+        known.append(day)
+    return history
+
+
 @query
 def scd2_change_hash(w):
     """The stored form of the change test: one hash over the tracked columns."""

@@ -30,7 +30,7 @@ def w(spark, folder):
 
 @pytest.fixture(scope="module")
 def sales(w):
-    orders = w.order_header.join(w.order_address, "order_id").filter("order_date BETWEEN DATE '1996-04-01' AND DATE '1996-09-30'").cache()
+    orders = w.order_header.join(w.order_address, "order_id").filter("order_date BETWEEN DATE '1996-05-01' AND DATE '1996-08-31'").cache()
     lines = w.order_detail.join(orders.select("order_id"), "order_id", "left_semi").cache()
     return orders, lines
 
@@ -52,8 +52,10 @@ def full(orders, lines, dims):
     }
 
 
-def assert_equal(spark, root, orders, lines, dims):
+def assert_equal(spark, root, orders, lines, dims, names=FACTS):
     for name, want in full(orders, lines, dims).items():
+        if name not in names:
+            continue
         got = stored_fact(spark, root, name)
         assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str), name
 
@@ -103,7 +105,7 @@ def test_late_moved_corrected_and_removed(spark, sales, dims):
     store.merge(first_orders, first_lines)
     known = first_lines.join(first_orders.select("order_id"), "order_id", "left_semi")
     assert set(load_stored_facts(store, dims, root, AS_OF)) == set(places_of(store.tree()))
-    assert_equal(spark, root, first_orders, known, dims)
+    assert_equal(spark, root, first_orders, known, dims, ["fact_order_daily", "fact_customer_behavior"])
     # lines of orders that are late wait in the store
     assert store.waiting().count() == first_lines.count() - known.count() > 0
 
@@ -125,7 +127,8 @@ def test_late_moved_corrected_and_removed(spark, sales, dims):
     theirs = after_orders.filter(F.col("customer_id") == customer).select("order_id")
     places = store.merge(after_orders.filter("false"), after_lines.filter("false"), theirs)
     assert set(load_stored_facts(store, dims, root, AS_OF)) == set(places)
-    assert_equal(spark, root, after_orders.join(theirs, "order_id", "left_anti"), after_lines.join(theirs, "order_id", "left_anti"), dims)
+    left = [df.join(theirs, "order_id", "left_anti") for df in (after_orders, after_lines)]
+    assert_equal(spark, root, *left, dims, ["fact_order_header", "fact_customer_behavior"])
 
 
 def _spoil(root, table, places):
@@ -208,5 +211,5 @@ def test_hot_order_and_empty_batches(spark, sales, dims):
     assert store.merge(orders.filter("false"), lines) == []
     store.merge(orders, more)
     load_stored_facts(store, dims, root, AS_OF)
-    assert_equal(spark, root, orders, lines.unionByName(more), dims)
+    assert_equal(spark, root, orders, lines.unionByName(more), dims, ["fact_product_daily", "fact_customer_behavior"])
     assert store.merge(orders.filter("false"), lines.filter("false")) == []
