@@ -7,11 +7,13 @@ payload that refer to it.
 
 Reading: whole archives (``records_per_archive`` keeps them small) are scanned member by member. A record
 counts only if its member's checksum, its lengths and its digests hold. After a failed check the
-reader looks for the next valid member or version line, goes on there and reports the bytes between as a gap.
+reader looks for the next valid member or version line, goes on there and reports the bytes between as a gap. Inside a
+member it does the same with version lines, so one bad record costs no good one; of a member that is damaged itself, records
+with a block digest count if more content follows them. The reader takes time in proportion to the archive.
 
 Defined results: NULL html is an empty payload. Pages that share id and payload are all responses; a page
 with a NULL id never becomes the referred one unless all of its kind have none. NULL urls leave the
-target out. Empty tables write an archive without records.
+target out. Pages of any length are one record. Extra columns are not read. Empty tables write an archive without records.
 """
 
 from __future__ import annotations
@@ -27,12 +29,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martwright.llm.text import runs_of
+
 MEMBER = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+# Fields that every record must have; and the digest, without which a damaged member proves nothing.
+NEEDED = {"warc-type", "warc-record-id", "warc-date", "content-length", "warc-block-digest"}
 EMPTY_MEMBER = gzip.compress(b"", mtime=0).decode("latin-1")
 READ = (
     "archive string, offset long, length long, kind string, record_type string, page_id long, refers_to long, "
-    "target string, claimed string, payload_bytes long, payload_digest string, payload binary"
+    "target string, claimed string, payload_bytes long, payload_digest string, payload binary, gap_offset long, gap_length long"
 )
 
 
@@ -95,7 +101,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, ki
 def _members(date: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["page_id", "url", "payload", "payload_digest", "record_type", "refers_to"]
-        for batch in batches:
+        for batch in runs_of(batches, 4_000_000, "payload"):
             rows = zip(*[batch.column(n).to_pylist() for n in names], strict=True)
             members = [gzip.compress(record(*row, date), 6, mtime=0) for row in rows]
             for k in range(0, len(members), 256):
@@ -144,53 +150,95 @@ def parse(data: bytes, at: int) -> tuple[int, dict, bytes] | None:
     return end + 4, fields, payload
 
 
-def member_at(data: bytes, at: int) -> tuple[int, bytes] | None:
-    """End and content of the gzip member at ``at``; None if it is damaged or cut off."""
-    try:
-        stream = zlib.decompressobj(31)
-        content = stream.decompress(memoryview(data)[at:])
-        return (len(data) - len(stream.unused_data), content) if stream.eof else None
-    except zlib.error:
-        return None
+def member_at(data: bytes, at: int) -> tuple[int | None, bytes]:
+    """End and content of the gzip member at ``at``; of a damaged or cut-off one no end, and what could be inflated.
+
+    The inflater gets small pieces that grow, so what it leaves over, which zlib copies, is never longer than the member itself
+    or the first piece.
+    """
+    def inflate(at: int, piece: int, largest: int) -> tuple[int | None, bytes]:
+        stream, view, content = zlib.decompressobj(31), memoryview(data), []
+        try:
+            while at < len(data) and not stream.eof:
+                content.append(stream.decompress(view[at : at + piece]))
+                at, piece = min(at + piece, len(data)), min(2 * piece, largest)
+        except zlib.error:
+            return None, b"".join(content)
+        return at - len(stream.unused_data) if stream.eof else None, b"".join(content)
 
+    end, content = inflate(at, 4096, 1 << 16)
+    # a piece that fails gives nothing, so a damaged member is inflated again in small ones
+    return (end, content) if end is not None else inflate(at, 16, 16)
 
-def records_in(content: bytes) -> list[tuple[dict, bytes]] | None:
-    """All records of a member, or None if the content is not records from end to end."""
-    found, at = [], 0
+
+def records_in(content: bytes) -> tuple[list[tuple[int, dict, bytes]], list[tuple[int, int]]]:
+    """Records of a member (with their ends), and the gaps between them as offset and length inside the content."""
+    found, gaps, at, bad = [], [], 0, None
     while at < len(content):
         one = parse(content, at)
         if one is None:
-            return None
+            bad = at if bad is None else bad
+            version = VERSION.search(content, at + 1)
+            at = version.start() if version else len(content)
+            continue
+        if bad is not None:
+            gaps.append((bad, at - bad))
+            bad = None
         at = one[0]
-        found.append(one[1:])
-    return found
+        found.append(one)
+    return found, [*gaps, (bad, len(content) - bad)] if bad is not None else gaps
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, str, dict, bytes]]:
-    """``(offset, length, "record" or "gap", fields, payload)`` over a whole archive, in order."""
+    """``(offset, length, kind, fields, payload)`` over a whole archive, in order; kind is "record", "gap", or "gap inside".
+
+    A gap is a stretch of the archive that yields nothing. A gap inside a member that also holds good records has the
+    member's place, and its own place in the inflated content as ``fields``. Of a damaged member those records count that are
+    followed by more content: the last one may be what the damage cut short.
+    """
     at, bad = 0, None
+    kept: list[tuple[int, dict, bytes]] = []  # from the damaged member that begins the gap
+    inside: list[tuple[int, int]] = []
+
+    def close(end: int) -> Iterator[tuple[int, int, str, dict, bytes]]:
+        if bad is not None and not kept:
+            yield bad, end - bad, "gap", {}, b""
+        for _, fields, payload in kept:
+            yield bad, end - bad, "record", fields, payload
+        for start, length in inside if kept else []:
+            yield bad, end - bad, "gap inside", {"offset": start, "length": length}, b""
+
     while at < len(data):
-        end, records = None, None
+        end, records, gaps = None, [], []
         if data.startswith(MEMBER, at):
-            member = member_at(data, at)
-            records = records_in(member[1]) if member else None
-            end = member[0] if records is not None else None
+            end, content = member_at(data, at)
+            records, gaps = records_in(content)
+            if end is None:
+                records = [r for r in records if r[0] < len(content) and NEEDED <= r[1].keys()]
+                last = records[-1][0] if records else 0
+                gaps = [g for g in gaps if g[0] < last] + [(last, len(content) - last)]
+            elif content and not records:
+                end = None
         elif one := parse(data, at):
-            end, records = one[0], [one[1:]]
+            end, records = one[0], [one]
         if end is not None:
-            if bad is not None:
-                yield bad, at - bad, "gap", {}, b""
-                bad = None
-            for fields, payload in records:
+            yield from close(at)
+            bad, kept, inside = None, [], []
+            for _, fields, payload in records:
                 yield at, end - at, "record", fields, payload
+            for start, length in gaps:
+                yield at, end - at, "gap inside", {"offset": start, "length": length}, b""
             at = end
             continue
+        if records:
+            yield from close(at)
+            bad, kept, inside = at, records, gaps
         bad = at if bad is None else bad
-        version = VERSION.search(data, at + 1)
+        # what a damaged member holds has been looked at in inflated form; only the next member may follow it
+        version = None if kept else VERSION.search(data, at + 1)
         nexts = [x for x in (data.find(MEMBER, at + 1), version.start() if version else -1) if x >= 0]
         at = min(nexts, default=len(data))
-    if bad is not None:
-        yield bad, len(data) - bad, "gap", {}, b""
+    yield from close(len(data))
 
 
 def _page(urn: str | None) -> int | None:
@@ -200,7 +248,7 @@ def _page(urn: str | None) -> int | None:
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in READ.split(", ")]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
@@ -213,6 +261,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows.append((
                     path, offset, length, kind, fields.get("warc-type"), _page(fields.get("warc-record-id")), _page(fields.get("warc-refers-to")),
                     fields.get("warc-target-uri"), fields.get("warc-payload-digest", "").removeprefix("sha1:"), len(payload) if kept else None, sha1(payload) if kept else None, payload if kept else None,
+                    fields.get("offset"), fields.get("length"),
                 ))
                 held += len(payload)
                 if held > 8_000_000:

@@ -2,6 +2,8 @@ import base64
 import gzip
 import hashlib
 import os
+import random
+import time
 from collections import Counter
 
 import pytest
@@ -86,6 +88,46 @@ def test_salvage_recovers_later_records(packed):
         assert sum(n for _, n in spans) == len(data)
 
 
+def test_salvage_inside_members():
+    """Several records in one member: a bad one, a flipped byte and a cut-off end cost no other record."""
+    parts = [one(k, b"<html>%d</html>" % k * 200) for k in range(5)]
+    ends = [sum(map(len, parts[: k + 1])) for k in range(5)]
+    bad = bytearray(b"".join(parts))
+    bad[ends[1] + len(parts[2]) // 2] ^= 1
+    lead, tail = gzip.compress(one(90, b"lead"), mtime=0), gzip.compress(one(91, b"tail"), mtime=0)
+    member = gzip.compress(bytes(bad), mtime=0)
+    found = list(warc.salvage(lead + member + tail))
+    assert [warc._page(f["warc-record-id"]) for _, _, k, f, _ in found if k == "record"] == [90, 0, 1, 3, 4, 91]
+    assert [(o, n, f) for o, n, k, f, _ in found if k == "gap inside"] == [(len(lead), len(member), {"offset": ends[1], "length": len(parts[2])})]
+    # stored blocks, so that a cut leaves all content before it
+    stored = gzip.compress(b"".join(parts), 0, mtime=0)
+    cut = stored[: ends[3] + 40]
+    found = list(warc.salvage(lead + cut + tail))
+    assert [warc._page(f["warc-record-id"]) for _, _, k, f, _ in found if k == "record"] == [90, 0, 1, 2, 3, 91]
+    assert [(o, n, f["offset"]) for o, n, k, f, _ in found if k == "gap inside"] == [(len(lead), len(cut), ends[3])]
+    spans = {(o, n) for o, n, *_ in found}
+    assert sum(n for _, n in spans) == len(lead + cut + tail)
+    # a record whose own digest is wrong is not saved by what follows it, nor one that ends where the content ends
+    for at in (ends[0] + 60, ends[0] + len(parts[1]) // 2):  # in a field's name, in the payload
+        flipped = bytearray(stored)
+        flipped[at] ^= 1
+        pages = [warc._page(f["warc-record-id"]) for _, _, k, f, _ in warc.salvage(bytes(flipped)) if k == "record"]
+        assert pages == [0, 2, 3]
+
+
+def test_reading_takes_time_in_proportion():
+    rng = random.Random(1)
+
+    def seconds(n):
+        data = b"".join(gzip.compress(one(k, rng.randbytes(10_000)), 1, mtime=0) for k in range(n))
+        start = time.process_time()
+        assert sum(k == "record" for _, _, k, _, _ in warc.salvage(data)) == n
+        return time.process_time() - start
+
+    few = min(seconds(300) for _ in range(3))
+    assert seconds(2_400) < 8 * few * 2 + 0.2
+
+
 def test_damaged_archive_through_spark(spark, pages, tmp_path):
     parts = [gzip.compress(one(k, b"page %d" % k), mtime=0) for k in range(4)]
     parts[1] = parts[1][:30] + b"\0\0\0" + parts[1][33:]
