@@ -442,6 +442,24 @@ BODIES |= {
     "versions_seller_segments": BODIES["q_seller_segments"],
     "versions_stock_vs_sales": BODIES["q_stock_vs_sales"],
     "versions_customer_behavior": BODIES["fact_customer_behavior"],
+    "clean_rejects": """SELECT * FROM (WITH raw AS (SELECT CASE WHEN l_linenumber = 7 AND l_returnflag = 'A' THEN NULL ELSE l_orderkey || '-' || l_linenumber END AS line,
+   CASE WHEN l_returnflag = 'R' AND l_quantity > 45 THEN CAST(l_quantity AS INT) || ' pcs' ELSE CAST(CAST(l_quantity AS INT) AS VARCHAR) END AS quantity,
+   CASE WHEN l_quantity = 1 THEN '-1.00' ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) END AS amount FROM lineitem),
+ typed AS (SELECT *, TRY_CAST(quantity AS INT) AS q, TRY_CAST(amount AS DECIMAL(18,4)) AS a FROM raw),
+ sound AS (SELECT line, q, a, count(*) AS n FROM typed WHERE line IS NOT NULL AND NOT coalesce(a < 0, false) GROUP BY ALL),
+ ranked AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY q NULLS FIRST, a NULLS FIRST) AS rn FROM sound)
+ SELECT coalesce(line, '') AS row_key, 'quantity' AS column_name, quantity AS raw_value, 'no int' AS rule, false AS dropped, CAST(1 AS BIGINT) AS copies
+ FROM typed WHERE quantity IS NOT NULL AND q IS NULL
+ UNION ALL SELECT '', 'line', NULL, 'no key', true, 1 FROM typed WHERE line IS NULL
+ UNION ALL SELECT coalesce(line, ''), 'amount', amount, 'negative', true, 1 FROM typed WHERE a < 0
+ UNION ALL SELECT line, NULL, coalesce(CAST(q AS VARCHAR), '') || '|' || coalesce(CAST(a AS VARCHAR), ''), 'key occurs again', true,
+   CAST(n - CASE WHEN rn = 1 THEN 1 ELSE 0 END AS BIGINT) FROM ranked WHERE n - CASE WHEN rn = 1 THEN 1 ELSE 0 END > 0) r""",
+    "clean_rejects_kept": """SELECT line, q AS quantity, a AS amount FROM (
+ SELECT line, q, a, row_number() OVER (PARTITION BY line ORDER BY q NULLS FIRST, a NULLS FIRST) AS rn FROM (
+   SELECT CASE WHEN l_linenumber = 7 AND l_returnflag = 'A' THEN NULL ELSE l_orderkey || '-' || l_linenumber END AS line,
+     CASE WHEN l_returnflag = 'R' AND l_quantity > 45 THEN NULL ELSE CAST(l_quantity AS INT) END AS q,
+     CASE WHEN l_quantity = 1 THEN CAST(-1 AS DECIMAL(18,4)) ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DECIMAL(18,4)) END AS a FROM lineitem) t
+ WHERE line IS NOT NULL AND a >= 0) r WHERE rn = 1""",
     "late_orders_by_arrival": "SELECT * FROM order_daily",
     "store_increment_months": "SELECT * FROM order_daily",
     "month_emptied": "SELECT * FROM order_daily WHERE date_key NOT BETWEEN 19960201 AND 19960229",

@@ -14,6 +14,7 @@ from martwright.operators import cleaning as c
 from martwright.operators.history import splice_snapshot
 from martwright.operators.lookup import overlapping_versions
 from martwright.operators.merge import duplicate_keys, full_refresh, scd2_merge, start_history, upsert
+from martwright.operators.rejects import screen
 from martwright.plans import analytics as a
 from martwright.plans import dimensions as d
 from martwright.plans import facts as f
@@ -530,6 +531,28 @@ def build_summary(w):
     return load_warehouse(silver, root, REPRICED_ON, AS_OF, calendar=tuple(days), loaded_at=F.lit(AS_OF))
 
 
+def _screened(w: Warehouse):
+    """Order lines as text, with quantities that are no numbers, negative amounts, missing and repeated keys."""
+    raw = w.sql("""
+SELECT CASE WHEN l_linenumber = 7 AND l_returnflag = 'A' THEN NULL ELSE concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) END AS line,
+       CASE WHEN l_returnflag = 'R' AND l_quantity > 45 THEN concat(CAST(CAST(l_quantity AS INT) AS STRING), ' pcs') ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS quantity,
+       CASE WHEN l_quantity = 1 THEN '-1.00' ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING) END AS amount
+FROM {lineitem}""")
+    return screen(raw, ["line"], {"quantity": "int", "amount": "decimal(18,4)"}, ["amount"])
+
+
+@query
+def clean_rejects(w):
+    """What cleaning of the order lines made NULL or dropped, with raw value and rule."""
+    return _screened(w).rejects
+
+
+@query
+def clean_rejects_kept(w):
+    """The lines that stayed."""
+    return _screened(w).kept
+
+
 # ---------------------------------------------------------------- incremental loads
 
 
