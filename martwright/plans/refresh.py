@@ -1,7 +1,8 @@
 """Whole-warehouse loads over stored tables: every dimension, every fact, and a summary.
 
 The first load builds everything; later ones take the orders that came since and rebuild the months these
-fall in. Each layer is written before the next one reads it. A plan then starts from files whose sizes
+fall in. Sources that give only whole tables are loaded here; batches of arrivals go through ``order_store`` and
+``stored_loads``, which never read history. Each layer is written before the next one reads it. A plan then starts from files whose sizes
 Spark knows, nothing is computed twice, and a lost executor costs no more than its own tasks.
 """
 
@@ -223,7 +224,8 @@ def late_lines(header: DataFrame, detail: DataFrame, known: DataFrame, facts: Da
 def add_facts(
     silver: dict[str, DataFrame], dims: dict[str, DataFrame], root: str, as_of: date
 ) -> dict[str, DataFrame]:
-    """Bring all stored facts up to date with the orders that came since the last load.
+    """Bring all stored facts up to date with the orders that came since the last load. For sources without an order store
+    (``stored_loads.load_stored_facts`` reads differing places only).
 
     Where headers carry ``ingested_at``, the batch is what arrived after the mark, back-dated and corrected
     orders included; without it, the orders that the facts lack. Orders whose lines came later than they did join
@@ -283,7 +285,8 @@ def load_increment(
     build: Build,
     lateness_days: int = 0,
 ) -> bool:
-    """Bring one stored day-grain fact up to date; False if there was nothing new.
+    """Bring one stored day-grain fact up to date; False if there was nothing new. For sources without an order store: the
+    lines of all orders are read and digested on every run (``stored_loads.load_stored_increment`` reads differing months only).
 
     Where headers carry ``ingested_at``, the batch is what arrived after the stored mark, so a back-dated order
     is found whatever its date; else it is the orders from the latest date loaded on (less ``lateness_days``).
