@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +36,9 @@ def op1_token_counts(spark: SparkSession, folder: str, vocabulary: str = VOCABUL
 
 
 def op2_context_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return ctw.scored(table(spark, folder, "documents"))
+    """Texts count with A-Z in lower case, as words and as bytes."""
+    text = F.translate("text", string.ascii_uppercase, string.ascii_lowercase).alias("text")
+    return ctw.scored(table(spark, folder, "documents").select("doc_id", text))
 
 
 def op3_dartminhash(spark: SparkSession, folder: str) -> DataFrame:
