@@ -5,7 +5,8 @@ documents with test items go, and the rest is mixed to the sources' target weigh
 predecessor kept. All but the last return the columns of ``documents`` (``n_chars`` follows the text).
 
 A NULL text is an empty text, which the quality rules reject, so later stages see none; empty tables pass
-through. Texts can become shorter in the line stage, and empty; they stay until a later stage decides on them.
+through. Very long texts go through every stage whole. Repeated rows are near duplicates, of which one stays; of equal ids the
+row with the smaller text hash does. Extra columns pass through, but for those that the mix adds under their names. Texts can become shorter in the line stage, and empty; they stay until a later stage decides on them.
 """
 
 from __future__ import annotations
