@@ -1,3 +1,4 @@
+import os
 from datetime import date
 
 import pytest
@@ -96,6 +97,19 @@ def test_shuffle_width_follows_the_input_and_comes_back(spark, folder):
     assert spark.conf.get(WIDTH, None) == old
 
 
+def test_shuffle_width_of_joins_follows_their_scans(spark, folder):
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    scans = sum(os.path.getsize(f"{folder}/{t}.parquet") for t in ("orders", "lineitem"))
+    chain = lines.withColumnRenamed("l_orderkey", "o_orderkey").join(orders, "o_orderkey").join(orders.select("o_orderkey"), "o_orderkey")
+    unsized = spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "o_orderkey long").join(orders, "o_orderkey")
+    small = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with fitted_shuffles(chain, unsized, bytes_per_partition=scans) as width:
+        assert width <= small + 3
+    with fitted_shuffles(chain, bytes_per_partition=scans // 100) as width:
+        assert 100 <= width <= 300
+
+
 def test_loads_set_the_shuffle_width(spark, silver, monkeypatch):
     from martwright.plans import refresh
 
