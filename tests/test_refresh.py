@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from checks.inputs import AS_OF, Inputs
 from checks.queries import _silver_of
 from martwright.plans.facts import fact_order_daily, fact_product_daily
-from martwright.plans.refresh import load_increment, load_warehouse
+from martwright.plans.refresh import add_facts, load_dimensions, load_facts, load_increment, load_warehouse
 from martwright.schemas import conform
 from martwright.session import WIDTH, fitted_shuffles, shared_folder
-from martwright.sources.parquet import read_table, read_version
+from martwright.sources.parquet import read_table, read_version, replace_months
 
 
 @pytest.fixture(scope="module")
@@ -236,3 +236,21 @@ def test_increment_follows_moved_orders_and_late_lines(spark, silver, by_arrival
     assert sorted(got.collect()) == sorted(fact_order_daily(header, detail).collect())
     if by_arrival:
         assert not load_increment(after, detail, root, "fact_order_daily", fact_order_daily)
+
+
+def test_loads_leave_stored_tables_only(spark, silver):
+    """What a load writes for itself is gone when it ends; the facts are written once."""
+    base = spark.conf.get("spark.checkpoint.dir")
+    root = shared_folder(spark, "gold")
+    dims = load_dimensions(silver, root, AS_OF, loaded_at=F.lit(AS_OF))
+    before = set(os.listdir(base))
+    load_facts(silver, dims, root, AS_OF)
+    tables = add_facts(silver, dims, root, AS_OF)
+    assert set(os.listdir(base)) == before
+    assert tables["fact_order"].count() > 0
+    header, detail = silver["sales_order_header"], silver["sales_order_detail"]
+    load_increment(header, detail, root, "again", fact_order_daily)
+    months = [m for m in (r["month_key"] for r in read_table(spark, root, "again").select("month_key").distinct().collect())]
+    replace_months(fact_order_daily(header, detail), root, "again", [*months, 200912])
+    assert set(os.listdir(base)) == before
+    assert read_table(spark, root, "again").count() == fact_order_daily(header, detail).count()
