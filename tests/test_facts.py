@@ -9,9 +9,11 @@ from decimal import ROUND_HALF_UP, Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import Warehouse
 from martwright.functions.labels import rfm_segment
 from martwright.plans import facts as f
 from martwright.plans import incremental as inc
+from martwright.session import configure
 
 AS_OF = date(2024, 12, 31)
 SPLIT = date(2024, 3, 1)
@@ -323,3 +325,11 @@ def test_net_revenue_is_rounded_once(spark):
     row = f.fact_seller_daily(header, lines, seller).first()
     assert row["revenue"] == exact
     assert row["commission_earned"] == (4000 * D("0.0013") * (1 - D("0.1234")) * D("0.125")).quantize(CENT4, ROUND_HALF_UP)
+
+
+def test_order_headers_do_not_need_the_order_lines(spark, folder):
+    """Reports per order build no fact of lines first; orders without lines stay out."""
+    w = Warehouse(configure(spark), folder)
+    header = w.build("fact_order_header")
+    assert not [f for f in header.inputFiles() if "/fact_order-" in f]
+    assert sorted(header.collect()) == sorted(f.fact_order_header(w.fact_order).collect())
