@@ -90,3 +90,22 @@ def test_hot_order_collapses_before_the_join(skewed):
     assert "skew=true" not in plan  # one row per order reaches the join
     row = f.fact_order_daily(skewed["header"], skewed["detail"]).first()
     assert row["daily_quantity"] == 2 * LINES
+
+
+def test_known_products_are_summed_where_their_join_left_them(skewed):
+    """After the product join no shuffle by order, version and day follows; unknown products, few here, have their own."""
+    daily = f.fact_product_daily(skewed["header"], skewed["detail"], skewed["product"])
+    plan = daily._jdf.queryExecution().executedPlan().toString()
+    known = [x for x in plan.splitlines() if ":" in x[:24]]
+    assert any("SortMergeJoin" in x and "Inner" in x for x in known)
+    assert not [x for x in known if "hashpartitioning" in x and "product_key" in x]
+    assert daily.agg(F.sum("quantity_sold")).first()[0] == 2 * LINES
+
+
+def test_unknown_products_of_an_order_count_it_once(spark, skewed):
+    """Two unknown products, one without an id, and one known: one row each for the day's unknown and known products."""
+    line = skewed["detail"].limit(1)
+    lines = [line.withColumns({"order_id": F.lit(7).cast("long"), "product_id": F.lit(p).cast("long")}) for p in (-5, -6, None, 9)]
+    both = lines[0].unionByName(lines[1]).unionByName(lines[2]).unionByName(lines[3])
+    rows = {r["product_key"]: r for r in f.fact_product_daily(skewed["header"], both, skewed["product"]).collect()}
+    assert {k: (r["order_count"], r["quantity_sold"]) for k, r in rows.items()} == {"UNKNOWN": (1, 6), "p9": (1, 2)}
