@@ -16,6 +16,7 @@ from martwright.plans.facts import (
     fact_product_daily,
     fact_seller_daily,
 )
+from martwright.plans import order_store
 from martwright.plans.order_store import OrderStore, differing_places, order_digests, places_of
 from martwright.plans.stored_loads import load_stored_facts, load_stored_increment, stored_fact
 from martwright.session import configure, shared_folder
@@ -213,3 +214,27 @@ def test_hot_order_and_empty_batches(spark, sales, dims):
     load_stored_facts(store, dims, root, AS_OF)
     assert_equal(spark, root, orders, lines.unionByName(more), dims, ["fact_product_daily", "fact_customer_behavior"])
     assert store.merge(orders.filter("false"), lines.filter("false")) == []
+
+
+def test_lines_pass_once_and_none_is_lost_to_a_run_that_died(spark, sales, monkeypatch):
+    """A first batch stores its lines without a copy beside them; the run dies before its tree, and is run again."""
+    orders, lines = (df.filter("order_id < 500") for df in sales)
+    late = lines.filter(some(3))
+    store = OrderStore(spark, shared_folder(spark, "store"), buckets=2)
+    assert store.merge(orders.filter("false"), late) == [] and store.waiting().count() == late.count() > 0
+    copied, write, keep = [], order_store.write_version, order_store.materialize
+
+    def dies(df, root, table, *more):
+        if table == "tree":
+            raise OSError("died")
+        return write(df, root, table, *more)
+
+    monkeypatch.setattr(order_store, "write_version", dies)
+    monkeypatch.setattr(order_store, "materialize", lambda df, label, *more: copied.extend(df.columns) or keep(df, label, *more))
+    with pytest.raises(OSError):
+        store.merge(orders.filter(~some(5)), lines.filter(~some(3)))
+    assert "line_total" not in copied
+    monkeypatch.undo()
+    store.merge(orders.filter(~some(5)), lines.filter(~some(3)))
+    assert sorted(r[0] for r in store.lines().select("order_detail_id").collect()) == sorted(r[0] for r in lines.filter(~some(5)).select("order_detail_id").collect())
+    assert sorted(r[0] for r in store.waiting().select("order_detail_id").collect()) == sorted(r[0] for r in lines.filter(some(5)).select("order_detail_id").collect())
