@@ -5,12 +5,15 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from test_widths import exchanged, wide  # noqa: F401
+
 from checks.inputs import AS_OF
 from checks.queries import Warehouse
 from martwright.plans import refresh
+from martwright.plans.facts import keyed_orders, order_lines
 from martwright.plans.incremental import lines_with_month, with_month
 from martwright.session import configure, shared_folder
-from martwright.sources.parquet import read_table
+from martwright.sources.parquet import read_table, replace_months
 
 TABLES = ["fact_order", "fact_order_header", "fact_product_daily", "fact_order_daily"]
 
@@ -61,3 +64,33 @@ def test_slices_give_what_one_build_gives(spark, w, monkeypatch):
     assert got == want
     # 1996-05 to -07 and no month; the touched months; 1996-06 to -08
     assert len(seen) >= 3 + 1 + 3 and all(len(months) == 1 for months in seen)
+
+
+def test_slices_have_few_months(monkeypatch):
+    monkeypatch.setattr(refresh, "SLICE", 100)
+    assert [len(x) for x in refresh.month_slices(list(range(40)), 101)] == [refresh.DIRECT] * 5
+    assert len(refresh.month_slices(list(range(40)), 2_000)) == 20 and len(refresh.month_slices(list(range(40)), 100)) == 1
+
+
+def test_lines_meet_their_product_before_the_header(spark, w, wide):  # noqa: F811
+    """Lines that bring their day: the same rows, and no header column is shuffled with them."""
+    header = w.order_header.join(w.order_address, "order_id").filter("order_id < 3000")
+    header = header.withColumn("order_date", F.when(F.expr("order_id % 20 <> 3"), F.col("order_date")))
+    keyed = keyed_orders(header, w.dim_customer, w.dim_geography, w.dim_seller)
+    dated = w.order_detail.join(header.select("order_id", "order_date"), "order_id")
+    want, got = order_lines(keyed, w.order_detail, w.dim_product), order_lines(keyed, dated, w.dim_product)
+    shuffles = [x for x in exchanged(got) if "line_total" in x]
+    assert shuffles and not any("customer_key" in x or "total_due" in x for x in shuffles)
+    rows = got.collect()
+    assert len(rows) > 1000 and sorted(rows, key=str) == sorted(want.collect(), key=str)
+
+
+def test_a_write_of_few_months_needs_no_shuffle(spark, w):
+    """What is not gathered gives the same table, month by month; a month without rows is emptied."""
+    df = w.fact_order_daily.filter("date_key < 19960401")
+    root = shared_folder(spark, "gold")
+    months = sorted({r[0] // 100 for r in df.select("date_key").collect()})
+    replace_months(df, root, "t", months)
+    replace_months(df.filter(F.expr(f"date_key div 100 <> {months[0]}")), root, "t", months, gather=False)
+    left = [r for r in df.collect() if r["date_key"] // 100 != months[0]]
+    assert sorted(read_table(spark, root, "t").select(*df.columns).collect(), key=str) == sorted(left, key=str) and left
