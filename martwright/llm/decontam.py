@@ -52,6 +52,12 @@ def fold(words: list[bytes]) -> list[bytes]:
     return [w.lower().strip(EDGE) for w in words]
 
 
+def shingles(words: list[bytes]) -> set[tuple[bytes, ...]]:
+    """Runs of five words; a shorter text is one."""
+    n = min(SHINGLE, len(words))
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
+
+
 class Item:
     """A test item: where the five-word shingles of its question and of its answer stand."""
 

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from martwright.session import get_session  # noqa: E402
+from martwright.session import WIDTH, get_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -25,6 +25,14 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def own_width(spark):
+    """A query sets the session's shuffle width; the tests of one module do not see that of another."""
+    before = spark.conf.get(WIDTH, None)
+    yield
+    spark.conf.unset(WIDTH) if before is None else spark.conf.set(WIDTH, before)
+
+
 @pytest.fixture(scope="session")
 def folder():
     return "/root/testdata/sf0.001"
